@@ -15,7 +15,7 @@ from brooklet.streaming.live import latest_result
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-BATCH_BYTES = "64g"
+BATCH_BYTES = 64 << 30
 
 
 def stream_session(spark: SparkSession) -> SparkSession:

@@ -73,8 +73,11 @@ def to_target(rows: DataFrame) -> DataFrame:
 
 
 def create_event_table(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Declare the typed table in the catalog (lengths, NOT NULL, defaults).
+    """Declare the typed table in the catalog.
 
+    Spark holds inserts to the text lengths and decimal range and fills defaults.
+    File tables accept NULLs in spite of NOT NULL, and no key is unique by
+    declaration: ``operators.contract`` and ``streaming.TableSink`` see to those.
     With a location the table is laid over a read-optimised folder written by
     ``operators.layout.compact``, so it is partitioned by ``event_date``.
     """

@@ -28,19 +28,19 @@ def read_events_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = FILES_PER_BATCH,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     archive_dir: str | None = None,
     strict_header: bool = False,
 ) -> DataFrame:
     """Each new landing file once.
 
-    A micro-batch takes at most ``max_files`` files, or ``max_bytes`` (such as
-    ``"64g"``) of them: give the byte bound on a large cluster. With
-    ``archive_dir`` consumed files are moved there after a later batch commits.
+    A micro-batch takes at most ``max_files`` files, or ``max_bytes`` bytes of
+    files: give the byte bound on a large cluster. With ``archive_dir`` consumed
+    files are moved there after a later batch commits.
     """
     options = _csv_options(strict_header)
     if max_bytes is not None:
-        options["maxBytesPerTrigger"] = max_bytes
+        options["maxBytesPerTrigger"] = str(max_bytes)
     elif max_files is not None:
         options["maxFilesPerTrigger"] = str(max_files)
     if archive_dir is not None:

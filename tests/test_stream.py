@@ -1,0 +1,277 @@
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from brooklet.operators.clean import clean
+from brooklet.operators.contract import accepted, check
+from brooklet.plans.inputs import damaged_events, user_events
+from brooklet.plans.stream import stream_session
+from brooklet.schema import TARGET_COLUMNS, to_target
+from brooklet.sources import read_events_csv, read_events_stream, read_events_table, read_stored, write_landing
+from brooklet.streaming import Ingest, TableSink, dedupe_stream, live_events_per_minute, progress_rows
+from brooklet.streaming.ingest import run
+from brooklet.streaming.live import latest_result, overwrite_sink
+from dirty import dirty_lines, line, valid_lines, write_csv
+
+SF = "/root/testdata/sf0.001"
+
+
+class Run:
+    """One ingest set-up on a fresh folder."""
+
+    def __init__(self, spark, folder, **options):
+        self.spark, self.folder = spark, folder
+        self.table, self.bad = str(folder / "table"), str(folder / "bad")
+        self.options = options
+        (folder / "in").mkdir(parents=True, exist_ok=True)
+
+    def land(self, name, lines):
+        write_csv(self.folder / "in" / f"{name}.csv", lines)
+        time.sleep(0.02)
+
+    def go(self, sinks=None, max_files=1, **options):
+        ingest = Ingest(sinks or [TableSink(self.table)], **{"quarantine": self.bad, **self.options, **options})
+        source = read_events_stream(self.spark, str(self.folder / "in"), max_files=max_files)
+        self.query = ingest.start(source, str(self.folder / "ck"), None)
+        self.query.awaitTermination()
+        return ingest
+
+    def ids(self):
+        return sorted(r.event_id for r in read_events_table(self.spark, self.table).collect())
+
+
+@pytest.fixture
+def job(spark, tmp_path):
+    return Run(spark, tmp_path)
+
+
+def test_only_new_files_after_a_restart(job):
+    job.land("a", valid_lines(["a1", "a2"]))
+    job.go()
+    job.land("b", valid_lines(["b1"]))
+    job.land("c", valid_lines(["c1"]))
+    reports = job.go().reports
+    assert [r.accepted for r in reports] == [1, 1]
+    assert job.ids() == ["a1", "a2", "b1", "c1"]
+
+
+def test_dirty_file_is_split(job, spark):
+    job.land("a", dirty_lines())
+    report = job.go().reports[0]
+    checked = check(read_events_csv(spark, str(job.folder / "in")))
+    good = accepted(checked)
+    assert job.ids() == sorted({r.event_id for r in good.collect()})  # d01 came twice
+    assert report.accepted == good.count()
+    quarantined = spark.read.parquet(job.bad)
+    assert quarantined.count() == report.rejected == checked.count() - report.accepted
+    quality = progress_rows(job.query)[0]["quality"]
+    assert quality == {"rows": checked.count(), "accepted": report.accepted, "rejected": report.rejected}
+
+
+class FailOnce:
+    """Fails after the table was written, as a crash before the commit would."""
+
+    def __init__(self, sink):
+        self.sink, self.calls, self.instants = sink, [], []
+
+    def __call__(self, rows, batch_id):
+        self.sink(rows, batch_id)
+        self.calls.append(batch_id)
+        self.instants.append(rows.select("ingested_at").distinct().collect()[0][0])
+        if len(self.calls) == 2:
+            raise RuntimeError("lost after the write")
+
+
+def test_replay_after_a_crash(job, spark):
+    job.land("a", valid_lines(["a1", "a2", "a2"]))
+    job.land("b", valid_lines(["a1", "b1"]))
+    sink = FailOnce(TableSink(job.table))
+    with pytest.raises(StreamingQueryException):
+        job.go([sink])
+    job.go([sink])
+    assert sink.calls == [0, 1, 1]  # the failed batch came again under its own id
+    assert sink.instants[1] == sink.instants[2]
+    assert job.ids() == ["a1", "a2", "b1"]
+    stored = read_stored(spark, job.table)
+    assert {(r.event_id, r.batch_id) for r in stored.collect()} == {("a1", 0), ("a2", 0), ("b1", 1)}
+
+
+def test_replay_that_keeps_nothing_clears_its_folder(spark, tmp_path):
+    sink = TableSink(str(tmp_path / "t"))
+    rows = to_target(clean(read_events_csv(spark, write_csv(tmp_path / "in" / "a.csv", valid_lines(["k"])))))
+    sink(rows, 1)
+    sink(rows, 0)  # an earlier batch turns out to hold the key
+    sink(rows, 1)
+    stored = read_stored(spark, str(tmp_path / "t"))
+    assert [(r.event_id, r.batch_id) for r in stored.collect()] == [("k", 0)]
+
+
+@pytest.mark.parametrize("unique", ["table", "day"])
+@pytest.mark.parametrize("broadcast_keys", [0, 1000])
+def test_first_batch_wins(job, unique, broadcast_keys):
+    sink = TableSink(job.table, unique, broadcast_keys)
+    job.land("a", valid_lines(["k1", "k2"], category="first"))
+    job.land("b", valid_lines(["k2", "k3"], category="second"))
+    job.go([sink])
+    rows = read_events_table(job.spark, job.table).collect()
+    assert {(r.event_id, r.category) for r in rows} == {("k1", "first"), ("k2", "first"), ("k3", "second")}
+
+
+def test_copies_inside_a_batch_keep_the_earliest(job):
+    late = line("k", {"timestamp": "2024-01-02 00:00:00", "category": "late"})
+    early = line("k", {"category": "early"})
+    job.land("a", [late, early, late])
+    job.go()
+    assert [r.category for r in read_events_table(job.spark, job.table).collect()] == ["early"]
+
+
+def test_keys_in_stream_state(spark, tmp_path):
+    job = Run(stream_session(spark), tmp_path, dedupe="state")
+    job.land("a", [*valid_lines(["k1", "k2", "k2"]), line("bad", {"price": "0"})])
+    job.land("b", [*valid_lines(["k2", "k3"]), line("bad", {"price": "0"})])
+    job.go([TableSink(job.table, unique="batch")])
+    job.land("c", valid_lines(["k1", "k4"]))
+    job.go([TableSink(job.table, unique="batch")])
+    assert job.ids() == ["k1", "k2", "k3", "k4"]
+    assert spark.read.parquet(job.bad).count() == 2  # rejected rows are not keys
+
+
+def test_batch_without_valid_rows(job):
+    job.land("a", [line("x", {"price": "0"})])
+    reports = job.go(quarantine=None).reports
+    assert [(r.accepted, r.rejected, r.rows_per_second) for r in reports] == [(0, 1, 0.0)]
+    assert read_stored(job.spark, job.table) is None
+    assert progress_rows(job.query)[0]["rows"] == 1
+
+
+def test_strict_stream_stops(job):
+    job.land("a", [line("fine", {}), line("odd", {"quantity": ""})])
+    with pytest.raises(StreamingQueryException, match="break the table contract"):
+        job.go(strict=True)
+    assert read_stored(job.spark, job.table) is None
+
+
+def test_strict_stream_passes_filtered_rows(job):
+    job.land("a", [line("fine", {}), line("free", {"price": "0"})])
+    job.go(strict=True)
+    assert job.ids() == ["fine"]
+
+
+def test_several_sinks(job):
+    job.land("a", valid_lines(["a1"]))
+    second = str(job.folder / "second")
+    job.go([TableSink(job.table), TableSink(second)])
+    assert read_events_table(job.spark, second).count() == 1
+
+
+def test_rows_of_any_age_are_stored(job):
+    job.land("a", valid_lines(["new"], timestamp="2024-03-01 00:00:00"))
+    job.land("b", valid_lines(["old"], timestamp="2024-01-01 00:00:00"))
+    job.go()
+    assert job.ids() == ["new", "old"]
+
+
+def test_stream_equals_batch_for_any_file_split(spark, tmp_path):
+    events = damaged_events(spark, SF)
+    tables = []
+    for rows_per_file in (1000, 90):
+        job = Run(spark, tmp_path / str(rows_per_file))
+        write_landing(events, str(job.folder / "in"), rows_per_file)
+        job.go(max_files=4)
+        rows = read_events_table(spark, job.table).drop("ingested_at")
+        tables.append(sorted(map(repr, rows.collect())))
+    whole = to_target(accepted(check(events))).drop("ingested_at")
+    assert tables[0] == tables[1] == sorted(map(repr, whole.collect()))
+
+
+def test_runs_until_stopped(job):
+    job.land("a", valid_lines(["a1"]))
+    source = read_events_stream(job.spark, str(job.folder / "in"))
+    query = Ingest([TableSink(job.table)]).start(source, str(job.folder / "ck"), "200 milliseconds")
+    try:
+        query.processAllAvailable()
+        job.land("b", valid_lines(["b1"]))
+        query.processAllAvailable()
+        assert query.isActive
+        assert job.ids() == ["a1", "b1"]
+    finally:
+        query.stop()
+    run(query)
+    assert not query.isActive
+
+
+def minutes(spark, folder, mode, sink):
+    source = read_events_stream(spark, str(folder / "in"), max_files=1)
+    query = (
+        live_events_per_minute(clean(source))
+        .writeStream.outputMode(mode)
+        .foreachBatch(sink)
+        .option("checkpointLocation", str(folder / f"ck-{mode}"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_late_rows_miss_closed_windows(spark, tmp_path):
+    session = stream_session(spark)
+    job = Run(session, tmp_path)
+    job.land("a", valid_lines(["a"], timestamp="2024-01-01 00:00:30"))
+    job.land("b", valid_lines(["b"], timestamp="2024-02-01 00:00:00"))
+    job.land("b2", valid_lines(["b2"], timestamp="2024-02-01 00:01:00"))  # lateness lags a batch
+    job.land("c", valid_lines(["late"], timestamp="2024-01-01 00:00:40"))
+    job.land("d", valid_lines(["d"], timestamp="2024-03-01 00:00:00"))
+    closed = []
+    def keep(rows, batch_id):
+        closed.extend(rows.collect())
+    query = minutes(session, tmp_path, "append", keep)
+    assert sorted((str(r.event_minute)[:16], r.n) for r in closed) == [
+        ("2024-01-01 00:00", 1), ("2024-02-01 00:00", 1), ("2024-02-01 00:01", 1)]
+    dropped = [op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert sum(dropped) == 1
+    path = str(tmp_path / "all")
+    minutes(session, tmp_path, "complete", overwrite_sink(path))
+    everything = latest_result(spark.read.parquet(path)).collect()
+    assert sorted((str(r.event_minute)[:16], r.n) for r in everything) == [
+        ("2024-01-01 00:00", 2), ("2024-02-01 00:00", 1),
+        ("2024-02-01 00:01", 1), ("2024-03-01 00:00", 1)]
+
+
+def test_state_bounded_dedupe(spark, tmp_path):
+    session = stream_session(spark)
+    job = Run(session, tmp_path)
+    job.land("a", valid_lines(["k1", "k1", "k2"]))
+    job.land("b", valid_lines(["k2", "k3"], timestamp="2024-01-01 00:05:00"))
+    out = str(tmp_path / "out")
+    source = read_events_stream(session, str(tmp_path / "in"), max_files=1)
+    query = (
+        dedupe_stream(clean(source)).writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "ck"))
+        .trigger(availableNow=True).start(out)
+    )
+    query.awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == ["k1", "k2", "k3"]
+
+
+def test_target_columns(job):
+    job.land("a", valid_lines(["a1"]))
+    job.go()
+    rows = read_events_table(job.spark, job.table)
+    assert rows.columns == TARGET_COLUMNS
+    assert dict(rows.dtypes)["price"] == "decimal(10,2)"
+    assert Path(job.table, "batch_id=0", "event_date=2024-01-01").is_dir()
+    assert rows.filter(F.col("event_timestamp") > F.col("ingested_at")).count() == 0
+
+
+def test_live_report_equals_batch(spark, tmp_path):
+    session = stream_session(spark)
+    write_landing(user_events(spark, SF), str(tmp_path / "in"), 100)
+    path = str(tmp_path / "all")
+    minutes(session, tmp_path, "complete", overwrite_sink(path))
+    live = {r.event_minute: r.n for r in latest_result(spark.read.parquet(path)).collect()}
+    batch = clean(user_events(spark, SF)).groupBy(F.date_trunc("minute", "event_timestamp")).count()
+    assert live == {r[0]: r[1] for r in batch.collect()}
