@@ -61,6 +61,19 @@ def latest_events(events: DataFrame, n: int = 5) -> DataFrame:
     return events.orderBy(F.desc("ingested_at"), KEY).limit(n)
 
 
+def latest_stored(events: DataFrame, n: int = 5) -> DataFrame:
+    """``latest_events`` of a stored table, without reading all its columns.
+
+    ``ingested_at`` has one value per batch, so that column alone is next to
+    nothing to read. It gives the instant of the n-th newest row, and only row
+    groups that reach this instant are read in full.
+    """
+    instant = F.col("ingested_at")
+    newest = events.select(instant).orderBy(instant.desc()).limit(n)
+    bound = newest.agg(F.min("ingested_at")).scalar()
+    return latest_events(events.filter(instant >= bound), n)
+
+
 def sample_columns(events: DataFrame, *columns: str, n: int = 10) -> DataFrame:
     """The first ``n`` rows by key, cut to ``columns``."""
     return events.orderBy(KEY).limit(n).select(*columns)
@@ -91,7 +104,9 @@ def running_total(events: DataFrame, file: str = "file_id", block: int = RUNNING
     """
     number = F.col(file)
     files = events.groupBy(file).agg(F.count("*").alias("n"))
-    files = files.withColumn("_block", F.floor(number / F.lit(block)).cast("bigint"))
+    # Never NULL, so that the join adds no filter and both branches share one shuffle.
+    unnumbered = F.lit(-(2**62))
+    files = files.withColumn("_block", F.coalesce(F.floor(number / F.lit(block)).cast("bigint"), unnumbered))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         files.groupBy("_block")

@@ -27,21 +27,27 @@ def first_per_key(rows: DataFrame, key: str = KEY, order: Sequence[str] = ()) ->
 
 
 def not_stored(
-    rows: DataFrame, stored: DataFrame, on: Sequence[str] = (KEY,), broadcast_keys: int = BROADCAST_KEYS
+    rows: DataFrame,
+    stored: DataFrame,
+    on: Sequence[str] = (KEY,),
+    keys: DataFrame | None = None,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """Rows whose key is absent from ``stored``, a much larger set of keys.
 
     A direct anti join would shuffle every stored key. Instead the stored keys
-    are first reduced to those that occur in ``rows`` (the small side is
-    broadcast when its counted size allows, so the stored keys are only
-    scanned), and the anti join runs against that remainder.
-    ``rows`` is read three times; persist it when it is costly.
+    are first reduced to those that occur in ``keys`` (the key columns of
+    ``rows`` when not given): they are broadcast when their counted number
+    allows, so the stored keys are only scanned, and shuffled otherwise. The anti
+    join then runs against that remainder, which ``rows`` bounds.
+    ``keys`` is counted and read again, so it should be cheap or persisted.
     """
     on = list(on)
-    keys = rows.select(*on).distinct()
-    if rows.count() <= broadcast_keys:
-        keys = F.broadcast(keys)
-    hits = stored.select(*on).join(keys, on, "left_semi")
+    keys = rows if keys is None else keys
+    wanted = keys.select(*on).distinct()
+    if keys.count() <= broadcast_keys:
+        wanted = F.broadcast(wanted)
+    hits = stored.select(*on).join(wanted, on, "left_semi")
     return rows.join(hits, on, "left_anti")
 
 

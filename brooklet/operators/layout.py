@@ -23,8 +23,9 @@ def compact(stored: DataFrame, path: str, since_batch: int | None = None) -> Non
     """
     rows = stored
     if since_batch is not None:
+        # The calendar bounds the distinct days; broadcast, they prune the scan.
         days = stored.filter(F.col("batch_id") >= since_batch).select("event_date").distinct()
-        rows = stored.join(days, "event_date", "left_semi")
+        rows = stored.join(F.broadcast(days), "event_date", "left_semi")
     (
         rows.select(*TARGET_COLUMNS, "event_date")
         .hint("rebalance", F.col("event_date"))

@@ -44,14 +44,16 @@ class TableSink:
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         rows = to_target(rows).withColumn("event_date", F.to_date("event_timestamp"))
+        # Copies go first: the ranking leaves the rows hashed and sorted by key,
+        # as the anti join wants them.
+        fresh = first_per_key(rows, KEY, ["event_timestamp"])
         stored = None
         if self.unique != "batch":
             stored = read_stored(rows.sparkSession, self.path)
         if stored is not None:
             earlier = stored.filter(F.col("batch_id") < batch_id)
             on = [KEY] if self.unique == "table" else ["event_date", KEY]
-            rows = not_stored(rows, earlier, on, self.broadcast_keys)
-        fresh = first_per_key(rows, KEY, ["event_timestamp"])
+            fresh = not_stored(fresh, earlier, on, rows, self.broadcast_keys)
         columns = [*TARGET_COLUMNS, "event_date"]
         spread = fresh.select(*columns).hint("rebalance", F.col("event_date"))
         write_batch(spread, self.path, batch_id, "event_date")

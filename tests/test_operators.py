@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from brooklet.operators import analytics, dedupe, quality
 from brooklet.operators.enrich import enrich, unmatched
 from brooklet.operators.quality import KPIS
-from brooklet.plans.inputs import cleaned, slim_events
+from brooklet.plans.inputs import TABLES, cleaned, slim_events, table
 from brooklet.schema import SOURCE_COLUMNS, TARGET
 
 SF = "/root/testdata/sf0.001"
@@ -176,3 +176,20 @@ def test_reports_on_an_empty_table(spark):
     assert quality.latency_stats(none).first().avg_s is None
     assert quality.kpi_report(none).count() == len(KPIS)
     assert quality.duplicate_rows(none).first()[0] == 0
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+@pytest.mark.parametrize("name", TABLES)
+def test_declared_tables(spark, scale, name):
+    folder = f"/root/testdata/sf{scale}"
+    assert table(spark, folder, name).schema == spark.read.parquet(f"{folder}/{name}.parquet").schema
+
+
+def test_stored_keys_are_scanned_not_shuffled(spark, tmp_path):
+    spark.range(1000).selectExpr("id AS event_id", "id AS v").write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    new = spark.range(990, 1010).selectExpr("id AS event_id")
+    plan = dedupe.not_stored(new, stored)._jdf.queryExecution().executedPlan().toString()
+    semi = plan[plan.index("LeftSemi") :]
+    assert "BroadcastHashJoin" in plan and "ReadSchema: struct<event_id:bigint>" in plan
+    assert "Exchange hashpartitioning" not in semi[: semi.index("Scan parquet")]

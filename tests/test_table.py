@@ -117,6 +117,32 @@ def test_hot_day_is_split(spark, tmp_path):
     assert read_events_table(spark, str(tmp_path / "packed")).count() == 30_000
 
 
+def test_compaction_scans_only_the_days_it_rewrites(spark, stored):
+    rows = read_stored(spark, stored)
+    days = rows.filter("batch_id >= 1").select("event_date").distinct()
+    plan = rows.join(F.broadcast(days), "event_date", "left_semi")._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+
+
+def test_latest_rows_of_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = to_target(cleaned(spark, SF)).withColumn("event_date", F.to_date("event_timestamp"))
+    rows.repartitionByRange(4, "ingested_at").write.partitionBy("event_date").parquet(path)
+    events = read_events_table(spark, path)
+    for n in (1, 5, 100, 10_000):
+        assert analytics.latest_stored(events, n).collect() == analytics.latest_events(events, n).collect()
+    assert analytics.latest_stored(events.filter("1 = 0")).count() == 0
+    plan = analytics.latest_stored(events)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<ingested_at:timestamp>" in plan
+
+
+def test_running_total_by_batch(spark, stored):
+    rows = read_stored(spark, stored)
+    found = analytics.running_total(rows, "batch_id").orderBy("batch_id").collect()
+    counts = [rows.filter(F.col("batch_id") == i).count() for i in (0, 1)]
+    assert [tuple(r) for r in found] == [(0, counts[0], counts[0]), (1, counts[1], sum(counts))]
+
+
 class RecordingSink(JdbcSink):
     """Keeps what would go to the database."""
 
