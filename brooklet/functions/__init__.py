@@ -1,4 +1,5 @@
 from brooklet.functions.money import as_money, cents, line_total, round_money
+from brooklet.functions.sums import exact_sum
 from brooklet.functions.time import (
     batch_boundary,
     event_minute,
@@ -12,6 +13,7 @@ __all__ = [
     "batch_boundary",
     "cents",
     "event_minute",
+    "exact_sum",
     "latency_micros",
     "line_total",
     "parse_event_time",

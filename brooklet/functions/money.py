@@ -17,12 +17,7 @@ def line_total(price: Column, quantity: Column) -> Column:
 
 
 def cents(rows: DataFrame, name: str) -> Column:
-    """A cent-precise money column as whole cents.
-
-    Sums of whole cents are exact and independent of row order, and a long
-    accumulator stays in generated code where decimal(20,2) and wider does not
-    (6x faster on 20M rows). Under ANSI mode an overflowing sum raises.
-    """
+    """A cent-precise money column as whole cents."""
     amount = F.col(name)
     if isinstance(rows.schema[name].dataType, T.DecimalType):
         return (amount * 100).cast("bigint")
@@ -31,4 +26,4 @@ def cents(rows: DataFrame, name: str) -> Column:
 
 def as_money(total_cents: Column) -> Column:
     """Whole cents back to a double amount."""
-    return total_cents / F.lit(100.0)
+    return total_cents.cast("double") / F.lit(100.0)

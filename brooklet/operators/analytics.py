@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brooklet.functions import as_money, cents, event_minute
+from brooklet.functions import as_money, cents, event_minute, exact_sum
 from brooklet.schema import KEY
 
 # Rows of the per-file table that share one block in ``running_total``.
@@ -25,7 +25,7 @@ def _purchases(events: DataFrame) -> DataFrame:
 
 
 def _revenue(events: DataFrame) -> Column:
-    return as_money(F.sum(cents(events, "total_amount")))
+    return as_money(exact_sum(cents(events, "total_amount")))
 
 
 def revenue_by_category(events: DataFrame) -> DataFrame:

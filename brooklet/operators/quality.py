@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brooklet.functions import latency_micros
+from brooklet.functions import exact_sum, latency_micros
+from brooklet.functions.sums import high, joined, low
 from brooklet.operators.clean import conform
 from brooklet.operators.contract import all_rules, violates
 from brooklet.schema import KEY, TARGET
@@ -38,10 +39,10 @@ def _latency() -> Column:
 def latency_stats(events: DataFrame) -> DataFrame:
     """Average, smallest and largest delay between event and ingest, in seconds.
 
-    Summed in whole microseconds, so the average does not depend on row order.
+    Summed exactly in microseconds, so the average does not depend on row order.
     """
     return events.select(_latency().alias("_us")).agg(
-        (F.sum("_us") / F.count("_us") / F.lit(1e6)).cast("double").alias("avg_s"),
+        F.try_divide(_seconds(exact_sum(F.col("_us"))), F.count("_us")).alias("avg_s"),
         _seconds(F.min("_us")).alias("min_s"),
         _seconds(F.max("_us")).alias("max_s"),
     )
@@ -86,7 +87,8 @@ def kpi_report(events: DataFrame, kpis: tuple[Kpi, ...] = KPIS) -> DataFrame:
     per_key = measured.groupBy(KEY).agg(
         F.count("*").alias("_n"),
         F.count_if("_bad").alias("_bad"),
-        F.sum("_us").alias("_us"),
+        F.sum(high(F.col("_us"))).alias("_high"),
+        F.sum(low(F.col("_us"))).alias("_low"),
         F.max("_us").alias("_max"),
         F.min("event_timestamp").alias("_first"),
         F.max("ingested_at").alias("_last"),
@@ -95,7 +97,7 @@ def kpi_report(events: DataFrame, kpis: tuple[Kpi, ...] = KPIS) -> DataFrame:
         F.sum("_n").alias("n"),
         F.sum("_bad").alias("bad"),
         F.sum(F.col("_n") - 1).alias("duplicates"),
-        F.sum("_us").alias("us"),
+        joined(F.sum("_high"), F.sum("_low")).alias("us"),
         F.max("_max").alias("max_us"),
         F.min("_first").alias("first"),
         F.max("_last").alias("last"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.functions import as_money, cents
+from brooklet.functions import as_money, cents, exact_sum
 from brooklet.schema import KEY
 
 
@@ -21,8 +21,8 @@ def live_events_per_minute(
     Complete mode keeps all windows and takes every row.
     """
     windows = events.withWatermark("event_timestamp", lateness).groupBy(F.window("event_timestamp", width))
-    bought = F.when(F.col("event_type") == "purchase", cents(events, "total_amount")).otherwise(0)
-    counted = windows.agg(F.count("*").alias("n"), F.sum(bought).alias("_cents"))
+    bought = F.when(F.col("event_type") == "purchase", cents(events, "total_amount")).otherwise(F.lit(0).cast("bigint"))
+    counted = windows.agg(F.count("*").alias("n"), exact_sum(bought).alias("_cents"))
     return counted.select(
         F.col("window.start").alias("event_minute"), "n", as_money(F.col("_cents")).alias("revenue")
     )

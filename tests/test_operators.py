@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from brooklet.functions import exact_sum
 from brooklet.operators import analytics, dedupe, quality
 from brooklet.operators.enrich import enrich, unmatched
 from brooklet.operators.quality import KPIS
@@ -193,3 +194,10 @@ def test_stored_keys_are_scanned_not_shuffled(spark, tmp_path):
     semi = plan[plan.index("LeftSemi") :]
     assert "BroadcastHashJoin" in plan and "ReadSchema: struct<event_id:bigint>" in plan
     assert "Exchange hashpartitioning" not in semi[: semi.index("Scan parquet")]
+
+
+@relaxed
+@given(st.lists(st.integers(-(2**62), 2**62), min_size=1, max_size=30))
+def test_exact_sum(spark, numbers):
+    rows = spark.createDataFrame([(n,) for n in numbers], "x bigint").repartition(3)
+    assert int(rows.agg(exact_sum(F.col("x"))).first()[0]) == sum(numbers)
