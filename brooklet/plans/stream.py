@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklet.operators.clean import clean
 from brooklet.plans.batch import LANDING_ROWS, Query
-from brooklet.plans.inputs import damaged_events, scratch, user_events
+from brooklet.plans.inputs import damaged_events, scratch, table, user_events
 from brooklet.schema import KEY, MONEY_COLUMNS
 from brooklet.sources import read_events_stream, read_events_table, write_landing
 from brooklet.streaming import Ingest, TableSink, dedupe_stream, live_events_per_minute, overwrite_sink
@@ -80,13 +80,20 @@ def stream_events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All landing rows delivered twice, kept once."""
+    """All landing rows delivered twice, kept once.
+
+    Files may come in any order, so the whole time span of the events is allowed
+    as lateness; no row is then late, however many batches it takes.
+    """
     session = stream_session(spark)
+    first, last = F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")
+    seconds = F.unix_seconds(last) - F.unix_seconds(first) + 1
+    span = table(spark, sf_dir, "events").agg(seconds).first()[0] or 0
     events = user_events(spark, sf_dir)
     source = _source(session, _landing(spark, events, events))
     path = scratch(spark, "kept")
     (
-        dedupe_stream(clean(source))
+        dedupe_stream(clean(source), f"{span} seconds")
         .select(KEY, "event_timestamp")
         .writeStream.outputMode("append")
         .option("checkpointLocation", scratch(spark, "checkpoint"))

@@ -85,7 +85,7 @@ class Ingest:
             if self.strict and tally.broken:
                 raise ContractViolation(f"batch {batch_id}: {tally.broken} rows break the table contract")
             if tally.bad and self.quarantine:
-                write_batch(rejected(batch), self.quarantine, batch_id)
+                write_batch(rejected(batch).hint("rebalance"), self.quarantine, batch_id)
             if tally.good:
                 for sink in self.sinks:
                     sink(accepted(batch), batch_id)
@@ -96,7 +96,7 @@ class Ingest:
         report = BatchReport(batch_id, tally.good, tally.bad, time.monotonic() - started)
         self.reports.append(report)
         logger.info(
-            "batch %s: %s stored, %s set aside, %.2f s, %s rows/s",
+            "batch %s: %s accepted, %s set aside, %.2f s, %s rows/s",
             batch_id, report.accepted, report.rejected, report.seconds, report.rows_per_second,
         )
 

@@ -31,7 +31,10 @@ def live_events_per_minute(
 def dedupe_stream(events: DataFrame, lateness: str = "10 minutes", key: str = KEY) -> DataFrame:
     """Drop repeats of a key that arrive within ``lateness`` of its first row.
 
-    State holds the keys of that period only. Repeats beyond it pass.
+    State holds the keys of that period only; repeats beyond it pass. A row
+    further than ``lateness`` behind the newest event is dropped whether repeated
+    or not (counted in the query's progress): choose it to cover the longest
+    delay, or use ``Ingest(dedupe="state")``, which keeps every row.
     """
     return events.withWatermark("event_timestamp", lateness).dropDuplicatesWithinWatermark([key])
 

@@ -2,6 +2,8 @@ import time
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -201,6 +203,38 @@ def test_runs_until_stopped(job):
         query.stop()
     run(query)
     assert not query.isActive
+    stored = job.ids()
+    job.table, job.folder = str(job.folder / "again"), job.folder
+    once = Ingest([TableSink(job.table)]).start(
+        read_events_stream(job.spark, str(job.folder / "in")), str(job.folder / "ck2"), None
+    )
+    once.awaitTermination()
+    assert job.ids() == stored  # either trigger gives the same table
+
+
+batches = st.lists(
+    st.tuples(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 2)), max_size=6), st.booleans()),
+    min_size=1,
+    max_size=4,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(batches, st.sampled_from([0, 1000]))
+def test_any_batches_with_replays(spark, tmp_path_factory, arriving, limit):
+    """Against a plain dict: first batch wins, in a batch the earliest day does."""
+    folder = tmp_path_factory.mktemp("any")
+    sink, model = TableSink(str(folder / "t"), "table", limit), {}
+    for batch_id, (events, replayed) in enumerate(arriving):
+        lines = [line(f"k{k}", {"timestamp": f"2024-01-0{day + 1} 00:00:00"}) for k, day in events]
+        rows = clean(read_events_csv(spark, write_csv(folder / f"in{batch_id}" / "a.csv", lines))).persist()
+        for _ in range(1 + replayed):
+            sink(rows, batch_id)
+        rows.unpersist()
+        for k, day in sorted(events, key=lambda e: e[1]):
+            model.setdefault(f"k{k}", (batch_id, day + 1))
+    stored = read_stored(spark, str(folder / "t")).collect()
+    assert sorted((r.event_id, (r.batch_id, r.event_timestamp.day)) for r in stored) == sorted(model.items())
 
 
 def minutes(spark, folder, mode, sink):
