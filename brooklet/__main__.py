@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--table", help="folder of the event table")
     ingest.add_argument("--quarantine", help="folder for rejected rows")
+    ingest.add_argument("--metrics", help="folder for one report row per batch")
     ingest.add_argument("--archive", help="folder consumed files are moved to")
     ingest.add_argument("--max-files", type=int, default=5)
     ingest.add_argument("--max-bytes", type=int, help="bound a batch by bytes, not files")
@@ -57,7 +58,7 @@ def _parser() -> argparse.ArgumentParser:
 def _sinks(args: argparse.Namespace) -> list:
     sinks: list = []
     if args.table:
-        sinks.append(TableSink(args.table, "batch" if args.unique == "state" else args.unique))
+        sinks.append(TableSink(args.table, "none" if args.unique == "state" else args.unique))
     if args.jdbc_url:
         login = {"user": os.environ.get("JDBC_USER"), "password": os.environ.get("JDBC_PASSWORD")}
         options = {name: value for name, value in login.items() if value}
@@ -66,15 +67,14 @@ def _sinks(args: argparse.Namespace) -> list:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    source = read_events_stream(
-        spark, args.landing, args.max_files, args.max_bytes, args.archive
-    )
+    source = read_events_stream(spark, args.landing, args.max_files, args.max_bytes, args.archive)
     job = Ingest(
         _sinks(args),
         args.quarantine,
         args.strict,
         "state" if args.unique == "state" else "sink",
         args.time_zone,
+        args.metrics,
     )
     run(job.start(source, args.checkpoint, None if args.once else args.interval))
 

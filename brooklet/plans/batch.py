@@ -180,5 +180,5 @@ QUERIES: dict[str, Query] = {
     "quality_summary": quality_summary,
     "contract_violations": contract_violations,
     "kpi_report": on_cleaned(quality.kpi_report),
-    "schema_report": on_cleaned(quality.schema_report),
+    "schema_report": on_cleaned(lambda events: quality.schema_report(to_target(events))),
 }

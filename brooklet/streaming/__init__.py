@@ -1,4 +1,4 @@
-from brooklet.streaming.ingest import BatchReport, ContractViolation, Ingest, progress_rows, run
+from brooklet.streaming.ingest import BatchReport, ContractViolation, Ingest, progress_rows, read_metrics, run
 from brooklet.streaming.live import dedupe_stream, live_events_per_minute, overwrite_sink
 from brooklet.streaming.sinks import JdbcSink, TableSink
 
@@ -12,5 +12,6 @@ __all__ = [
     "live_events_per_minute",
     "overwrite_sink",
     "progress_rows",
+    "read_metrics",
     "run",
 ]

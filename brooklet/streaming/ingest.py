@@ -8,7 +8,7 @@ from collections import deque
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +19,7 @@ from brooklet.streaming.sinks import write_batch
 logger = logging.getLogger(__name__)
 
 Sink = Callable[[DataFrame, int], None]
+METRICS_DDL = "accepted bigint, rejected bigint, seconds double, rows_per_s double"
 
 
 class ContractViolation(RuntimeError):
@@ -38,6 +39,10 @@ class BatchReport:
     def rows_per_second(self) -> float:
         return round(self.accepted / self.seconds, 1) if self.seconds > 0 else 0.0
 
+    def row(self, spark: SparkSession) -> DataFrame:
+        values = (self.accepted, self.rejected, self.seconds, self.rows_per_second)
+        return spark.createDataFrame([values], METRICS_DDL)
+
 
 @dataclass
 class Ingest:
@@ -50,7 +55,8 @@ class Ingest:
     * ``dedupe="state"``: keep the keys seen so far in the stream's state store,
       so a batch costs a lookup per row and never reads the table. State grows
       with the keys: run it with the RocksDB provider. The table sink then needs
-      ``unique="batch"`` only. ``dedupe="sink"`` leaves uniqueness to the sinks.
+      ``unique="none"`` only. ``dedupe="sink"`` leaves uniqueness to the sinks.
+    * ``metrics``: folder for one report row per batch, see ``read_metrics``.
     """
 
     sinks: Sequence[Sink]
@@ -58,6 +64,7 @@ class Ingest:
     strict: bool = False
     dedupe: str = "sink"
     time_zone: str | None = None
+    metrics: str | None = None
     reports: deque[BatchReport] = field(default_factory=lambda: deque(maxlen=1000))
 
     def plan(self, source: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -95,6 +102,8 @@ class Ingest:
             batch.unpersist()
         report = BatchReport(batch_id, tally.good, tally.bad, time.monotonic() - started)
         self.reports.append(report)
+        if self.metrics:
+            write_batch(report.row(batch.sparkSession), self.metrics, batch_id)
         logger.info(
             "batch %s: %s accepted, %s set aside, %.2f s, %s rows/s",
             batch_id, report.accepted, report.rejected, report.seconds, report.rows_per_second,
@@ -137,6 +146,16 @@ def run(query: StreamingQuery) -> None:
         query.stop()
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch with the running total of accepted rows.
+
+    A row per batch is little even after years, so one ordered window will do.
+    """
+    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = spark.read.schema(f"{METRICS_DDL}, batch_id bigint").parquet(path)
+    return rows.withColumn("total", F.sum("accepted").over(so_far))
+
+
 def progress_rows(query: StreamingQuery) -> list[dict]:
     """Batch id, rows, seconds, rows per second and observed metrics of recent batches."""
     rows = []

@@ -32,7 +32,8 @@ class TableSink:
     * ``"day"``: earlier rows of the batch's event dates only. Right when copies
       of an event carry the same event time; the table scan is then pruned to
       those days.
-    * ``"batch"``: this batch only; for streams that already drop repeated keys
+    * ``"batch"``: this batch only.
+    * ``"none"``: not at all; for streams that drop repeated keys themselves
       (``Ingest(dedupe="state")``).
 
     One writer per table. Rows come in as the 12 target columns.
@@ -42,13 +43,17 @@ class TableSink:
     unique: str = "table"
     broadcast_keys: int = BROADCAST_KEYS
 
+    def __post_init__(self) -> None:
+        if self.unique not in ("table", "day", "batch", "none"):
+            raise ValueError(f"unique must be table, day, batch or none, not {self.unique!r}")
+
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         rows = to_target(rows).withColumn("event_date", F.to_date("event_timestamp"))
         # Copies go first: the ranking leaves the rows hashed and sorted by key,
         # as the anti join wants them.
-        fresh = first_per_key(rows, KEY, ["event_timestamp"])
+        fresh = rows if self.unique == "none" else first_per_key(rows, KEY, ["event_timestamp"])
         stored = None
-        if self.unique != "batch":
+        if self.unique in ("table", "day"):
             stored = read_stored(rows.sparkSession, self.path)
         if stored is not None:
             earlier = stored.filter(F.col("batch_id") < batch_id)

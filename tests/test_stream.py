@@ -13,8 +13,16 @@ from brooklet.plans.inputs import damaged_events, user_events
 from brooklet.plans.stream import stream_session
 from brooklet.schema import TARGET_COLUMNS, to_target
 from brooklet.sources import read_events_csv, read_events_stream, read_events_table, read_stored, write_landing
-from brooklet.streaming import Ingest, TableSink, dedupe_stream, live_events_per_minute, progress_rows
-from brooklet.streaming.ingest import run
+from brooklet.streaming import (
+    BatchReport,
+    Ingest,
+    TableSink,
+    dedupe_stream,
+    live_events_per_minute,
+    progress_rows,
+    read_metrics,
+    run,
+)
 from brooklet.streaming.live import latest_result, overwrite_sink
 from dirty import dirty_lines, line, valid_lines, write_csv
 
@@ -134,9 +142,9 @@ def test_keys_in_stream_state(spark, tmp_path):
     job = Run(stream_session(spark), tmp_path, dedupe="state")
     job.land("a", [*valid_lines(["k1", "k2", "k2"]), line("bad", {"price": "0"})])
     job.land("b", [*valid_lines(["k2", "k3"]), line("bad", {"price": "0"})])
-    job.go([TableSink(job.table, unique="batch")])
+    job.go([TableSink(job.table, unique="none")])
     job.land("c", valid_lines(["k1", "k4"]))
-    job.go([TableSink(job.table, unique="batch")])
+    job.go([TableSink(job.table, unique="none")])
     assert job.ids() == ["k1", "k2", "k3", "k4"]
     assert spark.read.parquet(job.bad).count() == 2  # rejected rows are not keys
 
@@ -309,3 +317,24 @@ def test_live_report_equals_batch(spark, tmp_path):
     live = {r.event_minute: r.n for r in latest_result(spark.read.parquet(path)).collect()}
     batch = clean(user_events(spark, SF)).groupBy(F.date_trunc("minute", "event_timestamp")).count()
     assert live == {r[0]: r[1] for r in batch.collect()}
+
+
+def test_throughput():
+    assert BatchReport(0, 25, 5, 2.0).rows_per_second == 12.5
+    assert BatchReport(0, 25, 5, 0.0).rows_per_second == 0.0
+
+
+def test_metrics_table(job):
+    metrics = str(job.folder / "metrics")
+    job.land("a", valid_lines(["a1", "a2"]))
+    job.land("b", [line("x", {"price": "0"})])
+    job.land("c", valid_lines(["c1"]))
+    job.go(metrics=metrics)
+    rows = read_metrics(job.spark, metrics).orderBy("batch_id").collect()
+    assert [(r.batch_id, r.accepted, r.rejected, r.total) for r in rows] == [(0, 2, 0, 2), (1, 0, 1, 2), (2, 1, 0, 3)]
+    assert all(r.seconds > 0 for r in rows) and rows[0].rows_per_s > 0
+
+
+def test_unknown_uniqueness():
+    with pytest.raises(ValueError):
+        TableSink("t", unique="state")
