@@ -57,8 +57,14 @@ class TableSink:
             stored = read_stored(rows.sparkSession, self.path)
         if stored is not None:
             earlier = stored.filter(F.col("batch_id") < batch_id)
-            on = [KEY] if self.unique == "table" else ["event_date", KEY]
-            fresh = not_stored(fresh, earlier, on, rows, self.broadcast_keys)
+            on, keys = [KEY], rows
+            if self.unique == "day":
+                # The span prunes the scan of any plan; inside it the broadcast
+                # keys prune to the very days, which takes a filter on their side.
+                first, last = rows.agg(F.min("event_date"), F.max("event_date")).first()
+                span = F.col("event_date").between(F.lit(first), F.lit(last))
+                on, keys, earlier = ["event_date", KEY], rows.filter(span), earlier.filter(span)
+            fresh = not_stored(fresh, earlier, on, keys, self.broadcast_keys)
         columns = [*TARGET_COLUMNS, "event_date"]
         spread = fresh.select(*columns).hint("rebalance", F.col("event_date"))
         write_batch(spread, self.path, batch_id, "event_date")
