@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     pack.add_argument("--table", required=True)
     pack.add_argument("--out", required=True)
     pack.add_argument("--since-batch", type=int)
+    pack.add_argument("--stream", help="the stream whose batches --since-batch counts")
 
     report = jobs.add_parser("report", help="print the reports of a table")
     report.add_argument("--table", required=True)
@@ -101,7 +102,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if args.job == "ingest":
         ingest(spark, args)
     elif args.job == "compact":
-        compact(read_stored(spark, args.table), args.out, args.since_batch)
+        compact(read_stored(spark, args.table), args.out, args.since_batch, args.stream)
     else:
         report(spark, args)
 

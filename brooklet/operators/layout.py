@@ -11,11 +11,13 @@ from brooklet.schema import TARGET_COLUMNS
 SORT = ("event_date", "event_type", "category", "user_id")
 
 
-def compact(stored: DataFrame, path: str, since_batch: int | None = None) -> None:
+def compact(
+    stored: DataFrame, path: str, since_batch: int | None = None, stream: str | None = None
+) -> None:
     """Rewrite the days of ``stored`` (ingest table rows) as partitions of ``path``.
 
-    Only days that got rows in batch ``since_batch`` or later are rewritten when
-    it is given; their partitions are replaced whole, so a repeated run changes
+    Only days that got rows in batch ``since_batch`` or later (of ``stream``, or
+    of any) are rewritten when it is given; their partitions are replaced whole, so a repeated run changes
     nothing. The rebalance hint merges the small files of a quiet day and splits
     a day that holds a large share of the rows, at
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` a piece.
@@ -24,7 +26,10 @@ def compact(stored: DataFrame, path: str, since_batch: int | None = None) -> Non
     rows = stored
     if since_batch is not None:
         # The calendar bounds the distinct days; broadcast, they prune the scan.
-        days = stored.filter(F.col("batch_id") >= since_batch).select("event_date").distinct()
+        new = stored.filter(F.col("batch_id") >= since_batch)
+        if stream is not None:
+            new = new.filter(F.col("stream") == stream)
+        days = new.select("event_date").distinct()
         rows = stored.join(F.broadcast(days), "event_date", "left_semi")
     (
         rows.select(*TARGET_COLUMNS, "event_date")

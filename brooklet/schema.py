@@ -63,8 +63,8 @@ MONEY_COLUMNS = ("price", "total_amount")
 TARGET_COLUMNS = [c.name for c in TARGET]
 TARGET_DDL = ", ".join(f"`{c.name}` {c.kind}" for c in TARGET)
 
-# The stored table adds two partition columns to the target.
-STORED_DDL = f"{TARGET_DDL}, `batch_id` bigint, `event_date` date"
+# The stored table adds three partition columns to the target.
+STORED_DDL = f"{TARGET_DDL}, `stream` string, `batch_id` bigint, `event_date` date"
 
 
 def to_target(rows: DataFrame) -> DataFrame:

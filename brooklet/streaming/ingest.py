@@ -147,12 +147,13 @@ def run(query: StreamingQuery) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """One row per batch with the running total of accepted rows.
+    """One row per batch with the stream's running total of accepted rows.
 
-    A row per batch is little even after years, so one ordered window will do.
+    A row per batch is little even after years, so an ordered window will do.
     """
-    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = spark.read.schema(f"{METRICS_DDL}, batch_id bigint").parquet(path)
+    rows = spark.read.schema(f"{METRICS_DDL}, stream string, batch_id bigint").parquet(path)
+    so_far = Window.partitionBy("stream").orderBy("batch_id")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn("total", F.sum("accepted").over(so_far))
 
 

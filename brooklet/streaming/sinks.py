@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.operators.dedupe import BROADCAST_KEYS, first_per_key, not_stored
@@ -12,13 +12,23 @@ from brooklet.schema import KEY, TARGET_COLUMNS, to_target
 from brooklet.sources.table import read_stored
 
 
+def stream_id(spark: SparkSession) -> str:
+    """The id of the streaming query that is running this batch.
+
+    It belongs to the checkpoint: a restart keeps it, a new checkpoint, which
+    counts its batches from 0 again, has another. ``direct`` outside a stream.
+    """
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Replace the folder of one batch, so a replayed batch is written once.
+    """Replace the folder of one batch of one stream, so a replay is written once.
 
     The whole folder is overwritten: dynamic partition overwrite would keep the
     old rows of a replay that has none.
     """
-    rows.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch_id={batch_id}")
+    folder = f"{path}/stream={stream_id(rows.sparkSession)}/batch_id={batch_id}"
+    rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
 
 
 @dataclass(frozen=True)
@@ -27,14 +37,15 @@ class TableSink:
 
     ``unique`` says against what a key is checked:
 
-    * ``"table"``: every earlier batch. Scans the key column of the whole table
+    * ``"table"``: every earlier batch, and those of other streams. Scans the key column of the whole table
       for each batch.
     * ``"day"``: earlier rows of the batch's event dates only. Right when copies
       of an event carry the same event time; the table scan is then pruned to
       those days.
     * ``"batch"``: this batch only.
     * ``"none"``: not at all; for streams that drop repeated keys themselves
-      (``Ingest(dedupe="state")``).
+      (``Ingest(dedupe="state")``). Such state is lost with the checkpoint: go on
+      with ``"table"`` or ``"day"`` after that.
 
     One writer per table. Rows come in as the 12 target columns.
     """
@@ -56,7 +67,8 @@ class TableSink:
         if self.unique in ("table", "day"):
             stored = read_stored(rows.sparkSession, self.path)
         if stored is not None:
-            earlier = stored.filter(F.col("batch_id") < batch_id)
+            other_stream = F.col("stream") != stream_id(rows.sparkSession)
+            earlier = stored.filter(other_stream | (F.col("batch_id") < batch_id))
             on, keys = [KEY], rows
             if self.unique == "day":
                 # The span prunes the scan of any plan; inside it the broadcast
@@ -104,9 +116,9 @@ class JdbcSink:
 
     def stored(self, rows: DataFrame) -> DataFrame:
         """Keys stored under the one ingest instant of this batch."""
-        instant = rows.select("ingested_at").first()[0]
+        instant = F.timestamp_micros(F.lit(rows.select(F.unix_micros("ingested_at")).first()[0]))
         known = rows.sparkSession.read.format("jdbc").options(**self.connection()).load()
-        return known.filter(F.col("ingested_at") == F.lit(instant)).select(KEY)
+        return known.filter(F.col("ingested_at") == instant).select(KEY)
 
     def write(self, rows: DataFrame) -> None:
         rows.write.format("jdbc").options(**self.write_options()).mode("append").save()

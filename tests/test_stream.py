@@ -305,7 +305,7 @@ def test_target_columns(job):
     rows = read_events_table(job.spark, job.table)
     assert rows.columns == TARGET_COLUMNS
     assert dict(rows.dtypes)["price"] == "decimal(10,2)"
-    assert Path(job.table, "batch_id=0", "event_date=2024-01-01").is_dir()
+    assert Path(job.table, f"stream={job.query.id}", "batch_id=0", "event_date=2024-01-01").is_dir()
     assert rows.filter(F.col("event_timestamp") > F.col("ingested_at")).count() == 0
 
 
@@ -338,3 +338,71 @@ def test_metrics_table(job):
 def test_unknown_uniqueness():
     with pytest.raises(ValueError):
         TableSink("t", unique="state")
+
+
+def test_new_checkpoint_on_an_old_table(job):
+    """Batch numbers start over; what is stored stays, and stays unique."""
+    metrics = str(job.folder / "metrics")
+    job.land("a", valid_lines(["a1", "a2"]))
+    job.land("bad1", [line("x", {"price": "0"})])
+    job.go(metrics=metrics)
+    job.land("b", valid_lines(["a2", "b1"]))
+    old, job.folder = job.folder, job.folder / "moved"
+    (job.folder / "in").mkdir(parents=True)
+    for path in (old / "in").glob("b*.csv"):
+        write_csv(job.folder / "in" / path.name, path.read_text().splitlines()[1:])
+        time.sleep(0.02)
+    job.go(metrics=metrics)
+    assert job.ids() == ["a1", "a2", "b1"]
+    stored = read_stored(job.spark, job.table)
+    assert stored.select("stream").distinct().count() == 2
+    assert job.spark.read.parquet(job.bad).count() == 2
+    assert read_metrics(job.spark, metrics).agg(F.sum("accepted")).first()[0] == 4
+
+
+def model_keeps(row):
+    _, user, kind, product, price, total = row
+    return (
+        all(v is not None for v in row[:4])
+        and kind in ("view", "purchase")
+        and all(m is not None and (m > 0 or m != m) for m in (price, total))
+    )
+
+
+amounts = st.one_of(
+    st.none(),
+    st.sampled_from([0.0, -0.0, 0.004, float("nan"), float("inf"), float("-inf"), 99999999.99, 1e8]),
+    st.floats(-10, 2e8, width=64),
+)
+rough_rows = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.text("ab", max_size=40)),
+        st.one_of(st.none(), st.integers(-3, 3)),
+        st.sampled_from([None, "view", "purchase", "VIEW", " view", ""]),
+        st.one_of(st.none(), st.just(1)),
+        amounts,
+        amounts,
+    ),
+    max_size=60,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rough_rows)
+def test_any_rows_against_plain_rules(spark, rows):
+    landing = spark.createDataFrame(
+        [(n, *row) for n, row in enumerate(rows)],
+        "quantity int, event_id string, user_id int, event_type string, product_id int, "
+        "price double, total_amount double",
+    ).selectExpr(
+        "*", "'s' AS session_id", "'n' AS product_name", "'c' AS category", "'2024-01-01 00:00:00' AS timestamp"
+    )
+    kept = {n for n, row in enumerate(rows) if model_keeps(row)}
+    assert {r.quantity for r in clean(landing).collect()} == kept
+    def fits(amount):
+        return amount == amount and abs(amount) < 99999999.995
+    stored = {n for n in kept if len(rows[n][0]) <= 36 and fits(rows[n][4]) and fits(rows[n][5])}
+    checked = check(landing)
+    good = to_target(accepted(checked)).collect()
+    assert {r.quantity for r in good} == stored
+    assert checked.filter("reasons != ''").count() == len(rows) - len(stored)
