@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 from brooklet.operators import analytics, quality
 from brooklet.operators.layout import compact
 from brooklet.sources import read_events_stream, read_events_table, read_stored
-from brooklet.streaming import Ingest, JdbcSink, TableSink, run
+from brooklet.streaming import Ingest, JdbcSink, TableSink, run, stream_session
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -68,6 +68,8 @@ def _sinks(args: argparse.Namespace) -> list:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.unique == "state":
+        spark = stream_session(spark)
     source = read_events_stream(spark, args.landing, args.max_files, args.max_bytes, args.archive)
     job = Ingest(
         _sinks(args),

@@ -10,27 +10,19 @@ from brooklet.plans.batch import LANDING_ROWS, Query
 from brooklet.plans.inputs import damaged_events, scratch, table, user_events
 from brooklet.schema import KEY, MONEY_COLUMNS
 from brooklet.sources import read_events_stream, read_events_table, write_landing
-from brooklet.streaming import Ingest, TableSink, dedupe_stream, live_events_per_minute, overwrite_sink
-from brooklet.streaming.live import latest_result
+from brooklet.streaming import (
+    Ingest,
+    TableSink,
+    dedupe_stream,
+    latest_result,
+    live_events_per_minute,
+    overwrite_sink,
+    stream_session,
+)
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BATCH_BYTES = 64 << 30
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A session of its own for stateful streams.
-
-    State lives in RocksDB, off the heap. The number of state partitions is fixed
-    by the first run, so it follows the cores of the cluster.
-    """
-    session = spark.newSession()
-    session.conf.set(STATE_STORE, ROCKSDB)
-    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    return session
-
-
 def _landing(spark: SparkSession, *batches: DataFrame) -> str:
     path = scratch(spark, "landing")
     for batch in batches:

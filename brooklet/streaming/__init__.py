@@ -1,5 +1,18 @@
-from brooklet.streaming.ingest import BatchReport, ContractViolation, Ingest, progress_rows, read_metrics, run
-from brooklet.streaming.live import dedupe_stream, live_events_per_minute, overwrite_sink
+from brooklet.streaming.ingest import (
+    BatchReport,
+    ContractViolation,
+    Ingest,
+    progress_rows,
+    read_metrics,
+    run,
+)
+from brooklet.streaming.live import (
+    dedupe_stream,
+    latest_result,
+    live_events_per_minute,
+    overwrite_sink,
+)
+from brooklet.streaming.session import stream_session
 from brooklet.streaming.sinks import JdbcSink, TableSink
 
 __all__ = [
@@ -9,9 +22,11 @@ __all__ = [
     "JdbcSink",
     "TableSink",
     "dedupe_stream",
+    "latest_result",
     "live_events_per_minute",
     "overwrite_sink",
     "progress_rows",
     "read_metrics",
     "run",
+    "stream_session",
 ]

@@ -2,7 +2,6 @@ import pytest
 
 from brooklet.__main__ import main
 from brooklet.plans.inputs import cleaned, user_events
-from brooklet.plans.stream import stream_session
 from brooklet.sources import read_events_table, write_landing
 
 SF = "/root/testdata/sf0.001"
@@ -14,7 +13,7 @@ def test_ingest_compact_report(spark, tmp_path, capsys, unique):
     write_landing(user_events(spark, SF), landing, 500)
     write_landing(user_events(spark, SF), landing, 500)
     options = ["--landing", landing, "--table", table, "--checkpoint", str(tmp_path / "ck")]
-    main(["ingest", *options, "--once", "--max-files", "1", "--unique", unique], stream_session(spark))
+    main(["ingest", *options, "--once", "--max-files", "1", "--unique", unique], spark)
     main(["compact", "--table", table, "--out", packed], spark)
     stored = read_events_table(spark, packed)
     assert stored.count() == cleaned(spark, SF).count()

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from brooklet.operators.clean import clean
 from brooklet.operators.contract import accepted, check
 from brooklet.plans.inputs import damaged_events, user_events
-from brooklet.plans.stream import stream_session
 from brooklet.schema import TARGET_COLUMNS, to_target
 from brooklet.sources import read_events_csv, read_events_stream, read_events_table, read_stored, write_landing
 from brooklet.streaming import (
@@ -18,12 +17,14 @@ from brooklet.streaming import (
     Ingest,
     TableSink,
     dedupe_stream,
+    latest_result,
     live_events_per_minute,
+    overwrite_sink,
     progress_rows,
     read_metrics,
     run,
+    stream_session,
 )
-from brooklet.streaming.live import latest_result, overwrite_sink
 from dirty import dirty_lines, line, valid_lines, write_csv
 
 SF = "/root/testdata/sf0.001"
