@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.schema import TARGET_COLUMNS
+from brooklet.sources.table import micros
 
 # Rows of a day are ordered so that row-group statistics serve the usual filters.
 SORT = ("event_date", "event_type", "category", "user_id")
@@ -31,12 +32,12 @@ def compact(
             new = new.filter(F.col("stream") == stream)
         days = new.select("event_date").distinct()
         rows = stored.join(F.broadcast(days), "event_date", "left_semi")
-    (
-        rows.select(*TARGET_COLUMNS, "event_date")
-        .hint("rebalance", F.col("event_date"))
-        .sortWithinPartitions(*SORT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+    packed = rows.select(*TARGET_COLUMNS, "event_date").hint("rebalance", F.col("event_date"))
+    with micros(stored.sparkSession):
+        (
+            packed.sortWithinPartitions(*SORT)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date")
+            .parquet(path)
+        )

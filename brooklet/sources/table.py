@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -11,6 +13,24 @@ from pyspark.sql import functions as F
 from brooklet.schema import STORED_DDL, TARGET_COLUMNS, TARGET_DDL
 
 
+TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
+
+
+@contextmanager
+def micros(spark: SparkSession) -> Iterator[None]:
+    """Write Parquet timestamps as 64-bit microseconds.
+
+    The default, INT96, carries no statistics, so no filter on a time could skip
+    row groups.
+    """
+    before = spark.conf.get(TIMESTAMP_TYPE)
+    spark.conf.set(TIMESTAMP_TYPE, "TIMESTAMP_MICROS")
+    try:
+        yield
+    finally:
+        spark.conf.set(TIMESTAMP_TYPE, before)
+
+
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
     """Ingest table rows with ``batch_id`` and ``event_date``; None before the first batch."""
     try:

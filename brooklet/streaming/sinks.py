@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brooklet.operators.dedupe import BROADCAST_KEYS, first_per_key, not_stored
 from brooklet.schema import KEY, TARGET_COLUMNS, to_target
-from brooklet.sources.table import read_stored
+from brooklet.sources.table import micros, read_stored
 
 
 def stream_id(spark: SparkSession) -> str:
@@ -27,8 +27,10 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) ->
     The whole folder is overwritten: dynamic partition overwrite would keep the
     old rows of a replay that has none.
     """
-    folder = f"{path}/stream={stream_id(rows.sparkSession)}/batch_id={batch_id}"
-    rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
+    spark = rows.sparkSession
+    folder = f"{path}/stream={stream_id(spark)}/batch_id={batch_id}"
+    with micros(spark):
+        rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
 
 
 @dataclass(frozen=True)
@@ -37,8 +39,8 @@ class TableSink:
 
     ``unique`` says against what a key is checked:
 
-    * ``"table"``: every earlier batch, and those of other streams. Scans the key column of the whole table
-      for each batch.
+    * ``"table"``: every earlier batch, and those of other streams. Scans the key
+      column of the whole table for each batch.
     * ``"day"``: earlier rows of the batch's event dates only. Right when copies
       of an event carry the same event time; the table scan is then pruned to
       those days.

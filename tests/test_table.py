@@ -124,11 +124,39 @@ def test_compaction_scans_only_the_days_it_rewrites(spark, stored):
     assert "dynamicpruning" in plan.toString()
 
 
+def rows_scanned(frame):
+    """Rows the file scans of an executed plan gave, by number of columns read."""
+    frame.collect()
+    found = {}
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Scan"):
+            rows = node.metrics().apply("numOutputRows").value()
+            found[node.output().size()] = rows
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif "QueryStage" in name:
+            walk(node.plan())
+        else:
+            for i in range(node.children().size()):
+                walk(node.children().apply(i))
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return found
+
+
 def test_latest_rows_of_a_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    rows = to_target(cleaned(spark, SF)).withColumn("event_date", F.to_date("event_timestamp"))
-    rows.repartitionByRange(4, "ingested_at").write.partitionBy("event_date").parquet(path)
+    rows = cleaned(spark, SF).persist()
+    for batch, day in enumerate(("2024-01-01", "2024-01-10", "2024-01-20")):
+        TableSink(path)(rows.filter(f"event_timestamp >= '{day}' AND event_timestamp < date'{day}' + 9"), batch)
     events = read_events_table(spark, path)
+    rows.unpersist()
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"  # put back
+    whole = rows_scanned(events)
+    newest = rows_scanned(analytics.latest_stored(events))
+    assert newest[max(newest)] < whole[max(whole)] / 10  # statistics skip the older files
     for n in (1, 5, 100, 10_000):
         assert analytics.latest_stored(events, n).collect() == analytics.latest_events(events, n).collect()
     assert analytics.latest_stored(events.filter("1 = 0")).count() == 0
