@@ -84,11 +84,12 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     events = read_events_table(spark, args.table)
+    days = read_events_table(spark, args.table, with_day=True)
     for title, rows in {
         "events": analytics.total_events(events),
         "by type": analytics.event_type_share(events),
         "revenue": analytics.category_revenue_purchases(events),
-        "per minute": analytics.events_per_minute(events),
+        "per minute": analytics.newest_minutes(days),
         "latest": analytics.latest_stored(events),
         "latency": quality.latency_stats(events),
         "kpi": quality.kpi_report(events),

@@ -56,6 +56,18 @@ def events_per_minute(events: DataFrame, last: int | None = 10) -> DataFrame:
     return newest if last is None else newest.limit(last)
 
 
+def newest_minutes(events: DataFrame, last: int = 10) -> DataFrame:
+    """``events_per_minute`` of a stored table with its ``event_date``.
+
+    Every day that has events has a minute that does, so the newest ``last`` such
+    days hold all the minutes asked for, and the other partitions are skipped.
+    One day more is read, in case writers cut their days in different zones.
+    """
+    days = events.select("event_date").distinct().orderBy(F.desc("event_date")).limit(last)
+    bound = days.agg(F.date_sub(F.min("event_date"), 1)).scalar()
+    return events_per_minute(events.filter(F.col("event_date") >= bound), last)
+
+
 def latest_events(events: DataFrame, n: int = 5) -> DataFrame:
     """Newest rows by ingest time; the key breaks the ties inside a batch."""
     return events.orderBy(F.desc("ingested_at"), KEY).limit(n)

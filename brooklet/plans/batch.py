@@ -113,6 +113,22 @@ def compact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_events(spark: SparkSession, sf_dir: str, with_day: bool = False) -> DataFrame:
+    """The clean events written to a table and read back, money as double."""
+    path = scratch(spark, "table")
+    TableSink(path, unique="none")(cleaned(spark, sf_dir), 0)
+    amounts = {name: F.col(name).cast("double") for name in MONEY_COLUMNS}
+    return read_events_table(spark, path, with_day=with_day).withColumns(amounts)
+
+
+def newest_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.newest_minutes(stored_events(spark, sf_dir, with_day=True))
+
+
+def latest_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.latest_stored(stored_events(spark, sf_dir))
+
+
 def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.latest_events(cleaned(spark, sf_dir))
 
@@ -173,6 +189,8 @@ QUERIES: dict[str, Query] = {
     "keyed_append": keyed_append,
     "compact_events": compact_events,
     "latest_events": latest_events,
+    "latest_stored": latest_stored,
+    "newest_minutes": newest_minutes,
     "file_type_counts": file_type_counts,
     "running_total": running_total,
     "event_type_share": on_cleaned(analytics.event_type_share),

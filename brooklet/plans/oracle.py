@@ -173,3 +173,5 @@ SQL: dict[str, str] = {
         FILTER (WHERE event_type = 'purchase'), 0) AS DOUBLE) AS revenue FROM cleaned GROUP BY 1""",
     "stream_dedupe": f"{CLEANED} SELECT event_id, event_timestamp FROM cleaned",
 }
+SQL["latest_stored"] = SQL["latest_events"]
+SQL["newest_minutes"] = SQL["events_per_minute"]

@@ -42,9 +42,13 @@ def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_events_table(
-    spark: SparkSession, path: str, since: datetime | None = None, until: datetime | None = None
+    spark: SparkSession,
+    path: str,
+    since: datetime | None = None,
+    until: datetime | None = None,
+    with_day: bool = False,
 ) -> DataFrame:
-    """Target columns of an ingest or compacted table.
+    """Target columns of an ingest or compacted table; ``event_date`` too ``with_day``.
 
     ``since`` (inclusive) and ``until`` (exclusive) bound the event time. They
     also prune the day partitions, a day wider on either side in case the writer
@@ -58,7 +62,7 @@ def read_events_table(
     if until is not None:
         rows = rows.filter(F.col("event_date") <= F.lit((until + day).date()))
         rows = rows.filter(F.col("event_timestamp") < F.lit(until))
-    return rows.select(*TARGET_COLUMNS)
+    return rows if with_day else rows.select(*TARGET_COLUMNS)
 
 
 def read_events_jdbc(

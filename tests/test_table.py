@@ -164,6 +164,16 @@ def test_latest_rows_of_a_table(spark, tmp_path):
     assert "ReadSchema: struct<ingested_at:timestamp>" in plan
 
 
+def test_newest_minutes_skip_older_days(spark, stored):
+    events = read_events_table(spark, stored, with_day=True)
+    for last in (1, 3, 10, 10_000):
+        newest = analytics.newest_minutes(events, last)
+        assert newest.collect() == analytics.events_per_minute(events, last).collect()
+    whole = rows_scanned(analytics.events_per_minute(events, 3))
+    newest = rows_scanned(analytics.newest_minutes(events, 3))
+    assert newest[max(newest)] < whole[max(whole)] / 3
+
+
 def test_running_total_by_batch(spark, stored):
     rows = read_stored(spark, stored)
     found = analytics.running_total(rows, "batch_id").orderBy("batch_id").collect()
