@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from brooklet.operators.quality import KPIS
-from brooklet.plans.inputs import FAULT_KINDS, FAULTS, SESSION_ROWS
+from brooklet.plans.inputs import FAULT_NUMBERS, FAULTS, SESSION_ROWS
 from brooklet.schema import EVENT_TYPES, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS
 
 UE = f"""ue AS (
@@ -19,7 +19,7 @@ UE = f"""ue AS (
   FROM events e JOIN part p ON CAST(json_extract_string(e.props, '$.k') AS BIGINT) = p.p_partkey)"""
 
 DAMAGED = f"""{UE}, numbered AS (
-  SELECT *, CAST(event_id AS BIGINT) % {FAULT_KINDS} AS fault FROM ue), damaged AS (
+  SELECT *, CAST(event_id AS BIGINT) % {FAULT_NUMBERS} AS fault FROM ue), damaged AS (
   SELECT {", ".join(f'{FAULTS[name]} AS "{name}"' for name in SOURCE_COLUMNS)} FROM numbered)"""
 
 PARSED = """try_strptime("timestamp", '%Y-%m-%d %H:%M:%S')"""
