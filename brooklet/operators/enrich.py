@@ -23,9 +23,12 @@ def enrich(events: DataFrame, products: DataFrame, units: Column | None = None)
     a product that holds a large share of the events.
     Events without a product are returned by ``unmatched``.
     """
-    wide = events.withColumn(
+    slim = events.withColumn(
         "quantity", purchase_quantity(F.col("quantity") if units is None else units)
-    ).join(products, "product_id", "inner")
+    )
+    # The product's side of the key goes on, so that conditions on it meet the products.
+    same = slim["product_id"] == products["product_id"]
+    wide = slim.join(products, same, "inner").drop(slim["product_id"])
     wide = wide.withColumn("total_amount", line_total(F.col("price"), F.col("quantity")))
     return wide.select(*(F.col(name).cast(kind).alias(name) for name, kind in SOURCE_FIELDS.items()))
 
