@@ -25,7 +25,7 @@ from brooklet.streaming import (
     run,
     stream_session,
 )
-from dirty import dirty_lines, line, valid_lines, write_csv
+from dirty import HEADER, dirty_lines, line, valid_lines, write_csv
 
 SF = "/root/testdata/sf0.001"
 
@@ -407,3 +407,30 @@ def test_any_rows_against_plain_rules(spark, rows):
     good = to_target(accepted(checked)).collect()
     assert {r.quantity for r in good} == stored
     assert checked.filter("reasons != ''").count() == len(rows) - len(stored)
+
+
+def test_wrong_header_stops_a_strict_reader(spark, tmp_path):
+    swapped = HEADER.replace("event_id,user_id", "user_id,event_id")
+    folder = write_csv(tmp_path / "in" / "a.csv", valid_lines(["a1"]), swapped)
+    job = Ingest([TableSink(str(tmp_path / "t"))])
+    for strict in (True, False):
+        source = read_events_stream(spark, folder, strict_header=strict)
+        query = job.start(source, str(tmp_path / f"ck{strict}"), None)
+        if strict:
+            with pytest.raises(StreamingQueryException):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+    assert [(r.accepted, r.rejected) for r in job.reports] == [(1, 0)]  # bound by position
+
+
+def test_arrival_order_does_not_matter(spark, tmp_path):
+    files = {f"f{i}": valid_lines([f"k{i}{j}" for j in range(3)]) for i in range(6)}
+    tables = []
+    for turn, names in enumerate((sorted(files), sorted(files, reverse=True))):
+        job = Run(spark, tmp_path / str(turn))
+        for name in names:
+            job.land(name, files[name])
+        job.go(max_files=2)
+        tables.append(job.ids())
+    assert tables[0] == tables[1] == sorted(f"k{i}{j}" for i in range(6) for j in range(3))
