@@ -81,6 +81,12 @@ def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events delivered twice, kept once."""
+    rows = cleaned(spark, sf_dir).select(KEY, "event_timestamp")
+    return dedupe.first_per_key(rows.unionByName(rows), KEY, ["event_timestamp"])
+
+
+def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First event of each user and type, whose groups hold many rows each."""
     rows = cleaned(spark, sf_dir).select("user_id", "event_type", "event_timestamp", KEY)
     rows = rows.withColumn("holder", F.concat_ws("/", "user_id", "event_type"))
@@ -91,14 +97,11 @@ def keyed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases first, then all rows twice over, then the second batch once more."""
     path = scratch(spark, "table")
     sink = TableSink(path)
-    rows = cleaned(spark, sf_dir).persist()
-    try:
-        sink(rows.filter(F.col("event_type") == "purchase"), 0)
-        both = rows.withColumn("ingested_at", ingest_boundary() + F.expr("INTERVAL 1 HOUR"))
-        for _ in range(2):
-            sink(both.unionByName(both), 1)
-    finally:
-        rows.unpersist()
+    rows = cleaned(spark, sf_dir)
+    sink(rows.filter(F.col("event_type") == "purchase"), 0)
+    later = rows.withColumn("ingested_at", ingest_boundary() + F.expr("INTERVAL 1 HOUR"))
+    for _ in range(2):
+        sink(later.unionByName(later), 1)
     return read_stored(spark, path).select(KEY, "batch_id", "ingested_at")
 
 
@@ -186,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_keys": repeated_lines,
     "duplicate_rows": duplicate_rows,
     "dedupe_events": dedupe_events,
+    "first_events": first_events,
     "keyed_append": keyed_append,
     "compact_events": compact_events,
     "latest_events": latest_events,

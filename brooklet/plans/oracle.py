@@ -135,7 +135,8 @@ SQL: dict[str, str] = {
       GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "duplicate_rows": f"""{CLEANED} SELECT CAST(count(*) - count(DISTINCT concat(user_id, '/',
       strftime(event_timestamp, '%Y-%m-%d %H:%M'))) AS BIGINT) AS duplicates FROM cleaned""",
-    "dedupe_events": f"""{CLEANED} SELECT user_id, event_type, event_timestamp, event_id,
+    "dedupe_events": f"{CLEANED} SELECT DISTINCT event_id, event_timestamp FROM cleaned",
+    "first_events": f"""{CLEANED} SELECT user_id, event_type, event_timestamp, event_id,
       concat(user_id, '/', event_type) AS holder
       FROM cleaned QUALIFY row_number() OVER (
         PARTITION BY user_id, event_type ORDER BY event_timestamp, event_id) = 1""",
