@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.schema import TARGET_COLUMNS
-from brooklet.sources.table import micros
+from brooklet.sources.table import write_settings
 
 # Rows of a day are ordered so that row-group statistics serve the usual filters.
 SORT = ("event_date", "event_type", "category", "user_id")
@@ -33,7 +33,7 @@ def compact(
         days = new.select("event_date").distinct()
         rows = stored.join(F.broadcast(days), "event_date", "left_semi")
     packed = rows.select(*TARGET_COLUMNS, "event_date").hint("rebalance", F.col("event_date"))
-    with micros(stored.sparkSession):
+    with write_settings(stored.sparkSession):
         (
             packed.sortWithinPartitions(*SORT)
             .write.mode("overwrite")

@@ -13,22 +13,27 @@ from pyspark.sql import functions as F
 from brooklet.schema import STORED_DDL, TARGET_COLUMNS, TARGET_DDL
 
 
-TIMESTAMP_TYPE = "spark.sql.parquet.outputTimestampType"
+# Timestamps as 64-bit microseconds: the default, INT96, carries no statistics, so no
+# filter on a time could skip row groups. And files of the advisory size: by default
+# partitions are merged only as far as every core still gets one, which on a large
+# cluster leaves a small batch in thousands of files.
+WRITE_SETTINGS = {
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+}
 
 
 @contextmanager
-def micros(spark: SparkSession) -> Iterator[None]:
-    """Write Parquet timestamps as 64-bit microseconds.
-
-    The default, INT96, carries no statistics, so no filter on a time could skip
-    row groups.
-    """
-    before = spark.conf.get(TIMESTAMP_TYPE)
-    spark.conf.set(TIMESTAMP_TYPE, "TIMESTAMP_MICROS")
+def write_settings(spark: SparkSession) -> Iterator[None]:
+    """The session with ``WRITE_SETTINGS`` for the time of a write."""
+    before = {name: spark.conf.get(name) for name in WRITE_SETTINGS}
+    for name, value in WRITE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(TIMESTAMP_TYPE, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:

@@ -92,7 +92,8 @@ class Ingest:
             if self.strict and tally.broken:
                 raise ContractViolation(f"batch {batch_id}: {tally.broken} rows break the table contract")
             if tally.bad and self.quarantine:
-                write_batch(rejected(batch).hint("rebalance"), self.quarantine, batch_id)
+                spread = rejected(batch).hint("rebalance", F.col(KEY))
+                write_batch(spread, self.quarantine, batch_id)
             if tally.good:
                 for sink in self.sinks:
                     sink(accepted(batch), batch_id)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brooklet.operators.dedupe import BROADCAST_KEYS, first_per_key, not_stored
 from brooklet.schema import KEY, TARGET_COLUMNS, to_target
-from brooklet.sources.table import micros, read_stored
+from brooklet.sources.table import read_stored, write_settings
 
 
 def stream_id(spark: SparkSession) -> str:
@@ -29,7 +29,7 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) ->
     """
     spark = rows.sparkSession
     folder = f"{path}/stream={stream_id(spark)}/batch_id={batch_id}"
-    with micros(spark):
+    with write_settings(spark):
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
 
 

@@ -34,6 +34,14 @@ def test_table_holds_all_rows_once(spark, stored):
     assert dump(read_events_table(spark, stored)) == dump(to_target(cleaned(spark, SF)))
 
 
+def test_one_file_per_quiet_day(spark, stored, tmp_path):
+    for path in (stored, str(tmp_path / "packed")):
+        if path != stored:
+            compact(read_stored(spark, stored), path)
+        folders = [file.parent for file in Path(path).rglob("*.parquet")]
+        assert len(folders) == len(set(folders)) >= 30
+
+
 def test_sql_over_the_table(spark, stored):
     events = read_events_table(spark, stored)
     register_events(events)
