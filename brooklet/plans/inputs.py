@@ -71,32 +71,30 @@ def ingest_boundary() -> Column:
     return batch_boundary(F.col("event_timestamp"))
 
 
-FAULT_NUMBERS = 60
-
-# The given events are valid throughout, so every event gets a fault number from its
-# id. Numbers 1 to 23 each damage one column; the others leave the row as it is.
+# The given events are valid throughout. Here the events of products 1 to 23 come from
+# faulty producers: each of these products has its own way of damaging one column.
 # The texts are valid in Spark and ANSI SQL alike.
 FAULTS = {
-    "event_id": "CASE fault WHEN 1 THEN NULL WHEN 2 THEN concat(event_id, repeat('x', 37)) ELSE event_id END",
-    "user_id": "CASE fault WHEN 3 THEN NULL ELSE user_id END",
-    "session_id": "CASE fault WHEN 4 THEN NULL ELSE session_id END",
-    "event_type": "CASE fault WHEN 5 THEN NULL WHEN 6 THEN upper(event_type) "
+    "event_id": "CASE product WHEN 1 THEN NULL WHEN 2 THEN concat(event_id, repeat('x', 37)) ELSE event_id END",
+    "user_id": "CASE product WHEN 3 THEN NULL ELSE user_id END",
+    "session_id": "CASE product WHEN 4 THEN NULL ELSE session_id END",
+    "event_type": "CASE product WHEN 5 THEN NULL WHEN 6 THEN upper(event_type) "
     "WHEN 7 THEN concat(' ', event_type) ELSE event_type END",
-    "product_id": "CASE fault WHEN 8 THEN NULL ELSE product_id END",
-    "product_name": "CASE fault WHEN 9 THEN repeat('n', 101) ELSE product_name END",
-    "category": "CASE fault WHEN 10 THEN NULL WHEN 11 THEN repeat('c', 51) ELSE category END",
-    "price": "CASE fault WHEN 12 THEN 0e0 WHEN 13 THEN -1e0 WHEN 14 THEN NULL WHEN 15 THEN 4e-3 "
+    "product_id": "CASE product WHEN 8 THEN NULL ELSE product_id END",
+    "product_name": "CASE product WHEN 9 THEN repeat('n', 101) ELSE product_name END",
+    "category": "CASE product WHEN 10 THEN NULL WHEN 11 THEN repeat('c', 51) ELSE category END",
+    "price": "CASE product WHEN 12 THEN 0e0 WHEN 13 THEN -1e0 WHEN 14 THEN NULL WHEN 15 THEN 4e-3 "
     "WHEN 16 THEN CAST('NaN' AS DOUBLE) WHEN 17 THEN CAST('Infinity' AS DOUBLE) ELSE price END",
-    "quantity": "CASE fault WHEN 18 THEN NULL WHEN 19 THEN -1 ELSE quantity END",
-    "total_amount": "CASE fault WHEN 20 THEN 0e0 WHEN 21 THEN 123456789e0 ELSE total_amount END",
-    "timestamp": "CASE fault WHEN 22 THEN 'not-a-ts' WHEN 23 THEN replace(\"timestamp\", ' ', 'T') "
+    "quantity": "CASE product WHEN 18 THEN NULL WHEN 19 THEN -1 ELSE quantity END",
+    "total_amount": "CASE product WHEN 20 THEN 0e0 WHEN 21 THEN 123456789e0 ELSE total_amount END",
+    "timestamp": "CASE product WHEN 22 THEN 'not-a-ts' WHEN 23 THEN replace(\"timestamp\", ' ', 'T') "
     'ELSE "timestamp" END',
 }
 
 
 def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events; about four in ten of them damaged in one column."""
-    rows = user_events(spark, sf_dir).withColumn("fault", F.col("event_id").cast("bigint") % FAULT_NUMBERS)
+    """All events, those of the faulty producers damaged in one column."""
+    rows = user_events(spark, sf_dir).withColumn("product", F.col("product_id"))
     return rows.select(*(F.expr(FAULTS[name].replace('"', "`")).alias(name) for name in SOURCE_COLUMNS))
 
 

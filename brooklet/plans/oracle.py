@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from brooklet.operators.quality import KPIS
-from brooklet.plans.inputs import FAULT_NUMBERS, FAULTS, SESSION_ROWS
+from brooklet.plans.inputs import FAULTS, SESSION_ROWS
 from brooklet.schema import EVENT_TYPES, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS
 
 UE = f"""ue AS (
@@ -18,9 +18,9 @@ UE = f"""ue AS (
     strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS "timestamp"
   FROM events e JOIN part p ON CAST(json_extract_string(e.props, '$.k') AS BIGINT) = p.p_partkey)"""
 
-DAMAGED = f"""{UE}, numbered AS (
-  SELECT *, CAST(event_id AS BIGINT) % {FAULT_NUMBERS} AS fault FROM ue), damaged AS (
-  SELECT {", ".join(f'{FAULTS[name]} AS "{name}"' for name in SOURCE_COLUMNS)} FROM numbered)"""
+DAMAGED = f"""{UE}, damaged AS (
+  SELECT {", ".join(f'{FAULTS[name]} AS "{name}"' for name in SOURCE_COLUMNS)}
+  FROM (SELECT *, product_id AS product FROM ue))"""
 
 PARSED = """try_strptime("timestamp", '%Y-%m-%d %H:%M:%S')"""
 NOT_NULL = "event_id IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL AND product_id IS NOT NULL"
