@@ -71,22 +71,24 @@ def ingest_boundary() -> Column:
     return batch_boundary(F.col("event_timestamp"))
 
 
-# The given events are valid throughout. Here the events of products 1 to 23 come from
+# The given events are valid throughout. Here the events of products 1 to 28 come from
 # faulty producers: each of these products has its own way of damaging one column.
 # The texts are valid in Spark and ANSI SQL alike.
 FAULTS = {
     "event_id": "CASE product WHEN 1 THEN NULL WHEN 2 THEN concat(event_id, repeat('x', 37)) ELSE event_id END",
     "user_id": "CASE product WHEN 3 THEN NULL ELSE user_id END",
-    "session_id": "CASE product WHEN 4 THEN NULL ELSE session_id END",
+    "session_id": "CASE product WHEN 4 THEN NULL WHEN 24 THEN repeat('s', 37) ELSE session_id END",
     "event_type": "CASE product WHEN 5 THEN NULL WHEN 6 THEN upper(event_type) "
-    "WHEN 7 THEN concat(' ', event_type) ELSE event_type END",
+    "WHEN 7 THEN concat(' ', event_type) WHEN 28 THEN repeat('t', 21) ELSE event_type END",
     "product_id": "CASE product WHEN 8 THEN NULL ELSE product_id END",
-    "product_name": "CASE product WHEN 9 THEN repeat('n', 101) ELSE product_name END",
+    "product_name": "CASE product WHEN 9 THEN repeat('n', 101) WHEN 25 THEN NULL ELSE product_name END",
     "category": "CASE product WHEN 10 THEN NULL WHEN 11 THEN repeat('c', 51) ELSE category END",
     "price": "CASE product WHEN 12 THEN 0e0 WHEN 13 THEN -1e0 WHEN 14 THEN NULL WHEN 15 THEN 4e-3 "
-    "WHEN 16 THEN CAST('NaN' AS DOUBLE) WHEN 17 THEN CAST('Infinity' AS DOUBLE) ELSE price END",
+    "WHEN 16 THEN CAST('NaN' AS DOUBLE) WHEN 17 THEN CAST('Infinity' AS DOUBLE) "
+    "WHEN 26 THEN 123456789e0 ELSE price END",
     "quantity": "CASE product WHEN 18 THEN NULL WHEN 19 THEN -1 ELSE quantity END",
-    "total_amount": "CASE product WHEN 20 THEN 0e0 WHEN 21 THEN 123456789e0 ELSE total_amount END",
+    "total_amount": "CASE product WHEN 20 THEN 0e0 WHEN 21 THEN 123456789e0 "
+    "WHEN 27 THEN CAST('NaN' AS DOUBLE) ELSE total_amount END",
     "timestamp": "CASE product WHEN 22 THEN 'not-a-ts' WHEN 23 THEN replace(\"timestamp\", ' ', 'T') "
     'ELSE "timestamp" END',
 }
