@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.functions import parse_event_time, round_money
+from brooklet.functions import parse_event_time
 from brooklet.schema import EVENT_TYPES, MONEY_COLUMNS, TARGET_COLUMNS
 
 REQUIRED = ("event_id", "user_id", "event_type", "product_id")
+KNOWN_TYPES = ", ".join(f"'{name}'" for name in EVENT_TYPES)
 
 
 def has_required_fields() -> Column:
-    return reduce(and_, (F.col(name).isNotNull() for name in REQUIRED))
+    return F.expr(" AND ".join(f"{name} IS NOT NULL" for name in REQUIRED))
 
 
 def has_known_type() -> Column:
     """Exact match: case and surrounding blanks count."""
-    return F.col("event_type").isin(*EVENT_TYPES)
+    return F.expr(f"event_type IN ({KNOWN_TYPES})")
 
 
 def has_positive_money() -> Column:
     """Tested on the raw amounts, before rounding; NULL fails."""
-    return reduce(and_, (F.col(name) > 0 for name in MONEY_COLUMNS))
+    return F.expr(" AND ".join(f"{name} > 0" for name in MONEY_COLUMNS))
+
+
+def rounded(name: str) -> str:
+    """A column as text, amounts rounded half up to cents."""
+    return f"round({name}, 2) AS {name}" if name in MONEY_COLUMNS else name
 
 
 def conform(
@@ -48,5 +51,4 @@ def clean(
     query or micro-batch; it may be an expression over ``event_timestamp``.
     """
     kept = events.filter(has_required_fields() & has_known_type() & has_positive_money())
-    rounded = {name: round_money(F.col(name)) for name in MONEY_COLUMNS}
-    return conform(kept, ingested_at, time_zone).withColumns(rounded).select(*TARGET_COLUMNS)
+    return conform(kept, ingested_at, time_zone).selectExpr(*map(rounded, TARGET_COLUMNS))

@@ -6,56 +6,50 @@ An empty reason text means the row is accepted.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.functions import round_money
-from brooklet.operators.clean import REQUIRED, conform
-from brooklet.schema import EVENT_TYPES, MONEY_COLUMNS, SOURCE_COLUMNS, TARGET
+from brooklet.operators.clean import KNOWN_TYPES, REQUIRED, conform, rounded
+from brooklet.schema import MONEY_COLUMNS, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS
 
 REASONS = "reasons"
-MONEY_LIMIT = 99_999_999.995  # from here on an amount rounds beyond decimal(10,2)
+# From here on an amount rounds to more than decimal(10,2) holds.
+MONEY_LIMIT = "99999999.995D"
 
 
-def filter_rules() -> dict[str, Column]:
-    """The rules behind ``clean``, one by one."""
-    rules = {f"{name}_null": F.col(name).isNull() for name in REQUIRED}
-    rules["event_type_unknown"] = ~F.col("event_type").isin(*EVENT_TYPES)
+def filter_rules() -> dict[str, str]:
+    """The rules behind ``clean``, one by one, as the condition that breaks them."""
+    rules = {f"{name}_null": f"{name} IS NULL" for name in REQUIRED}
+    rules["event_type_unknown"] = f"event_type NOT IN ({KNOWN_TYPES})"
     for name in MONEY_COLUMNS:
-        rules[f"{name}_not_positive"] = ~F.coalesce(F.col(name) > 0, F.lit(False))
+        rules[f"{name}_not_positive"] = f"NOT coalesce({name} > 0, false)"
     return rules
 
 
-def table_rules() -> dict[str, Column]:
+def table_rules() -> dict[str, str]:
     """What the table's column types forbid beyond ``filter_rules``."""
-    rules: dict[str, Column] = {}
+    rules: dict[str, str] = {}
     for column in TARGET:
-        value = F.col(column.name)
-        if column.name in MONEY_COLUMNS:
-            double = value.cast("double")
-            infinite = F.abs(double) == F.lit(float("inf"))
-            rules[f"{column.name}_not_finite"] = F.isnan(double) | infinite
-            rules[f"{column.name}_too_large"] = (
-                ~F.isnan(double) & ~infinite & (F.abs(double) >= MONEY_LIMIT)
-            )
-        elif column.name not in REQUIRED:
-            rules[f"{column.name}_null"] = value.isNull()
+        name = column.name
+        if name in MONEY_COLUMNS:
+            size = f"abs(double({name}))"
+            rules[f"{name}_not_finite"] = f"isnan({size}) OR {size} = double('Infinity')"
+            rules[f"{name}_too_large"] = f"{size} >= {MONEY_LIMIT} AND {size} < double('Infinity')"
+        elif name not in REQUIRED:
+            rules[f"{name}_null"] = f"{name} IS NULL"
         if column.max_chars:
-            rules[f"{column.name}_too_long"] = F.char_length(value) > column.max_chars
+            rules[f"{name}_too_long"] = f"char_length({name}) > {column.max_chars}"
     return rules
 
 
-def all_rules() -> dict[str, Column]:
+def all_rules() -> dict[str, str]:
     return {**filter_rules(), **table_rules()}
 
 
-def violates(rules: dict[str, Column] | None = None) -> Column:
+def violates(rules: dict[str, str] | None = None) -> Column:
     """True when any rule is broken, never NULL."""
     rules = all_rules() if rules is None else rules
-    return reduce(or_, (F.coalesce(broken, F.lit(False)) for broken in rules.values()))
+    return F.expr(" OR ".join(f"coalesce({broken}, false)" for broken in rules.values()))
 
 
 def check(
@@ -67,13 +61,12 @@ def check(
     splits it for the rows that have one.
     """
     typed = conform(events, ingested_at, time_zone)
-    named = [F.when(broken, F.lit(name)) for name, broken in all_rules().items()]
-    return typed.withColumn(REASONS, F.concat_ws(",", *named))
+    named = (f"CASE WHEN {broken} THEN '{name}' END" for name, broken in all_rules().items())
+    return typed.withColumn(REASONS, F.expr(f"concat_ws(',', {', '.join(named)})"))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
-    rounded = {name: round_money(F.col(name)) for name in MONEY_COLUMNS}
-    return checked.filter(F.col(REASONS) == "").withColumns(rounded).drop("timestamp", REASONS)
+    return checked.filter(F.col(REASONS) == "").selectExpr(*map(rounded, TARGET_COLUMNS))
 
 
 def rejected(checked: DataFrame) -> DataFrame:

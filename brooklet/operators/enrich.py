@@ -30,7 +30,7 @@ def enrich(events: DataFrame, products: DataFrame, units: Column | None = None)
     same = slim["product_id"] == products["product_id"]
     wide = slim.join(products, same, "inner").drop(slim["product_id"])
     wide = wide.withColumn("total_amount", line_total(F.col("price"), F.col("quantity")))
-    return wide.select(*(F.col(name).cast(kind).alias(name) for name, kind in SOURCE_FIELDS.items()))
+    return wide.selectExpr(*(f"CAST({name} AS {kind}) AS {name}" for name, kind in SOURCE_FIELDS.items()))
 
 
 def unmatched(events: DataFrame, products: DataFrame) -> DataFrame:

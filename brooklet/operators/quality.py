@@ -17,7 +17,8 @@ from brooklet.schema import KEY, TARGET
 def quality_summary(events: DataFrame) -> DataFrame:
     """Rows that break each rule, as (rule, n), in one pass over landing rows."""
     rules = all_rules()
-    counts = conform(events).agg(*(F.count_if(broken).alias(name) for name, broken in rules.items()))
+    counted = (f"count_if({broken}) AS {name}" for name, broken in rules.items())
+    counts = conform(events).selectExpr(*counted)
     return counts.unpivot([], list(rules), "rule", "n")
 
 
@@ -118,18 +119,13 @@ def schema_report(rows: DataFrame) -> DataFrame:
     File sources read every column as nullable whatever was declared, so the
     declared flag alone says nothing about the data.
     """
-    seen = rows.agg(*(F.count_if(F.col(c.name).isNull()).alias(c.name) for c in TARGET))
-    lines = [
-        F.struct(
-            F.lit(position).alias("ordinal_position"),
-            F.lit(column.name).alias("column_name"),
-            F.lit(column.kind).alias("data_type"),
-            F.lit("NO").alias("is_nullable"),
-            F.col(column.name).alias("nulls"),
-        )
-        for position, column in enumerate(TARGET, start=1)
-    ]
-    return seen.select(F.inline(F.array(*lines))).orderBy("ordinal_position")
+    seen = rows.selectExpr(*(f"count_if({c.name} IS NULL) AS {c.name}" for c in TARGET))
+    lines = (
+        f"named_struct('ordinal_position', {position}, 'column_name', '{c.name}', "
+        f"'data_type', '{c.kind}', 'is_nullable', 'NO', 'nulls', {c.name})"
+        for position, c in enumerate(TARGET, start=1)
+    )
+    return seen.selectExpr(f"inline(array({', '.join(lines)}))").orderBy("ordinal_position")
 
 
 def table_columns(table: DataFrame) -> DataFrame:

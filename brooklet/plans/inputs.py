@@ -9,10 +9,10 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.functions import batch_boundary, render_event_time
+from brooklet.functions import batch_boundary
 from brooklet.operators.clean import clean
 from brooklet.operators.enrich import enrich
-from brooklet.schema import SOURCE_COLUMNS
+from brooklet.schema import EVENT_TIME_FORMAT, SOURCE_COLUMNS
 
 # Events per session, and so per landing file of the running reports.
 SESSION_ROWS = 20
@@ -36,24 +36,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def slim_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table without product attributes; ``units`` is what a purchase buys."""
-    number = F.col("event_id")
-    return table(spark, sf_dir, "events").select(
-        number.cast("string").alias("event_id"),
-        F.col("user_id").cast("int").alias("user_id"),
-        F.floor(number / F.lit(SESSION_ROWS)).cast("bigint").cast("string").alias("session_id"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(event_id AS string) AS event_id",
+        "CAST(user_id AS int) AS user_id",
+        f"CAST(CAST(floor(event_id / {SESSION_ROWS}) AS bigint) AS string) AS session_id",
         "event_type",
-        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
-        (1 + number % 3).cast("int").alias("units"),
-        render_event_time(F.col("ts")).alias("timestamp"),
+        "CAST(get_json_object(props, '$.k') AS bigint) AS product_id",
+        "CAST(1 + event_id % 3 AS int) AS units",
+        f"date_format(ts, '{EVENT_TIME_FORMAT}') AS timestamp",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").alias("price"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "p_retailprice AS price",
     )
 
 
@@ -97,7 +96,8 @@ FAULTS = {
 def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, those of the faulty producers damaged in one column."""
     rows = user_events(spark, sf_dir).withColumn("product", F.col("product_id"))
-    return rows.select(*(F.expr(FAULTS[name].replace('"', "`")).alias(name) for name in SOURCE_COLUMNS))
+    damaged = (f"{FAULTS[name]} AS {name}".replace('"', "`") for name in SOURCE_COLUMNS)
+    return rows.selectExpr(*damaged)
 
 
 @cache

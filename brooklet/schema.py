@@ -69,7 +69,7 @@ STORED_DDL = f"{TARGET_DDL}, `stream` string, `batch_id` bigint, `event_date` da
 
 def to_target(rows: DataFrame) -> DataFrame:
     """Target columns in order, money narrowed to its stored type."""
-    return rows.select(*(rows[c.name].cast(c.kind).alias(c.name) for c in TARGET))
+    return rows.selectExpr(*(f"CAST({c.name} AS {c.kind}) AS {c.name}" for c in TARGET))
 
 
 def create_event_table(spark: SparkSession, name: str, location: str | None = None) -> None:
