@@ -95,9 +95,10 @@ def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases first, then all rows twice over, then the second batch once more."""
-    path = scratch(spark, "table")
+    path, once = scratch(spark, "table"), scratch(spark, "cleaned")
     sink = TableSink(path)
-    rows = cleaned(spark, sf_dir)
+    cleaned(spark, sf_dir).write.parquet(once)  # the appends read it several times
+    rows = spark.read.parquet(once)
     sink(rows.filter(F.col("event_type") == "purchase"), 0)
     later = rows.withColumn("ingested_at", ingest_boundary() + F.expr("INTERVAL 1 HOUR"))
     for _ in range(2):

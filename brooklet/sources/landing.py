@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.schema import SOURCE_COLUMNS, SOURCE_DDL
+from brooklet.functions import render_event_time
+from brooklet.schema import SOURCE_COLUMNS, SOURCE_DDL, SOURCE_FIELDS
 
 FILES_PER_BATCH = 5
 ROWS_PER_FILE = 20
@@ -53,6 +54,13 @@ def landing_files(events: DataFrame, name: str = "file_id") -> DataFrame:
     return events.withColumn(name, F.col("_metadata.file_name"))
 
 
+def as_landing(events: DataFrame) -> DataFrame:
+    """Event table rows back in the landing schema, to replay them."""
+    text = render_event_time(F.col("event_timestamp")).alias("timestamp")
+    rows = events.select("*", text)
+    return rows.selectExpr(*(f"CAST({name} AS {kind}) AS {name}" for name, kind in SOURCE_FIELDS.items()))
+
+
 def write_landing(
     events: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, by_session: bool = False
 ) -> None:

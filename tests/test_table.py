@@ -7,11 +7,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from brooklet.operators import analytics
+from brooklet.operators.clean import clean
 from brooklet.operators.layout import compact
 from brooklet.operators.quality import table_columns
 from brooklet.plans.inputs import cleaned, scratch
 from brooklet.schema import TARGET, TARGET_COLUMNS, create_event_table, to_target
-from brooklet.sources import read_events_jdbc, read_events_table, read_stored, register_events
+from brooklet.sources import (
+    as_landing,
+    read_events_csv,
+    read_events_jdbc,
+    read_events_table,
+    read_stored,
+    register_events,
+    write_landing,
+)
 from brooklet.streaming import JdbcSink, TableSink
 
 SF = "/root/testdata/sf0.001"
@@ -34,6 +43,15 @@ def test_table_holds_all_rows_once(spark, stored):
     assert dump(read_events_table(spark, stored)) == dump(to_target(cleaned(spark, SF)))
 
 
+def test_a_table_can_be_replayed(spark, stored, tmp_path):
+    events = read_events_table(spark, stored)
+    write_landing(as_landing(events), str(tmp_path / "in"), 100)
+    again = clean(read_events_csv(spark, str(tmp_path / "in")))
+    def shown(rows):
+        return sorted(map(repr, to_target(rows).drop("ingested_at").collect()))
+    assert shown(again) == shown(events)
+
+
 def test_one_file_per_quiet_day(spark, stored, tmp_path):
     for path in (stored, str(tmp_path / "packed")):
         if path != stored:
