@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,16 +98,10 @@ def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(*damaged)
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="brooklet-")
-
-
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name for tables a query writes, below the cluster's shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_scratch()
+    """A new folder name for tables a query writes, in the folder the executors share.
+
+    That is ``spark.checkpoint.dir``, or the warehouse folder where it is unset.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base}/brooklet/{name}-{uuid.uuid4().hex}"

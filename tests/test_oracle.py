@@ -6,8 +6,10 @@ from glob import glob
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from brooklet.plans import batch, oracle, stream
 
+QUERIES = {**batch.QUERIES, **stream.QUERIES}
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -26,14 +28,14 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle.SQL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
+    result = QUERIES[name](spark, SF_DIR)
     found = [tuple(plain(v) for v in row) for row in result.collect()]
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(oracle.SQL[name])
     names = [d[0] for d in cursor.description]
     kinds = {d[0]: str(d[1]) for d in cursor.description}
     order = [names.index(column) for column in result.columns]
