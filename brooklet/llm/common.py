@@ -42,6 +42,24 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+def named_text(docs: DataFrame) -> DataFrame:
+    """As ``id_text``, doc_id as text: pandas would round a long beside a null."""
+    return id_text(docs).withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def columns(rows: DataFrame) -> list[Column]:
+    """The columns of ``rows`` by name, whatever their names hold."""
+    return [F.col(f"`{name.replace('`', '``')}`") for name in rows.columns]
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """``name``, or one like it that no column of ``rows`` has."""
+    taken = {column.lower() for column in rows.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def remainder(divisor: int) -> Column:
     """crc32 of doc_id as text, modulo ``divisor``; 0 for a null doc_id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor, F.lit(0))

@@ -15,17 +15,19 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from brooklet.llm.common import id_text, slices, written
+from brooklet.llm.common import columns, named_text, slices, written
 
 CAPACITY = 1024
 END_ID = 0
@@ -111,9 +113,9 @@ class OpenSequences:
         return room, self.open[room].pop()
 
 
-def best_fit_decreasing(lengths: Iterable[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def best_fit_decreasing(lengths: Sequence[int], capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece; pieces of equal length in given order."""
-    lengths = np.asarray(list(lengths), dtype=np.int64)
+    lengths = np.asarray(lengths, dtype=np.int64)
     sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     rooms, made = OpenSequences(capacity), 0
     for i in np.argsort(-lengths, kind="stable").tolist():
@@ -138,13 +140,12 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
                     row = (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids))
                     rows.append((*row, part.astype(np.int32)) if with_ids else row)
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
-            out = pd.DataFrame(rows, columns=names[: 5 + with_ids])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=names[: 5 + with_ids])
 
     return cut
 
 
-PIECE = "doc_id bigint, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def cut_pieces(
@@ -159,22 +160,30 @@ def cut_pieces(
     With ``with_ids`` each row carries its token ids. A null text gives the end id only.
     """
     schema = PIECE + (", ids array<int>" if with_ids else "")
-    return id_text(docs).mapInPandas(_cut(tokenizer, capacity, end_id, with_ids), schema)
+    pieces = named_text(docs).mapInPandas(_cut(tokenizer, capacity, end_id, with_ids), schema)
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def _pack(capacity: int):
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
-        if not parts:
+        if not sum(part.num_rows for part in parts):
             return
-        rows = pd.concat(parts, ignore_index=True)
-        sequence, offset = best_fit_decreasing(rows["length"], capacity)
+        rows = pa.Table.from_batches(parts)
+        sequence, offset = best_fit_decreasing(rows["length"].to_numpy(), capacity)
         first = TaskContext.get().partitionId() << 32
-        yield rows.assign(sequence_id=first + sequence, offset=offset)
+        rows = rows.drop_columns(["length"])
+        rows = rows.append_column("sequence_id", pa.array(first + sequence))
+        yield from rows.append_column("offset", pa.array(offset)).to_batches()
 
     return pack
 
 
+def _packed_schema(pieces: DataFrame) -> StructType:
+    fields = [StructField("piece", pieces.schema), StructField("sequence_id", LongType())]
+    return StructType([*fields, StructField("offset", LongType())])
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """``pieces`` (any columns, with ``length`` at most ``capacity``) with sequence_id and offset.
 
@@ -182,9 +191,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Dat
     read again, so it should be cheap or written.
     """
     tasks = max(1, math.ceil(pieces.count() / group))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    dealt = pieces.repartition(tasks)
-    return dealt.mapInPandas(_pack(capacity), f"{schema}, sequence_id long, offset long")
+    names = columns(pieces)
+    dealt = pieces.select(F.struct(*names).alias("piece"), "length").repartition(tasks)
+    packed = dealt.mapInArrow(_pack(capacity), _packed_schema(pieces))
+    return packed.select("piece.*", "sequence_id", "offset")
 
 
 def pack_documents(

@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import id_text, slices, written
+from brooklet.llm.common import named_text, slices, written
 
 CHUNK = 32_768
 OVERLAP = 256
@@ -131,11 +131,11 @@ def _long_counts(texts: DataFrame, model: str, chunk: int, overlap: int) -> Data
         rows = texts.select("doc_id", "digest", "text")
         pieces = rows.mapInPandas(
             _chunks(step, 0 if whole else overlap),
-            "doc_id bigint, digest string, chunk long, text string, last boolean",
+            "doc_id string, digest string, chunk long, text string, last boolean",
         )
         spread = pieces.repartition(F.col("doc_id"), F.col("digest"), F.col("chunk"))
         counted = spread.mapInPandas(
-            _count_chunks(model, step, overlap), "doc_id bigint, digest string, n_tokens long"
+            _count_chunks(model, step, overlap), "doc_id string, digest string, n_tokens long"
         )
         totals = counted.groupBy("doc_id", "digest").agg(
             F.sum("n_tokens").alias("n_tokens"), F.count_if(F.col("n_tokens").isNull()).alias("failed")
@@ -163,16 +163,18 @@ def count_tokens(
     an empty one: 0 and 0. Repeated rows, also of a null doc_id, are each returned;
     other columns of ``docs`` are not looked at. An empty table gives an empty one.
     """
-    rows = id_text(docs).withColumn("n_bytes", F.octet_length("text").cast("long"))
+    rows = named_text(docs).withColumn("n_bytes", F.octet_length("text").cast("long"))
     short, long = rows.filter(F.length("text") <= chunk), rows.filter(F.length("text") > chunk)
-    schema = "doc_id bigint, n_bytes long, n_tokens long"
+    schema = "doc_id string, n_bytes long, n_tokens long"
     counts = short.mapInPandas(_count_whole(model), schema)
     # Equal long rows are encoded once and given back as often as they occur.
     keyed = long.withColumn("digest", F.sha2("text", 256))
     texts = written(keyed.dropDuplicates(["doc_id", "digest"]), "long-texts")
+    as_number = F.col("doc_id").cast("bigint")
     if texts.isEmpty():
-        return counts
+        return counts.withColumn("doc_id", as_number)
     rows = keyed.select("doc_id", "n_bytes", "digest")
     totals = _long_counts(texts, model, chunk, overlap).withColumnRenamed("doc_id", "of")
     same = rows["doc_id"].eqNullSafe(totals["of"]) & (rows["digest"] == totals["digest"])
-    return counts.unionByName(rows.join(totals, same).select("doc_id", "n_bytes", "n_tokens"))
+    all_rows = counts.unionByName(rows.join(totals, same).select("doc_id", "n_bytes", "n_tokens"))
+    return all_rows.withColumn("doc_id", as_number)

@@ -4,19 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from brooklet.llm import decontamination, line_dedup, ngram_join, packing, toxicity
+from brooklet.llm.common import columns, read_table, written
+from brooklet.plans.inputs import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is under the threshold."""
+    machine = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.accepted(docs, machine)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that a smaller one holds; n_chars as it then is."""
+    index = line_dedup.LineIndex(spark, scratch(spark, "lines"))
+    index.insert(docs)
+    kept = index.kept(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return kept.select(*columns(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near duplicates."""
+    return ngram_join.deduplicated(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item leaks into."""
+    return decontamination.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents' tokens and their places in the sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_join", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("packing", pack),
+]
+
+# A learned score and token ids are beyond SQL: tests compare with brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, each stage's result written and read by the next."""
-    from brooklet.llm.common import read_table, written
-
+    """The rows of the last stage; what a stage returns is written and read by the next."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
