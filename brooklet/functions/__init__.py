@@ -1,4 +1,4 @@
-from brooklet.functions.money import as_money, cents, line_total, round_money
+from brooklet.functions.money import as_money, cents, line_total, round_money, total_money
 from brooklet.functions.sums import exact_sum
 from brooklet.functions.time import (
     batch_boundary,
@@ -19,4 +19,5 @@ __all__ = [
     "parse_event_time",
     "render_event_time",
     "round_money",
+    "total_money",
 ]

@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brooklet.functions import as_money, cents, event_minute, exact_sum
+from brooklet.functions import event_minute, total_money
 from brooklet.schema import KEY
-
-# Rows of the per-file table that share one block in ``running_total``.
-RUNNING_BLOCK = 100_000
+from brooklet.sources.scratch import rewritten
 
 
 def total_events(events: DataFrame) -> DataFrame:
@@ -25,7 +23,7 @@ def _purchases(events: DataFrame) -> DataFrame:
 
 
 def _revenue(events: DataFrame) -> Column:
-    return as_money(exact_sum(cents(events, "total_amount")))
+    return total_money(events, "total_amount")
 
 
 def revenue_by_category(events: DataFrame) -> DataFrame:
@@ -107,25 +105,23 @@ def file_type_counts(events: DataFrame, file: str = "file_id") -> DataFrame:
     )
 
 
-def running_total(events: DataFrame, file: str = "file_id", block: int = RUNNING_BLOCK) -> DataFrame:
-    """Rows per file and the total up to and including it, by file number.
+def running_total(events: DataFrame, file: str = "file_id") -> DataFrame:
+    """Rows per file and the total up to and including it, in order of the files' names.
 
-    A window over all files would run in one task. Files are counted first, then
-    summed per block of ``block`` file numbers; only the block sums go through
-    an unpartitioned window, and each block adds its own running sum.
+    A window over all files would run in one task. The counted files are dealt into
+    ranges of names instead, and written, so that both uses see the same ranges; only
+    the sums of the ranges, a row each, go through an unpartitioned window, and each
+    range adds its own running sum. Names may be of any type and as sparse as they like.
     """
-    number = F.col(file)
-    files = events.groupBy(file).agg(F.count("*").alias("n"))
-    # Never NULL, so that the join adds no filter and both branches share one shuffle.
-    unnumbered = F.lit(-(2**62))
-    files = files.withColumn("_block", F.coalesce(F.floor(number / F.lit(block)).cast("bigint"), unnumbered))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = events.groupBy(file).agg(F.count("*").alias("n")).repartitionByRange(F.col(file))
+    files = rewritten(files.withColumn("_range", F.spark_partition_id()), "files")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        files.groupBy("_block")
+        files.groupBy("_range")
         .agg(F.sum("n").alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_block").orderBy(number).rowsBetween(Window.unboundedPreceding, 0)
-    return files.join(offsets, "_block").select(
+    inside = Window.partitionBy("_range").orderBy(file).rowsBetween(Window.unboundedPreceding, 0)
+    return files.join(offsets, "_range").select(
         file, "n", (F.sum("n").over(inside) + F.col("_offset")).alias("total")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,18 +114,36 @@ def kpi_report(events: DataFrame, kpis: tuple[Kpi, ...] = KPIS) -> DataFrame:
 
 
 def schema_report(rows: DataFrame) -> DataFrame:
-    """The target's column metadata and, per column, the NULLs actually seen.
+    """Every column of ``rows`` as it is: place, name, type, nullability, and its NULLs.
 
-    File sources read every column as nullable whatever was declared, so the
-    declared flag alone says nothing about the data.
+    Names, types and order are those of ``rows``. ``is_nullable`` is the target's rule,
+    YES for a column the target does not have: file sources read every column as
+    nullable whatever was declared, so that flag says nothing about the data.
     """
-    seen = rows.selectExpr(*(f"count_if({c.name} IS NULL) AS {c.name}" for c in TARGET))
-    lines = (
-        f"named_struct('ordinal_position', {position}, 'column_name', '{c.name}', "
-        f"'data_type', '{c.kind}', 'is_nullable', 'NO', 'nulls', {c.name})"
-        for position, c in enumerate(TARGET, start=1)
-    )
-    return seen.selectExpr(f"inline(array({', '.join(lines)}))").orderBy("ordinal_position")
+    strict = {c.name for c in TARGET}
+    fields = rows.schema.fields
+    seen = rows.select(*(F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"c{i}") for i, f in enumerate(fields)))
+    lines = [
+        F.struct(
+            F.lit(i + 1).alias("ordinal_position"),
+            F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit("NO" if f.name in strict else "YES").alias("is_nullable"),
+            F.col(f"c{i}").alias("nulls"),
+        )
+        for i, f in enumerate(fields)
+    ]
+    return seen.select(F.inline(F.array(*lines))).orderBy("ordinal_position")
+
+
+def columns_of(spark: SparkSession, table: str) -> DataFrame:
+    """(ordinal_position, column_name, data_type, is_nullable) of a table in the catalog, by its name."""
+    columns = [
+        (i, c.name, c.dataType, "YES" if c.nullable else "NO")
+        for i, c in enumerate(spark.catalog.listColumns(table), start=1)
+    ]
+    shape = "ordinal_position int, column_name string, data_type string, is_nullable string"
+    return spark.createDataFrame(columns, shape).orderBy("ordinal_position")
 
 
 def table_columns(table: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.functions import as_money, cents, exact_sum
+from brooklet.functions import total_money
 from brooklet.schema import KEY
 
 
@@ -18,14 +18,14 @@ def live_events_per_minute(
 
     In append and update mode rows later than ``lateness`` behind the newest event
     are left out of the windows already closed; the query's progress counts them.
-    Complete mode keeps all windows and takes every row.
+    Complete mode keeps all windows and takes every row. A purchase whose amount is
+    not finite makes its window's revenue NaN; feed rows from ``accepted`` to keep
+    such rows out.
     """
     windows = events.withWatermark("event_timestamp", lateness).groupBy(F.window("event_timestamp", width))
-    bought = F.when(F.col("event_type") == "purchase", cents(events, "total_amount")).otherwise(F.lit(0).cast("bigint"))
-    counted = windows.agg(F.count("*").alias("n"), exact_sum(bought).alias("_cents"))
-    return counted.select(
-        F.col("window.start").alias("event_minute"), "n", as_money(F.col("_cents")).alias("revenue")
-    )
+    revenue = total_money(events, "total_amount", F.col("event_type") == "purchase")
+    counted = windows.agg(F.count("*").alias("n"), revenue.alias("revenue"))
+    return counted.select(F.col("window.start").alias("event_minute"), "n", "revenue")
 
 
 def dedupe_stream(events: DataFrame, lateness: str = "10 minutes", key: str = KEY) -> DataFrame:
