@@ -10,7 +10,7 @@ import logging
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from brooklet.operators import analytics, quality
 from brooklet.operators.layout import compact
@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--table", help="folder of the event table")
     ingest.add_argument("--quarantine", help="folder for rejected rows")
+    ingest.add_argument("--discard", action="store_true", help="drop rejected rows instead")
     ingest.add_argument("--metrics", help="folder for one report row per batch")
     ingest.add_argument("--archive", help="folder consumed files are moved to")
     ingest.add_argument("--max-files", type=int, default=5)
@@ -38,12 +39,15 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument(
         "--unique",
         choices=("table", "day", "state"),
-        default="table",
+        default="state",
         help="check keys against the table, its days in question, or the stream's state",
     )
+    ingest.add_argument("--roll-up-every", type=int, default=100, help="batches between roll-ups; 0: never")
     ingest.add_argument("--jdbc-url", help="also append to this database; user and password "
                         "come from JDBC_USER and JDBC_PASSWORD")
     ingest.add_argument("--jdbc-table", default="user_events")
+    ingest.add_argument("--jdbc-writers", type=int, default=2, help="connections that insert")
+    ingest.add_argument("--jdbc-readers", type=int, default=4, help="connections that look keys up")
 
     pack = jobs.add_parser("compact", help="rewrite the table by day, for reading")
     pack.add_argument("--table", required=True)
@@ -59,11 +63,16 @@ def _parser() -> argparse.ArgumentParser:
 def _sinks(args: argparse.Namespace) -> list:
     sinks: list = []
     if args.table:
-        sinks.append(TableSink(args.table, "none" if args.unique == "state" else args.unique))
+        unique = "none" if args.unique == "state" else args.unique
+        sinks.append(TableSink(args.table, unique, args.roll_up_every))
     if args.jdbc_url:
         login = {"user": os.environ.get("JDBC_USER"), "password": os.environ.get("JDBC_PASSWORD")}
         options = {name: value for name, value in login.items() if value}
-        sinks.append(JdbcSink(args.jdbc_url, args.jdbc_table, options=options))
+        sinks.append(
+            JdbcSink(
+                args.jdbc_url, args.jdbc_table, writers=args.jdbc_writers, readers=args.jdbc_readers, options=options
+            )
+        )
     return sinks
 
 
@@ -78,10 +87,18 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         "state" if args.unique == "state" else "sink",
         args.time_zone,
         args.metrics,
+        args.discard,
     )
     run(job.start(source, args.checkpoint, None if args.once else args.interval))
 
 
+def print_all(rows: DataFrame) -> None:
+    """Every row, a line each, fetched a partition at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join(map(str, row)))
+
+
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     events = read_events_table(spark, args.table)
     days = read_events_table(spark, args.table, with_day=True)
@@ -94,13 +111,19 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
         "latency": quality.latency_stats(events),
         "kpi": quality.kpi_report(events),
     }.items():
-        print(title)
-        rows.show(truncate=False)
+        print(f"== {title}")
+        print_all(rows)
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
-    args = _parser().parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="[{levelname[0]}] {asctime} {name}: {message}", style="{")
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.job == "ingest":
+        if not (args.table or args.jdbc_url):
+            parser.error("ingest needs --table or --jdbc-url to store rows in")
+        if not (args.quarantine or args.discard):
+            parser.error("ingest needs --quarantine, or --discard to drop rejected rows")
     spark = spark or SparkSession.builder.appName(f"brooklet-{args.job}").getOrCreate()
     if args.job == "ingest":
         ingest(spark, args)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brooklet.functions import parse_event_time
 from brooklet.schema import EVENT_TYPES, MONEY_COLUMNS, TARGET_COLUMNS
 
+# The fields a row must have.
 REQUIRED = ("event_id", "user_id", "event_type", "product_id")
 KNOWN_TYPES = ", ".join(f"'{name}'" for name in EVENT_TYPES)
 

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from brooklet.schema import KEY
 
-# A key set is broadcast only up to this many rows (36-byte keys: about 200 MB).
-BROADCAST_KEYS = 2_000_000
-
-
 def first_per_key(rows: DataFrame, key: str = KEY, order: Sequence[str] = ()) -> DataFrame:
     """The first row of each key by ``order``, then by all other columns.
 
@@ -27,26 +23,18 @@ def first_per_key(rows: DataFrame, key: str = KEY, order: Sequence[str] = ()) ->
 
 
 def not_stored(
-    rows: DataFrame,
-    stored: DataFrame,
-    on: Sequence[str] = (KEY,),
-    keys: DataFrame | None = None,
-    broadcast_keys: int = BROADCAST_KEYS,
+    rows: DataFrame, stored: DataFrame, on: Sequence[str] = (KEY,), keys: DataFrame | None = None
 ) -> DataFrame:
     """Rows whose key is absent from ``stored``, a much larger set of keys.
 
-    A direct anti join would shuffle every stored key. Instead the stored keys
-    are first reduced to those that occur in ``keys`` (the key columns of
-    ``rows`` when not given): they are broadcast when their counted number
-    allows, so the stored keys are only scanned, and shuffled otherwise. The anti
-    join then runs against that remainder, which ``rows`` bounds.
-    ``keys`` is counted and read again, so it should be cheap or persisted.
+    A direct anti join would shuffle every stored key. Instead the stored keys are first
+    reduced to those that occur in ``keys`` (the key columns of ``rows`` when not
+    given): below ``spark.sql.autoBroadcastJoinThreshold`` Spark broadcasts these and
+    only scans the stored keys; beyond it both are shuffled by key. The anti join then
+    runs against that remainder, which ``rows`` bounds.
     """
     on = list(on)
-    keys = rows if keys is None else keys
-    wanted = keys.select(*on).distinct()
-    if keys.count() <= broadcast_keys:
-        wanted = F.broadcast(wanted)
+    wanted = (rows if keys is None else keys).select(*on).distinct()
     hits = stored.select(*on).join(wanted, on, "left_semi")
     return rows.join(hits, on, "left_anti")
 

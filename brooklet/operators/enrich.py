@@ -33,6 +33,19 @@ def enrich(events: DataFrame, products: DataFrame, units: Column | None = None)
     return wide.selectExpr(*(f"CAST({name} AS {kind}) AS {name}" for name, kind in SOURCE_FIELDS.items()))
 
 
+def enrich_all(events: DataFrame, products: DataFrame, units: Column | None = None) -> DataFrame:
+    """``enrich``, keeping events whose product is unknown or missing.
+
+    These have no product name, category and amounts, so the contract rejects them, by
+    name, into the quarantine.
+    """
+    slim = events.withColumn("quantity", purchase_quantity(F.col("quantity") if units is None else units))
+    known = products.withColumnRenamed("product_id", "_known")
+    wide = slim.join(known, F.col("product_id") == F.col("_known"), "left")
+    wide = wide.withColumn("total_amount", line_total(F.col("price"), F.col("quantity")))
+    return wide.selectExpr(*(f"CAST({name} AS {kind}) AS {name}" for name, kind in SOURCE_FIELDS.items()))
+
+
 def unmatched(events: DataFrame, products: DataFrame) -> DataFrame:
     """Events whose product is unknown, or missing, for the quarantine."""
     return events.join(products.select("product_id"), "product_id", "left_anti")

@@ -1,12 +1,16 @@
-"""Read-optimised copy of the ingest table."""
+"""Read-optimised copy of the ingest table, and its batches rolled up in place."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.schema import TARGET_COLUMNS
-from brooklet.sources.table import write_settings
+from brooklet.schema import STORED_DDL, TARGET_COLUMNS
+from brooklet.sources.table import Manifest, write_settings
 
 # Rows of a day are ordered so that row-group statistics serve the usual filters.
 SORT = ("event_date", "event_type", "category", "user_id")
@@ -41,3 +45,55 @@ def compact(
             .partitionBy("event_date")
             .parquet(path)
         )
+
+
+#: Segments of a level that are merged into one of the next.
+FAN_IN = 8
+
+
+def roll_up(spark: SparkSession, path: str) -> None:
+    """Merge the closed batches of an ingest table into segments by day, in place.
+
+    A batch is closed when its stream has a later one: only the last is ever written
+    again. The new segment counts from the moment its manifest is written; before that
+    readers see the batches, after it the segment, and never both. Folders that an earlier
+    version made needless are deleted, those of this one stay for readers that have
+    listed them already, until the next roll-up. ``FAN_IN`` segments of a level become
+    one of the next, so a row is rewritten as often as the table's size has levels.
+
+    One writer per table, which is also the one to roll up.
+    """
+    before = Manifest.of(spark, path)
+    for stream, batch in before.upto:
+        done = lambda name, last=batch: name.startswith("batch_id=") and int(name[9:]) <= last
+        _delete_folders(spark, f"{path}/stream={stream}", done)
+    kept = {name for name, _ in before.segments}
+    _delete_folders(spark, f"{path}/_rolled", lambda name: name.startswith("segment-") and name not in kept)
+    stored = spark.read.schema(STORED_DDL).parquet(path)
+    last = {r[0]: r[1] for r in stored.groupBy("stream").agg(F.max("batch_id")).collect()}
+    upto = dict(before.upto) | {s: b - 1 for s, b in last.items() if b - 1 > dict(before.upto).get(s, -1)}
+    after = Manifest(before.version + 1, before.segments, tuple(sorted(upto.items())))
+    closed = stored.filter(before.open() & ~after.open())
+    if closed.isEmpty():
+        return
+    segments, level, name = list(before.segments), 0, f"segment-{uuid.uuid4().hex}"
+    parts, merged = [closed], [s for s in segments if s[1] == 0]
+    while len(merged) + 1 >= FAN_IN:
+        parts += [spark.read.schema(STORED_DDL).parquet(f"{path}/_rolled/{s}").select(*stored.columns) for s, _ in merged]
+        segments = [s for s in segments if s not in merged]
+        level += 1
+        merged = [s for s in segments if s[1] == level]
+    rows = reduce(DataFrame.unionByName, parts).hint("rebalance", F.col("event_date"))
+    with write_settings(spark):
+        rows.sortWithinPartitions(*SORT).write.partitionBy("event_date").parquet(f"{path}/_rolled/{name}")
+    segments.append((name, level))
+    Manifest(after.version, tuple(sorted(segments)), after.upto).write(spark, path)
+
+
+def _delete_folders(spark: SparkSession, path: str, wanted: Callable[[str], bool]) -> None:
+    """Delete the folders right below ``path`` whose name is ``wanted``."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in store.listStatus(folder) if store.exists(folder) else ():
+        if wanted(found.getPath().getName()):
+            store.delete(found.getPath(), True)

@@ -23,6 +23,7 @@ SOURCE_FIELDS = {
 SOURCE_COLUMNS = list(SOURCE_FIELDS)
 SOURCE_DDL = ", ".join(f"`{name}` {kind}" for name, kind in SOURCE_FIELDS.items())
 
+# The time format and event types of the landing files.
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 EVENT_TYPES = ("view", "purchase")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brooklet.functions import render_event_time
 from brooklet.schema import SOURCE_COLUMNS, SOURCE_DDL, SOURCE_FIELDS
 
+# The published set-up of small files.
 FILES_PER_BATCH = 5
 ROWS_PER_FILE = 20
 
@@ -49,8 +50,10 @@ def read_events_stream(
     return spark.readStream.schema(SOURCE_DDL).options(**options).csv(path)
 
 
-def landing_files(events: DataFrame, name: str = "file_id") -> DataFrame:
-    """Landing rows with the name of the file each came from."""
+def landing_files(events: DataFrame, name: str = "file_id", folder: bool = False) -> DataFrame:
+    """Landing rows with the name of the file each came from, or of the file's folder."""
+    if folder:
+        return events.withColumn(name, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
     return events.withColumn(name, F.col("_metadata.file_name"))
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.schema import STORED_DDL, TARGET_COLUMNS, TARGET_DDL
@@ -36,16 +38,71 @@ def write_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
-def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """Ingest table rows with ``batch_id`` and ``event_date``; None before the first batch."""
+MANIFEST_DDL = "kind string, name string, number bigint, version bigint"
+
+
+def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
+    """A Parquet folder; None where there is none."""
     try:
-        return spark.read.schema(STORED_DDL).parquet(path)
+        return spark.read.schema(ddl).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """What of an ingest table has been rolled up, see ``operators.layout.roll_up``.
+
+    ``segments``: folders of rolled-up batches with their level; ``upto``: the last batch
+    of each stream that is in them. A version is one file, so readers see it whole or not.
+    """
+
+    version: int = 0
+    segments: tuple[tuple[str, int], ...] = ()
+    upto: tuple[tuple[str, int], ...] = ()
+
+    @staticmethod
+    def of(spark: SparkSession, path: str) -> Manifest:
+        rows = _read(spark, f"{path}/_rolled/manifest", MANIFEST_DDL)
+        if rows is None or (latest := rows.agg(F.max("version")).first()[0]) is None:
+            return Manifest()
+        # A line per segment and stream: some dozen.
+        lines = rows.filter(F.col("version") == latest).collect()
+        segments = sorted((r.name, r.number) for r in lines if r.kind == "segment")
+        upto = sorted((r.name, r.number) for r in lines if r.kind == "upto")
+        return Manifest(latest, tuple(segments), tuple(upto))
+
+    def write(self, spark: SparkSession, path: str) -> None:
+        lines = [("segment", *s) for s in self.segments] + [("upto", *u) for u in self.upto]
+        rows = spark.createDataFrame(lines, "kind string, name string, number bigint").coalesce(1)
+        rows.write.mode("overwrite").parquet(f"{path}/_rolled/manifest/version={self.version}")
+
+    def open(self) -> Column:
+        """Whether a stored row is of a batch that is not rolled up."""
+        closed = F.lit(False)
+        for stream, batch in self.upto:
+            closed = closed | ((F.col("stream") == stream) & (F.col("batch_id") <= batch))
+        return ~closed
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """Ingest table rows with ``batch_id`` and ``event_date``; None before the first batch.
+
+    Batches not rolled up come from their own folders, the others from the segments.
+    """
+    batches = _read(spark, path, STORED_DDL)
+    if batches is None:
+        return None
+    rolled = Manifest.of(spark, path)
+    if not rolled.segments:
+        return batches
+    columns = batches.columns
+    parts = [spark.read.schema(STORED_DDL).parquet(f"{path}/_rolled/{name}") for name, _ in rolled.segments]
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts], batches.filter(rolled.open()))
+
+
 def read_events_table(
     spark: SparkSession,
     path: str,
@@ -59,7 +116,11 @@ def read_events_table(
     also prune the day partitions, a day wider on either side in case the writer
     cut its days in another time zone.
     """
-    rows = spark.read.schema(f"{TARGET_DDL}, `event_date` date").parquet(path)
+    stored = read_stored(spark, path) if Manifest.of(spark, path).segments else None
+    if stored is None:
+        rows = spark.read.schema(f"{TARGET_DDL}, `event_date` date").parquet(path)
+    else:
+        rows = stored.select(*TARGET_COLUMNS, "event_date")
     day = timedelta(days=1)
     if since is not None:
         rows = rows.filter(F.col("event_date") >= F.lit((since - day).date()))

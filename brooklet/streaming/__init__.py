@@ -2,7 +2,7 @@ from brooklet.streaming.ingest import (
     BatchReport,
     ContractViolation,
     Ingest,
-    progress_rows,
+    ProgressRecorder,
     read_metrics,
     run,
 )
@@ -25,7 +25,7 @@ __all__ = [
     "latest_result",
     "live_events_per_minute",
     "overwrite_sink",
-    "progress_rows",
+    "ProgressRecorder",
     "read_metrics",
     "run",
     "stream_session",

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import logging
 import time
-from collections import deque
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from brooklet.operators.contract import REASONS, accepted, check, filter_rules, rejected, violates
 from brooklet.schema import KEY
@@ -48,15 +47,18 @@ class BatchReport:
 class Ingest:
     """Writes accepted rows to every sink and the others to ``quarantine``.
 
-    * ``quarantine``: folder for rejected rows with their reasons; without it
-      they are counted and dropped.
+    * ``quarantine``: folder for rejected rows with their reasons. To count and drop
+      them instead has to be asked for by ``discard=True``.
     * ``strict``: fail on a row that passes the cleaning filters but breaks the
       table contract, as the table itself would, instead of setting it aside.
-    * ``dedupe="state"``: keep the keys seen so far in the stream's state store,
-      so a batch costs a lookup per row and never reads the table. State grows
-      with the keys: run it with the RocksDB provider. The table sink then needs
-      ``unique="none"`` only. ``dedupe="sink"`` leaves uniqueness to the sinks.
+    * ``dedupe="state"``: keep the first row of each key in the stream's state store,
+      so a batch costs a lookup per row and never reads the table. Copies are reduced
+      to the earliest before they are shuffled. State grows with the keys: run it with
+      the RocksDB provider. The table sink then needs ``unique="none"`` only.
+      ``dedupe="sink"`` leaves uniqueness to the sinks.
     * ``metrics``: folder for one report row per batch, see ``read_metrics``.
+
+    ``reports`` are the batches of this run, all of them.
     """
 
     sinks: Sequence[Sink]
@@ -65,7 +67,16 @@ class Ingest:
     dedupe: str = "sink"
     time_zone: str | None = None
     metrics: str | None = None
-    reports: deque[BatchReport] = field(default_factory=lambda: deque(maxlen=1000))
+    discard: bool = False
+    reports: list[BatchReport] = field(default_factory=list)
+
+    def __post_init__(self) -> None:
+        if not self.sinks:
+            raise ValueError("without a sink accepted rows would be lost")
+        if self.quarantine is None and not self.discard:
+            raise ValueError("give a quarantine folder for rejected rows, or discard them explicitly")
+        if self.dedupe not in ("sink", "state"):
+            raise ValueError(f"dedupe must be sink or state, not {self.dedupe!r}")
 
     def plan(self, source: DataFrame, ingested_at: Column | None = None) -> DataFrame:
         """The streaming DataFrame that reaches the batch callback."""
@@ -77,8 +88,9 @@ class Ingest:
         )
         if self.dedupe != "state":
             return checked
-        good, bad = F.col(REASONS) == "", F.col(REASONS) != ""
-        return checked.filter(good).dropDuplicates([KEY]).unionByName(checked.filter(bad))
+        return _first_seen(checked.filter(F.col(REASONS) == "")).unionByName(
+            checked.filter(F.col(REASONS) != "")
+        )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
@@ -114,7 +126,7 @@ class Ingest:
         self,
         source: DataFrame,
         checkpoint: str,
-        interval: str | None = "10 seconds",
+        interval: str | None = "10 seconds",  # fixed value: the published trigger
         ingested_at: Column | None = None,
     ) -> StreamingQuery:
         """Start the stream; ``interval=None`` takes what is there and stops.
@@ -126,13 +138,26 @@ class Ingest:
         return (
             self.plan(source, ingested_at)
             .writeStream.foreachBatch(self)
-            .outputMode("append")
+            .outputMode("update" if self.dedupe == "state" else "append")
             .option("checkpointLocation", checkpoint)
             .trigger(**trigger)
             .start()
         )
 
 
+def _first_seen(rows: DataFrame) -> DataFrame:
+    """Of each key the first row ever: of the first batch, there of the earliest event time.
+
+    The state is the least row of a key, ordered by the instant of its batch, which a
+    replay keeps. A later copy cannot be less; the key then comes out again, with its
+    old instant, and is left out. Spark takes the least row per task before the shuffle.
+    """
+    order = ["_batch", "event_timestamp", *(c for c in rows.columns if c not in (KEY, "event_timestamp"))]
+    stamped = rows.withColumn("_batch", F.current_timestamp())
+    first = stamped.groupBy(KEY).agg(F.min(F.struct(*order)).alias("_first")).select(KEY, "_first.*")
+    return first.filter(F.col("_batch") == F.current_timestamp()).select(*rows.columns)
+
+
 def _breaks_table_only() -> Column:
     """Broke a column rule of the table while passing every cleaning filter."""
     return (F.col(REASONS) != "") & ~violates(filter_rules())
@@ -158,20 +183,42 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("total", F.sum("accepted").over(so_far))
 
 
-def progress_rows(query: StreamingQuery) -> list[dict]:
-    """Batch id, rows, seconds, rows per second and observed metrics of recent batches."""
-    rows = []
-    for progress in query.recentProgress:
-        seconds = progress["durationMs"].get("triggerExecution", 0) / 1000
-        quality = progress["observedMetrics"].get("quality")
-        count = quality["rows"] if quality else progress["numInputRows"]
-        rows.append(
+class ProgressRecorder(StreamingQueryListener):
+    """Batch id, rows, seconds, rows per second and observed metrics of every batch.
+
+    ``spark.streams.addListener(recorder)`` before the query starts; a query's own
+    ``recentProgress`` keeps the last hundred only. Updates arrive shortly after a batch.
+    """
+
+    def __init__(self) -> None:
+        self.rows: list[dict] = []
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seconds = progress.durationMs.get("triggerExecution", 0) / 1000
+        quality = progress.observedMetrics.get("quality")
+        count = quality["rows"] if quality else progress.numInputRows
+        self.rows.append(
             {
-                "batch_id": progress["batchId"],
+                "query": str(progress.id),
+                "batch_id": progress.batchId,
                 "rows": count,
                 "seconds": seconds,
                 "rows_per_s": round(count / seconds, 1) if seconds else 0.0,
                 "quality": quality.asDict() if quality else {},
             }
         )
-    return rows
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.id))
+
+    def of(self, query: StreamingQuery, wait_s: float = 10.0) -> list[dict]:
+        """Rows of an ended query, once its last update has arrived."""
+        until = time.monotonic() + wait_s
+        while str(query.id) not in self.ended and time.monotonic() < until:
+            time.sleep(0.05)
+        return [row for row in self.rows if row["query"] == str(query.id)]

@@ -3,32 +3,38 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.operators.dedupe import BROADCAST_KEYS, first_per_key, not_stored
+from brooklet.operators.dedupe import first_per_key, not_stored
+from brooklet.operators.layout import roll_up
 from brooklet.schema import KEY, TARGET_COLUMNS, to_target
 from brooklet.sources.table import read_stored, write_settings
 
 
-def stream_id(spark: SparkSession) -> str:
-    """The id of the streaming query that is running this batch.
+def stream_id(spark: SparkSession, writer: str | None = None) -> str:
+    """``writer``, or the id of the streaming query that is running this batch.
 
-    It belongs to the checkpoint: a restart keeps it, a new checkpoint, which
-    counts its batches from 0 again, has another. ``direct`` outside a stream.
+    That id belongs to the checkpoint: a restart keeps it, a new checkpoint, which
+    counts its batches from 0 again, has another. Outside a stream there is none, and
+    two callers without an id of their own would overwrite each other's batches.
     """
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    found = writer or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("outside a stream a sink needs the id of its writer")
+    return found
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
+def write_batch(rows: DataFrame, path: str, batch_id: int, *partitions: str, writer: str | None = None) -> None:
     """Replace the folder of one batch of one stream, so a replay is written once.
 
     The whole folder is overwritten: dynamic partition overwrite would keep the
     old rows of a replay that has none.
     """
     spark = rows.sparkSession
-    folder = f"{path}/stream={stream_id(spark)}/batch_id={batch_id}"
+    folder = f"{path}/stream={stream_id(spark, writer)}/batch_id={batch_id}"
     with write_settings(spark):
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
 
@@ -49,12 +55,15 @@ class TableSink:
       (``Ingest(dedupe="state")``). Such state is lost with the checkpoint: go on
       with ``"table"`` or ``"day"`` after that.
 
-    One writer per table. Rows come in as the 12 target columns.
+    Every ``roll_up_every`` batches the closed ones are merged in place, so that the
+    folders to list and the files to read stay few; 0 for never. ``writer`` names the
+    caller outside a stream. One writer per table. Rows come in as the 12 target columns.
     """
 
     path: str
     unique: str = "table"
-    broadcast_keys: int = BROADCAST_KEYS
+    roll_up_every: int = 0
+    writer: str | None = None
 
     def __post_init__(self) -> None:
         if self.unique not in ("table", "day", "batch", "none"):
@@ -69,7 +78,7 @@ class TableSink:
         if self.unique in ("table", "day"):
             stored = read_stored(rows.sparkSession, self.path)
         if stored is not None:
-            other_stream = F.col("stream") != stream_id(rows.sparkSession)
+            other_stream = F.col("stream") != stream_id(rows.sparkSession, self.writer)
             earlier = stored.filter(other_stream | (F.col("batch_id") < batch_id))
             on, keys = [KEY], rows
             if self.unique == "day":
@@ -78,23 +87,27 @@ class TableSink:
                 first, last = rows.agg(F.min("event_date"), F.max("event_date")).first()
                 span = F.col("event_date").between(F.lit(first), F.lit(last))
                 on, keys, earlier = ["event_date", KEY], rows.filter(span), earlier.filter(span)
-            fresh = not_stored(fresh, earlier, on, keys, self.broadcast_keys)
+            fresh = not_stored(fresh, earlier, on, keys)
         columns = [*TARGET_COLUMNS, "event_date"]
         spread = fresh.select(*columns).hint("rebalance", F.col("event_date"))
-        write_batch(spread, self.path, batch_id, "event_date")
+        write_batch(spread, self.path, batch_id, "event_date", writer=self.writer)
+        if self.roll_up_every and batch_id % self.roll_up_every == self.roll_up_every - 1:
+            roll_up(rows.sparkSession, self.path)
 
 
 @dataclass(frozen=True)
 class JdbcSink:
-    """Append to a database table over JDBC.
-
-    The insert commits per writer task, so a failed batch may be stored in part.
-    Its replay carries the same ``ingested_at``; with ``resume`` the rows stored
-    under that instant are looked up (the filter runs in the database) and left
-    out, and the replay can finish. Keys stored by other batches still collide
-    with the table's primary key and stop the stream.
+    """Append to a database table over JDBC, first write of a key wins.
+
+    With ``resume`` the keys that the table holds already are looked up and left out:
+    those of earlier batches, and those that a failed attempt at this one stored (the
+    insert commits per writer task). The lookup is bounded by the batch's event times,
+    which the target has an index on, and split over ``readers`` connections along them.
+    A copy of an event carries its event time; one with a time outside the batch's span
+    would not be seen, and collides with the primary key.
     """
 
+    # Table name, batch size, writers, isolation and TLS of the published set-up.
     url: str
     table: str = "user_events"
     batch_size: int = 1000
@@ -102,6 +115,7 @@ class JdbcSink:
     isolation: str = "READ_COMMITTED"
     tls: bool = True
     resume: bool = True
+    readers: int = 4
     options: dict[str, str] = field(default_factory=dict)
 
     def connection(self) -> dict[str, str]:
@@ -116,11 +130,21 @@ class JdbcSink:
             "isolationLevel": self.isolation,
         }
 
+    def lookup_options(self, first: datetime, last: datetime) -> dict[str, str]:
+        """Read options: ``readers`` connections, each for a part of the event times."""
+        return {
+            **self.connection(),
+            "partitionColumn": "event_timestamp",
+            "lowerBound": str(first),
+            "upperBound": str(last + timedelta(seconds=1)),
+            "numPartitions": str(self.readers),
+        }
+
     def stored(self, rows: DataFrame) -> DataFrame:
-        """Keys stored under the one ingest instant of this batch."""
-        instant = F.timestamp_micros(F.lit(rows.select(F.unix_micros("ingested_at")).first()[0]))
-        known = rows.sparkSession.read.format("jdbc").options(**self.connection()).load()
-        return known.filter(F.col("ingested_at") == instant).select(KEY)
+        """Keys stored with event times in the span of ``rows``; the database filters."""
+        first, last = rows.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+        known = rows.sparkSession.read.format("jdbc").options(**self.lookup_options(first, last)).load()
+        return known.filter(F.col("event_timestamp").between(F.lit(first), F.lit(last))).select(KEY)
 
     def write(self, rows: DataFrame) -> None:
         rows.write.format("jdbc").options(**self.write_options()).mode("append").save()

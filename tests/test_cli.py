@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
 from brooklet.__main__ import main
 from brooklet.plans.inputs import cleaned, user_events
 from brooklet.sources import read_events_table, write_landing
+from brooklet.streaming import TableSink
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,10 +14,26 @@ def test_ingest_compact_report(spark, tmp_path, capsys, unique):
     landing, table, packed = (str(tmp_path / n) for n in ("in", "table", "packed"))
     write_landing(user_events(spark, SF), landing, 500)
     write_landing(user_events(spark, SF), landing, 500)
-    options = ["--landing", landing, "--table", table, "--checkpoint", str(tmp_path / "ck")]
+    options = ["--landing", landing, "--table", table, "--checkpoint", str(tmp_path / "ck"), "--discard"]
     main(["ingest", *options, "--once", "--max-files", "1", "--unique", unique], spark)
     main(["compact", "--table", table, "--out", packed], spark)
     stored = read_events_table(spark, packed)
     assert stored.count() == cleaned(spark, SF).count()
     main(["report", "--table", packed], spark)
     assert "clean_pct" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("options", [["--table", "t"], ["--discard"], []])
+def test_ingest_that_would_lose_rows_is_refused(options):
+    with pytest.raises(SystemExit):
+        main(["ingest", "--landing", "in", "--checkpoint", "ck", *options])
+
+
+def test_reports_are_printed_whole(spark, tmp_path, capsys):
+    rows = cleaned(spark, SF).withColumn("category", F.concat(F.lit("category "), F.crc32("event_id") % 30))
+    TableSink(str(tmp_path / "t"), writer="test")(rows, 0)
+    main(["report", "--table", str(tmp_path / "t")], spark)
+    out = capsys.readouterr().out
+    sold = rows.filter("event_type = 'purchase'").select("category").distinct().collect()
+    assert len(sold) == 30
+    assert all(f"{r.category}\t" in out for r in sold)

@@ -94,19 +94,21 @@ def test_first_per_key(spark, rows, parts):
 
 
 @relaxed
-@given(st.lists(st.integers(0, 30)), st.lists(st.integers(0, 30)), st.sampled_from([0, 10_000]))
-def test_not_stored(spark, rows, stored, limit):
+@given(st.lists(st.integers(0, 30)), st.lists(st.integers(0, 30)))
+def test_not_stored(spark, rows, stored):
     new = spark.createDataFrame([(r,) for r in rows], "event_id int")
     old = spark.createDataFrame([(r,) for r in stored], "event_id int")
-    found = sorted(r[0] for r in dedupe.not_stored(new, old, broadcast_keys=limit).collect())
+    found = sorted(r[0] for r in dedupe.not_stored(new, old).collect())
     assert found == sorted(r for r in rows if r not in set(stored))
 
 
 @relaxed
-@given(st.lists(st.integers(-5, 60), min_size=1, max_size=200), st.integers(1, 20))
-def test_running_total(spark, files, block):
-    frame = spark.createDataFrame([(f,) for f in files], "file_id bigint")
-    found = [tuple(r) for r in analytics.running_total(frame, block=block).orderBy("file_id").collect()]
+@given(st.lists(st.integers(-5, 2**62).map(lambda n: f"part-{n}.csv"), min_size=1, max_size=200))
+def test_running_total(spark, files):
+    """Over names, as sparse as they come."""
+    files = files + files[::2]
+    frame = spark.createDataFrame([(f,) for f in files], "file_id string").repartition(5)
+    found = [tuple(r) for r in analytics.running_total(frame).orderBy("file_id").collect()]
     total, wanted = 0, []
     for file in sorted(set(files)):
         n = files.count(file)
@@ -121,6 +123,22 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def test_amounts_that_are_not_finite_show_and_do_no_harm(spark):
+    rows = [("a", 1.5), ("a", float("nan")), ("b", 2.25), ("c", float("inf")), ("d", None), ("b", 0.25), ("e", 123456789.0)]
+    frame = spark.createDataFrame([(*r, "purchase") for r in rows], "category string, total_amount double, event_type string")
+    found = {r.category: r.revenue for r in analytics.revenue_by_category(frame).collect()}
+    assert found.pop("a") != 0 and found.pop("c") != found.get("c", 0)
+    assert found == {"b": 2.5, "d": None, "e": 123456789.0}
+    views = frame.withColumn("event_type", F.lit("view"))
+    assert analytics.revenue_by_category(views).count() == 0
+
+
+def test_schema_report_shows_the_table_as_it_is(spark):
+    odd = spark.createDataFrame([(1, None), (2, "x")], "price int, event_id string")
+    found = [tuple(r) for r in quality.schema_report(odd).collect()]
+    assert found == [(1, "price", "int", "NO", 0), (2, "event_id", "string", "NO", 1)]
+
+
 def test_minutes_have_no_gap_filling(spark):
     rows = spark.sql("SELECT explode(sequence(0, 30, 3)) AS m").selectExpr(
         "timestampadd(MINUTE, m, timestamp'2024-01-01 00:00:20') AS event_timestamp"

@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 
 from brooklet.operators.clean import clean
 from brooklet.operators.contract import accepted, check
+from brooklet.operators.layout import roll_up
 from brooklet.plans.inputs import damaged_events, user_events
 from brooklet.schema import TARGET_COLUMNS, to_target
 from brooklet.sources import read_events_csv, read_events_stream, read_events_table, read_stored, write_landing
+from brooklet.sources.table import Manifest
 from brooklet.streaming import (
     BatchReport,
     Ingest,
+    ProgressRecorder,
     TableSink,
     dedupe_stream,
     latest_result,
     live_events_per_minute,
     overwrite_sink,
-    progress_rows,
     read_metrics,
     run,
     stream_session,
@@ -46,8 +48,14 @@ class Run:
     def go(self, sinks=None, max_files=1, **options):
         ingest = Ingest(sinks or [TableSink(self.table)], **{"quarantine": self.bad, **self.options, **options})
         source = read_events_stream(self.spark, str(self.folder / "in"), max_files=max_files)
-        self.query = ingest.start(source, str(self.folder / "ck"), None)
-        self.query.awaitTermination()
+        self.progress = ProgressRecorder()
+        self.spark.streams.addListener(self.progress)
+        try:
+            self.query = ingest.start(source, str(self.folder / "ck"), None)
+            self.query.awaitTermination()
+        finally:
+            self.progress.of(self.query)
+            self.spark.streams.removeListener(self.progress)
         return ingest
 
     def ids(self):
@@ -78,7 +86,7 @@ def test_dirty_file_is_split(job, spark):
     assert report.accepted == good.count()
     quarantined = spark.read.parquet(job.bad)
     assert quarantined.count() == report.rejected == checked.count() - report.accepted
-    quality = progress_rows(job.query)[0]["quality"]
+    quality = job.progress.of(job.query)[0]["quality"]
     assert quality == {"rows": checked.count(), "accepted": report.accepted, "rejected": report.rejected}
 
 
@@ -111,7 +119,7 @@ def test_replay_after_a_crash(job, spark):
 
 
 def test_replay_that_keeps_nothing_clears_its_folder(spark, tmp_path):
-    sink = TableSink(str(tmp_path / "t"))
+    sink = TableSink(str(tmp_path / "t"), writer="test")
     rows = to_target(clean(read_events_csv(spark, write_csv(tmp_path / "in" / "a.csv", valid_lines(["k"])))))
     sink(rows, 1)
     sink(rows, 0)  # an earlier batch turns out to hold the key
@@ -120,10 +128,19 @@ def test_replay_that_keeps_nothing_clears_its_folder(spark, tmp_path):
     assert [(r.event_id, r.batch_id) for r in stored.collect()] == [("k", 0)]
 
 
+@pytest.fixture(params=["-1", "10m"])
+def broadcast_bytes(spark, request):
+    """With the batch's keys broadcast, and shuffled."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, request.param)
+    yield
+    spark.conf.set(name, before)
+
+
 @pytest.mark.parametrize("unique", ["table", "day"])
-@pytest.mark.parametrize("broadcast_keys", [0, 1000])
-def test_first_batch_wins(job, unique, broadcast_keys):
-    sink = TableSink(job.table, unique, broadcast_keys)
+def test_first_batch_wins(job, unique, broadcast_bytes):
+    sink = TableSink(job.table, unique)
     job.land("a", valid_lines(["k1", "k2"], category="first"))
     job.land("b", valid_lines(["k2", "k3"], category="second"))
     job.go([sink])
@@ -150,12 +167,130 @@ def test_keys_in_stream_state(spark, tmp_path):
     assert spark.read.parquet(job.bad).count() == 2  # rejected rows are not keys
 
 
+@pytest.mark.parametrize("order", [("late", "early"), ("early", "late")])
+def test_state_keeps_the_earliest_copy_of_the_first_batch(spark, tmp_path, order):
+    job = Run(stream_session(spark), tmp_path, dedupe="state")
+    days = {"late": "2024-01-02 00:00:00", "early": "2024-01-01 00:00:00"}
+    job.land("a", [line("k", {"timestamp": days[name], "category": name}) for name in order])
+    job.land("b", [line("k", {"timestamp": "2023-12-31 00:00:00", "category": "second batch"})])
+    job.go([TableSink(job.table, unique="none")])
+    assert [r.category for r in read_events_table(job.spark, job.table).collect()] == ["early"]
+
+
+@pytest.mark.parametrize("unique", ["table", "none"])
+def test_replay_in_state_mode(spark, tmp_path, unique):
+    job = Run(stream_session(spark), tmp_path, dedupe="state")
+    job.land("a", valid_lines(["a1", "a2", "a2"]))
+    job.land("b", valid_lines(["a1", "b1"]))
+    sink = FailOnce(TableSink(job.table, unique))
+    with pytest.raises(StreamingQueryException):
+        job.go([sink])
+    job.go([sink])
+    assert job.ids() == ["a1", "a2", "b1"]
+
+
+def test_rows_may_not_be_lost_unsaid():
+    with pytest.raises(ValueError, match="sink"):
+        Ingest([], quarantine="q")
+    with pytest.raises(ValueError, match="quarantine"):
+        Ingest([TableSink("t")])
+
+
+def test_nan_amounts_go_to_the_quarantine_and_the_stream_goes_on(job):
+    job.land("a", [line("nan", {"price": "NaN"}), line("k1", {})])
+    job.land("b", valid_lines(["k2"]))
+    reports = job.go().reports
+    assert [(r.accepted, r.rejected) for r in reports] == [(1, 1), (1, 0)]
+    assert job.ids() == ["k1", "k2"]
+
+
+def test_live_report_with_nan(spark, tmp_path):
+    session = stream_session(spark)
+    job = Run(session, tmp_path)
+    job.land("a", [line("nan", {"total_amount": "NaN", "event_type": "purchase"}), *valid_lines(["k1"])])
+    job.land("b", valid_lines(["k2"], timestamp="2024-01-01 00:05:00"))
+    path = str(tmp_path / "all")
+    minutes(session, tmp_path, "complete", overwrite_sink(path))
+    rows = latest_result(spark.read.parquet(path)).orderBy("event_minute").collect()
+    assert [r.n for r in rows] == [2, 1]
+    assert rows[0].revenue != rows[0].revenue and rows[1].revenue == rows[1].revenue
+
+
+def test_state_falls_after_the_watermark(spark, tmp_path):
+    session = stream_session(spark)
+    job = Run(session, tmp_path)
+    job.land("a", valid_lines([f"a{i}" for i in range(20)]))
+    job.land("b", valid_lines(["b"], timestamp="2024-02-01 00:00:00"))
+    source = read_events_stream(session, str(tmp_path / "in"), max_files=1)
+    query = (
+        dedupe_stream(clean(source)).writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) >= 20 and held[-1] == 1
+
+
+@pytest.mark.parametrize("unique", ["table", "day"])
+def test_rolled_up_batches(spark, tmp_path, unique):
+    """Reads are the same before, between and after roll-ups, and replays still replace."""
+    path = str(tmp_path / "t")
+    sink = TableSink(path, unique, writer="test")
+    wanted = {}
+    for batch in range(40):
+        rows = [line(f"k{batch * 2 + i}", {"timestamp": f"2024-01-{1 + batch % 5:02d} 00:00:00"}) for i in range(3)]
+        made = clean(read_events_csv(spark, write_csv(tmp_path / f"in{batch}" / "a.csv", rows)))
+        for _ in range(1 + (batch % 7 == 0)):
+            sink(made, batch)
+        for i in range(3):
+            wanted.setdefault(f"k{batch * 2 + i}", batch)
+        if batch % 2:
+            roll_up(spark, path)
+        if batch % 10 == 5:
+            found = {r.event_id: r.batch_id for r in read_stored(spark, path).collect()}
+            assert set(found) == set(wanted)
+            if unique == "table":
+                assert found == wanted
+    assert read_events_table(spark, path).count() == read_stored(spark, path).count()
+    folders = [p.name for p in Path(path, "stream=test").iterdir()]
+    assert len(folders) <= 6
+    assert len(Manifest.of(spark, path).segments) <= 9
+
+
+def test_an_interrupted_roll_up_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for batch in range(4):
+        rows = clean(read_events_csv(spark, write_csv(tmp_path / f"in{batch}" / "a.csv", valid_lines([f"k{batch}"]))))
+        TableSink(path, writer="test")(rows, batch)
+    before = sorted(map(repr, read_stored(spark, path).collect()))
+
+    def lost(*_):
+        raise OSError("lost before the manifest")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Manifest, "write", lost)
+        with pytest.raises(OSError):
+            roll_up(spark, path)
+    assert sorted(map(repr, read_stored(spark, path).collect())) == before
+    roll_up(spark, path)
+    assert sorted(map(repr, read_stored(spark, path).collect())) == before
+
+
+def test_direct_writers_need_an_id(spark, tmp_path):
+    rows = to_target(clean(read_events_csv(spark, write_csv(tmp_path / "in" / "a.csv", valid_lines(["k"])))))
+    with pytest.raises(ValueError, match="writer"):
+        TableSink(str(tmp_path / "t"))(rows, 0)
+    for writer, key in (("one", "k"), ("two", "m")):
+        TableSink(str(tmp_path / "t"), writer=writer)(rows.withColumn("event_id", F.lit(key)), 0)
+    assert sorted(r.event_id for r in read_stored(spark, str(tmp_path / "t")).collect()) == ["k", "m"]
+
+
 def test_batch_without_valid_rows(job):
     job.land("a", [line("x", {"price": "0"})])
-    reports = job.go(quarantine=None).reports
+    reports = job.go(quarantine=None, discard=True).reports
     assert [(r.accepted, r.rejected, r.rows_per_second) for r in reports] == [(0, 1, 0.0)]
     assert read_stored(job.spark, job.table) is None
-    assert progress_rows(job.query)[0]["rows"] == 1
+    assert job.progress.of(job.query)[0]["rows"] == 1
 
 
 def test_strict_stream_stops(job):
@@ -201,7 +336,7 @@ def test_stream_equals_batch_for_any_file_split(spark, tmp_path):
 def test_runs_until_stopped(job):
     job.land("a", valid_lines(["a1"]))
     source = read_events_stream(job.spark, str(job.folder / "in"))
-    query = Ingest([TableSink(job.table)]).start(source, str(job.folder / "ck"), "200 milliseconds")
+    query = Ingest([TableSink(job.table)], discard=True).start(source, str(job.folder / "ck"), "200 milliseconds")
     try:
         query.processAllAvailable()
         job.land("b", valid_lines(["b1"]))
@@ -214,7 +349,7 @@ def test_runs_until_stopped(job):
     assert not query.isActive
     stored = job.ids()
     job.table, job.folder = str(job.folder / "again"), job.folder
-    once = Ingest([TableSink(job.table)]).start(
+    once = Ingest([TableSink(job.table)], discard=True).start(
         read_events_stream(job.spark, str(job.folder / "in")), str(job.folder / "ck2"), None
     )
     once.awaitTermination()
@@ -229,11 +364,11 @@ batches = st.lists(
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(batches, st.sampled_from([0, 1000]))
-def test_any_batches_with_replays(spark, tmp_path_factory, arriving, limit):
+@given(batches, st.sampled_from([0, 2]))
+def test_any_batches_with_replays(spark, tmp_path_factory, arriving, every):
     """Against a plain dict: first batch wins, in a batch the earliest day does."""
     folder = tmp_path_factory.mktemp("any")
-    sink, model = TableSink(str(folder / "t"), "table", limit), {}
+    sink, model = TableSink(str(folder / "t"), "table", every, "test"), {}
     for batch_id, (events, replayed) in enumerate(arriving):
         lines = [line(f"k{k}", {"timestamp": f"2024-01-0{day + 1} 00:00:00"}) for k, day in events]
         rows = clean(read_events_csv(spark, write_csv(folder / f"in{batch_id}" / "a.csv", lines))).persist()
@@ -412,7 +547,7 @@ def test_any_rows_against_plain_rules(spark, rows):
 def test_wrong_header_stops_a_strict_reader(spark, tmp_path):
     swapped = HEADER.replace("event_id,user_id", "user_id,event_id")
     folder = write_csv(tmp_path / "in" / "a.csv", valid_lines(["a1"]), swapped)
-    job = Ingest([TableSink(str(tmp_path / "t"))])
+    job = Ingest([TableSink(str(tmp_path / "t"))], discard=True)
     for strict in (True, False):
         source = read_events_stream(spark, folder, strict_header=strict)
         query = job.start(source, str(tmp_path / f"ck{strict}"), None)

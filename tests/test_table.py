@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from brooklet.operators import analytics
 from brooklet.operators.clean import clean
 from brooklet.operators.layout import compact
-from brooklet.operators.quality import table_columns
+from brooklet.operators.quality import columns_of, table_columns
 from brooklet.plans.inputs import cleaned, scratch
 from brooklet.schema import TARGET, TARGET_COLUMNS, create_event_table, to_target
 from brooklet.sources import (
@@ -30,8 +30,8 @@ SF = "/root/testdata/sf0.001"
 def stored(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("stored") / "t")
     rows = cleaned(spark, SF)
-    TableSink(path)(rows.filter("event_type = 'view'"), 0)
-    TableSink(path)(rows, 1)
+    TableSink(path, writer="test")(rows.filter("event_type = 'view'"), 0)
+    TableSink(path, writer="test")(rows, 1)
     return path
 
 
@@ -92,6 +92,8 @@ def test_typed_table_enforces_the_contract(spark):
     assert columns == [(c.name, c.kind) for c in TARGET]
     insert(user_id="NULL")  # file tables take NULLs whatever is declared, hence the contract check
     assert all(c.is_nullable == "YES" for c in table_columns(spark.table("typed_events")).collect())
+    named = [(c.column_name, c.data_type) for c in columns_of(spark, "typed_events").collect()]
+    assert [n for n, _ in named] == TARGET_COLUMNS and dict(named)["price"] == "decimal(10,2)"
 
 
 def test_compacted_copy_is_whole_and_pruned(spark, stored, tmp_path):
@@ -112,13 +114,13 @@ def test_compacted_copy_is_whole_and_pruned(spark, stored, tmp_path):
 def test_compaction_rewrites_only_days_with_new_rows(spark, tmp_path):
     table, packed = str(tmp_path / "t"), str(tmp_path / "packed")
     rows = cleaned(spark, SF)
-    TableSink(table)(rows.filter("event_timestamp < '2024-01-20'"), 0)
+    TableSink(table, writer="test")(rows.filter("event_timestamp < '2024-01-20'"), 0)
     compact(read_stored(spark, table), packed)
     def written():
         return {p.parent.name: p.name for p in Path(packed).rglob("*.parquet")}
     before = written()
     time.sleep(0.01)
-    TableSink(table)(rows.filter("event_timestamp >= '2024-01-19'"), 1)
+    TableSink(table, writer="test")(rows.filter("event_timestamp >= '2024-01-19'"), 1)
     for _ in range(2):
         compact(read_stored(spark, table), packed, since_batch=1)
     after = written()
@@ -176,7 +178,7 @@ def test_latest_rows_of_a_table(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = cleaned(spark, SF).persist()
     for batch, day in enumerate(("2024-01-01", "2024-01-10", "2024-01-20")):
-        TableSink(path)(rows.filter(f"event_timestamp >= '{day}' AND event_timestamp < date'{day}' + 9"), batch)
+        TableSink(path, writer="test")(rows.filter(f"event_timestamp >= '{day}' AND event_timestamp < date'{day}' + 9"), batch)
     events = read_events_table(spark, path)
     rows.unpersist()
     assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "INT96"  # put back
@@ -239,6 +241,14 @@ def test_jdbc_options():
     }
 
 
+def test_jdbc_lookup_is_bounded_and_split(spark):
+    sink = JdbcSink("jdbc:postgresql://db/shop", readers=6)
+    options = sink.lookup_options(datetime(2024, 1, 1), datetime(2024, 1, 2))
+    assert options["partitionColumn"] == "event_timestamp"
+    assert (options["lowerBound"], options["upperBound"]) == ("2024-01-01 00:00:00", "2024-01-02 00:00:01")
+    assert options["numPartitions"] == "6"
+
+
 def test_jdbc_without_a_driver_fails(spark):
     with pytest.raises(Exception, match="driver"):
         JdbcSink("jdbc:nosuchdb:x", resume=False)(cleaned(spark, SF), 0)
