@@ -13,12 +13,15 @@ from brooklet.plans.inputs import (
     cleaned,
     damaged_events,
     ingest_boundary,
+    products,
     scratch,
+    slim_events,
     table,
     user_events,
 )
-from brooklet.schema import KEY, MONEY_COLUMNS, to_target
-from brooklet.sources import read_events_csv, read_events_table, read_stored, write_landing
+from brooklet.operators.enrich import enrich_all
+from brooklet.schema import KEY, MONEY_COLUMNS, SOURCE_DDL, to_target
+from brooklet.sources import landing_files, read_events_csv, read_events_table, read_stored, write_landing
 from brooklet.streaming.sinks import TableSink
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,10 +73,13 @@ def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def narrow_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _narrowed(events: DataFrame) -> DataFrame:
     """Amounts as stored, shown as doubles."""
-    stored = to_target(cleaned(spark, sf_dir))
-    return stored.select(KEY, *(F.col(name).cast("double").alias(name) for name in MONEY_COLUMNS))
+    return to_target(events).select(KEY, *(F.col(name).cast("double").alias(name) for name in MONEY_COLUMNS))
+
+
+def narrow_money(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _narrowed(cleaned(spark, sf_dir))
 
 
 def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +102,7 @@ def first_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases first, then all rows twice over, then the second batch once more."""
     path, once = scratch(spark, "table"), scratch(spark, "cleaned")
-    sink = TableSink(path)
+    sink = TableSink(path, writer="events")
     cleaned(spark, sf_dir).write.parquet(once)  # the appends read it several times
     rows = spark.read.parquet(once)
     sink(rows.filter(F.col("event_type") == "purchase"), 0)
@@ -106,10 +112,27 @@ def keyed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stored(spark, path).select(KEY, "batch_id", "ingested_at")
 
 
+ROLLED_BATCHES = 6
+
+
+def rolled_up_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that each bring the rows of the one before again, rolled up every other time."""
+    path, once = scratch(spark, "table"), scratch(spark, "cleaned")
+    sink = TableSink(path, roll_up_every=2, writer="batches")
+    cleaned(spark, sf_dir).write.parquet(once)
+    rows = spark.read.parquet(once)
+    number = F.col(KEY).cast("bigint") % ROLLED_BATCHES
+    for batch in range(ROLLED_BATCHES):
+        later = F.col("ingested_at") + F.make_dt_interval(hours=F.lit(batch))
+        sink(rows.filter((number == batch) | (number == batch - 1)).withColumn("ingested_at", later), batch)
+    amounts = {name: F.col(name).cast("double") for name in MONEY_COLUMNS}
+    return read_stored(spark, path).withColumns(amounts).drop("stream", "event_date")
+
+
 def compact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per day and type, read from the compacted layout."""
     path, packed = scratch(spark, "table"), scratch(spark, "packed")
-    TableSink(path, unique="batch")(cleaned(spark, sf_dir), 0)
+    TableSink(path, unique="batch", writer="events")(cleaned(spark, sf_dir), 0)
     layout.compact(read_stored(spark, path), packed)
     rows = read_events_table(spark, packed)
     return rows.groupBy(F.to_date("event_timestamp").alias("event_date"), "event_type").agg(
@@ -120,7 +143,7 @@ def compact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_events(spark: SparkSession, sf_dir: str, with_day: bool = False) -> DataFrame:
     """The clean events written to a table and read back, money as double."""
     path = scratch(spark, "table")
-    TableSink(path, unique="none")(cleaned(spark, sf_dir), 0)
+    TableSink(path, unique="none", writer="events")(cleaned(spark, sf_dir), 0)
     amounts = {name: F.col(name).cast("double") for name in MONEY_COLUMNS}
     return read_events_table(spark, path, with_day=with_day).withColumns(amounts)
 
@@ -150,6 +173,52 @@ def running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.running_total(_by_file(user_events(spark, sf_dir)))
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read back from landing folders of some 500, with the folder's name."""
+    path = scratch(spark, "landing")
+    folder = (F.floor(F.col(KEY).cast("bigint") / 500) * 7).alias("part")
+    rows = user_events(spark, sf_dir).select("*", folder).repartition("part")
+    rows.write.partitionBy("part").option("header", True).csv(path)
+    return landing_files(spark.read.schema(SOURCE_DDL).option("header", True).csv(path), folder=True)
+
+
+def landing_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.file_type_counts(_landed(spark, sf_dir))
+
+
+def landing_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analytics.running_total(_landed(spark, sf_dir))
+
+
+def unmatched_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why events are set aside whose product the catalogue lacks (a tenth of it is taken out)."""
+    known = products(spark, sf_dir).filter("product_id % 10 <> 3")
+    rows = enrich_all(slim_events(spark, sf_dir), known, units=F.col("units"))
+    return contract.violations(contract.check(rows))
+
+
+def accepted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the contract leaves of the damaged events."""
+    return contract.accepted(contract.check(damaged_events(spark, sf_dir), ingest_boundary()))
+
+
+def on_accepted(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: report(accepted_events(spark, sf_dir))
+
+
+def damaged_kpi_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs of damaged events that the filters pass, purchases delivered twice."""
+    rows = clean.clean(damaged_events(spark, sf_dir), ingest_boundary())
+    return quality.kpi_report(rows.unionByName(rows.filter("event_type = 'purchase'")))
+
+
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of a written table as its files have them."""
+    path = scratch(spark, "table")
+    TableSink(path, unique="none", writer="events")(cleaned(spark, sf_dir), 0)
+    return quality.schema_report(spark.read.parquet(path).drop("stream", "batch_id", "event_date"))
+
+
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_summary(damaged_events(spark, sf_dir))
 
@@ -203,5 +272,15 @@ QUERIES: dict[str, Query] = {
     "quality_summary": quality_summary,
     "contract_violations": contract_violations,
     "kpi_report": on_cleaned(quality.kpi_report),
-    "schema_report": on_cleaned(lambda events: quality.schema_report(to_target(events))),
+    "schema_report": schema_report,
+    "rolled_up_append": rolled_up_append,
+    "landing_file_counts": landing_file_counts,
+    "landing_running_total": landing_running_total,
+    "unmatched_quarantine": unmatched_quarantine,
+    "accepted_events": on_accepted(lambda events: events.drop("ingested_at")),
+    "accepted_narrow_money": on_accepted(_narrowed),
+    "accepted_revenue_by_category": on_accepted(analytics.revenue_by_category),
+    "accepted_category_revenue_purchases": on_accepted(analytics.category_revenue_purchases),
+    "accepted_category_coverage": on_accepted(analytics.category_coverage),
+    "damaged_kpi_report": damaged_kpi_report,
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,9 @@ from brooklet.functions import batch_boundary
 from brooklet.operators.clean import clean
 from brooklet.operators.enrich import enrich
 from brooklet.schema import EVENT_TIME_FORMAT, SOURCE_COLUMNS
+from brooklet.sources.scratch import scratch
+
+__all__ = ["cleaned", "damaged_events", "ingest_boundary", "products", "scratch", "slim_events", "table", "user_events"]
 
 # Events per session, and so per landing file of the running reports.
 SESSION_ROWS = 20
@@ -91,17 +92,11 @@ FAULTS = {
 }
 
 
-def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events, those of the faulty producers damaged in one column."""
-    rows = user_events(spark, sf_dir).withColumn("product", F.col("product_id"))
-    damaged = (f"{FAULTS[name]} AS {name}".replace('"', "`") for name in SOURCE_COLUMNS)
-    return rows.selectExpr(*damaged)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder name for tables a query writes, in the folder the executors share.
+def damaged_events(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
+    """All events, those of the faulty producers damaged in one column.
 
-    That is ``spark.checkpoint.dir``, or the warehouse folder where it is unset.
+    ``only`` is a condition on the rows as they were before.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base}/brooklet/{name}-{uuid.uuid4().hex}"
+    rows = user_events(spark, sf_dir).filter(only).withColumn("product", F.col("product_id"))
+    damaged = (f"{FAULTS[name]} AS {name}".replace('"', "`") for name in SOURCE_COLUMNS)
+    return rows.selectExpr(*damaged)

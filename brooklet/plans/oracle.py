@@ -74,7 +74,7 @@ ACCEPTED = " AND ".join(f"coalesce(NOT ({broken}), true)" for broken in RULES.va
 CATEGORY = f"SELECT category, {EXACT} AS revenue FROM cleaned WHERE event_type = 'purchase' GROUP BY category"
 
 
-def _kpis() -> str:
+def _kpis(source: str = CLEANED) -> str:
     actuals = {
         "throughput_per_s": "n / ((epoch_us(last) - epoch_us(first)) / 1e6)",
         "avg_latency_s": "us / 1e6 / n",
@@ -90,7 +90,7 @@ def _kpis() -> str:
     table_rules = " OR ".join(
         f"({broken})" for name, broken in RULES.items() if name != "event_timestamp_null"
     )
-    return f"""{CLEANED}, totals AS (
+    return f"""{source}, totals AS (
   SELECT count(*) AS n, count(DISTINCT event_id) AS keys, sum({LATENCY}) AS us, max({LATENCY}) AS max_us,
     count(*) FILTER (WHERE {table_rules} OR event_timestamp IS NULL) AS bad,
     min(event_timestamp) AS first, max(ingested_at) AS last FROM cleaned)
@@ -174,5 +174,65 @@ SQL: dict[str, str] = {
         FILTER (WHERE event_type = 'purchase'), 0) AS DOUBLE) AS revenue FROM cleaned GROUP BY 1""",
     "stream_dedupe": f"{CLEANED} SELECT event_id, event_timestamp FROM cleaned",
 }
+SOUND = f"WITH {DAMAGED}, sound AS (SELECT * FROM damaged WHERE {ACCEPTED}), {cleaning('sound')}"
+# Every damaged event beside its number, which the damage does not touch.
+NUMBERED = f"""{UE}, damaged AS (
+  SELECT {", ".join(f'{FAULTS[name]} AS "{name}"' for name in SOURCE_COLUMNS)}, number
+  FROM (SELECT *, product_id AS product, CAST(event_id AS BIGINT) AS number FROM ue))"""
+BATCHES = "(VALUES (0), (1), (2), (3)) AS runs(batch)"
+ARRIVED = f"{BATCHES} JOIN damaged ON number % 4 = batch OR number % 4 = batch - 1"
+RUN_ROWS = f"""WITH {NUMBERED}, sound AS (SELECT * FROM damaged WHERE {ACCEPTED}), {cleaning("sound")}
+  SELECT {ELEVEN}, number % 4 AS batch_id, sink FROM cleaned, (VALUES ('table'), ('second')) AS sinks(sink)"""
+MOMENT = "CAST(floor(epoch(event_timestamp)) AS BIGINT)"
+MIDDLE = f"(SELECT CAST(floor((min({MOMENT}) + max({MOMENT})) / 2) AS BIGINT) FROM cleaned)"
+ROLLED = f"""{CLEANED} SELECT {", ".join("ingested_at + to_hours(CAST(CAST(event_id AS BIGINT) % 6 AS INTEGER)) AS ingested_at" if c == "ingested_at" else c for c in TARGET_COLUMNS)},
+  CAST(event_id AS BIGINT) % 6 AS batch_id FROM cleaned"""
+PART = "concat('part=', CAST(floor(CAST(event_id AS BIGINT) / 500) AS BIGINT) * 7)"
+
+SQL |= {
+    "rolled_up_append": ROLLED,
+    "landing_file_counts": f"""WITH {UE} SELECT {PART} AS file_id,
+      count(*) FILTER (WHERE event_type = 'view') AS views,
+      count(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM ue GROUP BY 1""",
+    "landing_running_total": f"""WITH {UE} SELECT file_id, n, CAST(sum(n) OVER (ORDER BY file_id) AS BIGINT) AS total
+      FROM (SELECT {PART} AS file_id, count(*) AS n FROM ue GROUP BY 1)""",
+    "unmatched_quarantine": f"""WITH lacking AS (
+        SELECT e.event_id, e.event_type FROM events e LEFT JOIN part p
+          ON CAST(json_extract_string(e.props, '$.k') AS BIGINT) = p.p_partkey AND p.p_partkey % 10 <> 3
+        WHERE p.p_partkey IS NULL)
+      SELECT CAST(event_id AS VARCHAR) AS event_id, reason FROM lacking,
+        (VALUES ('product_name_null'), ('category_null'), ('price_not_positive'),
+          ('total_amount_not_positive')) AS reasons(reason)
+      UNION ALL SELECT CAST(event_id AS VARCHAR), 'event_type_unknown' FROM events WHERE NOT ({KNOWN})""",
+    "accepted_events": f"{SOUND} SELECT {ELEVEN} FROM cleaned",
+    "accepted_narrow_money": f"""{SOUND} SELECT event_id, CAST(CAST(price AS DECIMAL(10,2)) AS DOUBLE) AS price,
+      CAST(CAST(total_amount AS DECIMAL(10,2)) AS DOUBLE) AS total_amount FROM cleaned""",
+    "accepted_revenue_by_category": f"{SOUND} {CATEGORY}",
+    "accepted_category_revenue_purchases": f"""{SOUND} SELECT category, {EXACT} AS total_revenue,
+      count(*) AS purchases FROM cleaned WHERE event_type = 'purchase' GROUP BY category""",
+    "accepted_category_coverage": f"""{SOUND} SELECT count(*) AS categories, min(revenue) AS min_revenue
+      FROM ({CATEGORY})""",
+    "damaged_kpi_report": _kpis(
+        f"WITH {DAMAGED}, {cleaning('damaged').replace('cleaned AS', 'once AS', 1)}, "
+        "cleaned AS (SELECT * FROM once UNION ALL SELECT * FROM once WHERE event_type = 'purchase')"
+    ),
+    "stream_minutes_append": f"""{CLEANED}, arrived AS (SELECT * FROM cleaned
+        WHERE NOT ({MOMENT} < {MIDDLE} AND CAST(event_id AS BIGINT) % 50 = 0))
+      SELECT CAST(date_trunc('minute', event_timestamp) AS TIMESTAMP) AS event_minute, count(*) AS n,
+        CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase'), 0) AS DOUBLE)
+        AS revenue FROM arrived GROUP BY 1
+      HAVING event_minute + INTERVAL 1 MINUTE <= (SELECT max(event_timestamp) FROM arrived) - INTERVAL 10 MINUTE""",
+    "stream_runs": RUN_ROWS,
+    "stream_runs_day": RUN_ROWS,
+    "stream_runs_state": RUN_ROWS,
+    "stream_runs_quarantine": f"WITH {NUMBERED}, arrived AS (SELECT damaged.*, CAST(batch AS BIGINT) AS batch_id FROM {ARRIVED}) "
+    + " UNION ALL ".join(
+        f"SELECT event_id, '{name}' AS reason, batch_id FROM arrived WHERE {broken}" for name, broken in RULES.items()
+    ),
+    "stream_runs_metrics": f"""WITH {NUMBERED}, counted AS (SELECT CAST(batch AS BIGINT) AS batch_id,
+        count(*) FILTER (WHERE {ACCEPTED}) AS accepted, count(*) FILTER (WHERE NOT ({ACCEPTED})) AS rejected
+        FROM {ARRIVED} GROUP BY 1)
+      SELECT *, CAST(sum(accepted) OVER (ORDER BY batch_id) AS BIGINT) AS total FROM counted""",
+}
 SQL["latest_stored"] = SQL["latest_events"]
 SQL["newest_minutes"] = SQL["events_per_minute"]

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.operators.clean import clean
 from brooklet.plans.batch import LANDING_ROWS, Query
-from brooklet.plans.inputs import damaged_events, scratch, table, user_events
+from brooklet.plans.inputs import damaged_events, scratch, user_events
 from brooklet.schema import KEY, MONEY_COLUMNS
-from brooklet.sources import read_events_stream, read_events_table, write_landing
+from brooklet.sources import read_events_stream, read_events_table, read_stored, write_landing
 from brooklet.streaming import (
     Ingest,
     TableSink,
@@ -17,6 +20,7 @@ from brooklet.streaming import (
     latest_result,
     live_events_per_minute,
     overwrite_sink,
+    read_metrics,
     stream_session,
 )
 
@@ -50,7 +54,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = stream_session(spark)
     source = _source(session, _landing(spark, damaged_events(spark, sf_dir)))
     path = scratch(spark, "quarantine")
-    ingest = Ingest([], quarantine=path)
+    ingest = Ingest([TableSink(scratch(spark, "table"), unique="batch")], quarantine=path)
     ingest.start(source, scratch(spark, "checkpoint"), None).awaitTermination()
     return spark.read.parquet(path).select(KEY, F.explode("reasons").alias("reason"))
 
@@ -71,35 +75,132 @@ def stream_events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_result(spark.read.parquet(path))
 
 
-def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All landing rows delivered twice, kept once.
+LATENESS = "10 minutes"
 
-    Files may come in any order, so the whole time span of the events is allowed
-    as lateness; no row is then late, however many batches it takes.
-    """
-    session = stream_session(spark)
-    first, last = F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")
-    seconds = F.unix_seconds(last) - F.unix_seconds(first) + 1
-    span = table(spark, sf_dir, "events").agg(seconds).first()[0] or 0
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The events, and the condition of being in the earlier half of their time."""
     events = user_events(spark, sf_dir)
-    source = _source(session, _landing(spark, events, events))
-    path = scratch(spark, "kept")
+    moment = F.unix_seconds(F.to_timestamp("timestamp"))
+    middle = events.agg(F.floor((F.min(moment) + F.max(moment)) / 2)).first()[0] or 0
+    return events, f"unix_seconds(to_timestamp(`timestamp`)) < {middle}"
+
+
+def _run(stream: DataFrame, checkpoint: str, path: str) -> None:
     (
-        dedupe_stream(clean(source), f"{span} seconds")
-        .select(KEY, "event_timestamp")
-        .writeStream.outputMode("append")
-        .option("checkpointLocation", scratch(spark, "checkpoint"))
+        stream.writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .format("parquet")
         .start(path)
         .awaitTermination()
     )
+
+
+def _in_turn(spark: SparkSession, slices: list[DataFrame], plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``plan`` appends when the slices land one after the other, a run for each."""
+    session, landing = stream_session(spark), scratch(spark, "landing")
+    checkpoint, path = scratch(spark, "checkpoint"), scratch(spark, "kept")
+    for rows in slices:
+        write_landing(rows, landing, LANDING_ROWS)
+        _run(plan(_source(session, landing)), checkpoint, path)
     return spark.read.parquet(path)
 
 
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order of their time, then all of them once more; state of ten minutes.
+
+    Copies older than that are late, the others meet their key in the state.
+    """
+    events, early = _halves(spark, sf_dir)
+    slices = [events.filter(early), events.filter(f"NOT ({early})"), events]
+    return _in_turn(
+        spark, slices, lambda source: dedupe_stream(clean(source), LATENESS).select(KEY, "event_timestamp")
+    )
+
+
+def stream_minutes_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed minutes; of the earlier half every fiftieth event arrives last, and is too late."""
+    events, early = _halves(spark, sf_dir)
+    late = f"({early}) AND CAST(event_id AS bigint) % 50 = 0"
+    slices = [events.filter(f"({early}) AND NOT ({late})"), events.filter(f"NOT ({early})"), events.filter(late)]
+    return _in_turn(spark, slices, lambda source: live_events_per_minute(clean(source), LATENESS))
+
+
+RUNS = 4
+
+
+class _LostOnce:
+    """A sink that fails once after it has written batch 2, as a crash before the commit would."""
+
+    def __init__(self, sink: TableSink) -> None:
+        self.sink, self.failed = sink, False
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        self.sink(rows, batch_id)
+        if batch_id == 2 and not self.failed:
+            self.failed = True
+            raise RuntimeError("lost after the write")
+
+
+def _runs(spark: SparkSession, sf_dir: str, unique: str = "table") -> dict[str, str]:
+    """Four runs on one checkpoint over landing files that arrive in between.
+
+    Each brings a fourth of the damaged events and those of the run before again. The
+    third fails after its write and is replayed. Folders of two tables, quarantine, metrics.
+    """
+    session = stream_session(spark)
+    landing, checkpoint = scratch(spark, "landing"), scratch(spark, "checkpoint")
+    folders = {name: scratch(spark, name) for name in ("table", "second", "quarantine", "metrics")}
+    mode = {"state": "none"}.get(unique, unique)
+    last = _LostOnce(TableSink(folders["second"], mode))
+    job = Ingest(
+        [TableSink(folders["table"], mode), last],
+        quarantine=folders["quarantine"],
+        metrics=folders["metrics"],
+        dedupe="state" if unique == "state" else "sink",
+    )
+    for run in range(RUNS):
+        number = f"CAST(event_id AS bigint) % {RUNS}"
+        write_landing(damaged_events(spark, sf_dir, f"{number} IN ({run}, {run - 1})"), landing, LANDING_ROWS)
+        source = read_events_stream(session, landing, max_files=None)
+        try:
+            job.start(source, checkpoint, None).awaitTermination()
+        except StreamingQueryException:
+            job.start(source, checkpoint, None).awaitTermination()
+    return folders
+
+
+def _stored_by_runs(unique: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folders = _runs(spark, sf_dir, unique)
+        tables = [read_stored(spark, folders[name]).withColumn("sink", F.lit(name)) for name in ("table", "second")]
+        amounts = {name: F.col(name).cast("double") for name in MONEY_COLUMNS}
+        rows = tables[0].unionByName(tables[1]).withColumns(amounts)
+        return rows.drop("ingested_at", "stream", "event_date")
+
+    return query
+
+
+def stream_runs_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(_runs(spark, sf_dir)["quarantine"])
+    return rows.select(KEY, F.explode("reasons").alias("reason"), F.col("batch_id").cast("bigint").alias("batch_id"))
+
+
+def stream_runs_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_metrics(spark, _runs(spark, sf_dir)["metrics"])
+    return rows.select("batch_id", "accepted", "rejected", "total")
+
+
 QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
     "stream_events_per_minute": stream_events_per_minute,
+    "stream_minutes_append": stream_minutes_append,
     "stream_dedupe": stream_dedupe,
+    "stream_runs": _stored_by_runs("table"),
+    "stream_runs_day": _stored_by_runs("day"),
+    "stream_runs_state": _stored_by_runs("state"),
+    "stream_runs_quarantine": stream_runs_quarantine,
+    "stream_runs_metrics": stream_runs_metrics,
 }
