@@ -33,9 +33,9 @@ SELECTED = 4096
 FACTORS = 8
 #: Labelled rows the machine is fitted on, as expected number; with fewer, all of them.
 SAMPLE_ROWS = 20_000
-#: Least G statistic of a bucket: one in a thousand unrelated buckets exceeds it.
-LEAST_G = 10.83
-EPOCHS, ROWS_A_STEP, RATE, DECAY = 30, 256, 0.1, 1e-4
+#: Least G statistic of a bucket: one in a hundred thousand unrelated buckets exceeds it.
+LEAST_G = 19.5
+EPOCHS, ROWS_A_STEP, RATE, DECAY = 60, 256, 0.1, 1e-5
 THRESHOLD = 0.7
 CACHED_TERMS = 300_000
 
