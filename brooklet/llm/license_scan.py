@@ -38,7 +38,7 @@ TEMPLATES = [
     ),
     ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("MIT", "Released under the MIT License."),
-    ("MIT", "The MIT License (MIT)"),
+    ("MIT", "The MIT License"),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
