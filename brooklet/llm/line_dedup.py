@@ -189,7 +189,8 @@ def _keys(least: int):
                 found = {digest(key) for key in held if is_counted(key, least)}
                 ids += [doc_id] * len(found)
                 out += sorted(found)
-            yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "key": out})
+            if out:
+                yield pd.DataFrame({"doc_id": ids, "key": out})
 
     return keys
 
