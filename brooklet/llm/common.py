@@ -47,6 +47,15 @@ def named_text(docs: DataFrame) -> DataFrame:
     return id_text(docs).withColumn("doc_id", F.col("doc_id").cast("string"))
 
 
+#: Rows of a few numbers that are broadcast at most, some 50 MB; more are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(rows: DataFrame) -> DataFrame:
+    """``rows``, counted, with a broadcast hint if they are few enough. Cheap to read, please."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def columns(rows: DataFrame) -> list[Column]:
     """The columns of ``rows`` by name, whatever their names hold."""
     return [F.col(f"`{name.replace('`', '``')}`") for name in rows.columns]

@@ -76,7 +76,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     sets = written(item_sets(items), "items")
     searched = written(sketches(sets), "sketches")
     small = searched.count() <= BROADCAST_HASHES
-    bounded = (lambda rows: F.broadcast(rows)) if small else (lambda rows: rows)
+    bounded = F.broadcast if small else (lambda rows: rows)
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
     grams = with_grams(texts).select("doc_id", F.explode_outer("grams").alias("gram"))
     hit = grams.join(bounded(searched), "gram").groupBy("doc_id", "item_id", "hits")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import named_text, slices, written
+from brooklet.llm.common import bounded, named_text, slices, written
 
 BUCKETS = 1 << 18
 SELECTED = 4096
@@ -137,6 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> M
     rows = docs if usable is None else docs.filter(usable)
     hashed = named_text(rows).mapInPandas(_hash_terms, "doc_id string, terms array<int>")
     hashed = hashed.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    marks = bounded(written(marks, "labels"))
     marked = written(hashed.join(marks, "doc_id").select("doc_id", "toxic", "terms"), "labelled")
     n, n_1 = marked.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counts = marked.select("toxic", F.explode("terms").alias("bucket")).groupBy("bucket")

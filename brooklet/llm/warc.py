@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 import re
 import uuid
 import zlib
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from brooklet.llm.common import slices
 
 BLOCK = 512
-ARCHIVE_BYTES = 1 << 30
+ARCHIVE_BYTES, READ_BYTES = 1 << 30, 64 << 20
 LEVEL = 4
 OPEN_FILES = 32
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -189,8 +190,15 @@ CAPTURE = "key string, page_id bigint, url string, file string, offset long, len
 INDEX_FILE = "first string, file string, offset long, length long"
 
 
-def _whole(value) -> int | None:
-    return None if pd.isna(value) else int(value)
+def _whole(value: str | None) -> int | None:
+    """A number that came as text: pandas would round a long beside a null."""
+    return None if value is None else int(value)
+
+
+def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    """Rows with whole numbers or None, which pandas would otherwise make floating."""
+    out = pd.DataFrame(rows, columns=names, dtype=object)
+    return out.astype({c: "Int64" for c in names if c in ("page_id", "refers_to", "payload_bytes", "offset", "length")})
 
 
 def _write_records(root: str):
@@ -199,17 +207,15 @@ def _write_records(root: str):
         try:
             for batch in slices(batches):
                 rows = []
-                ids, firsts = batch["page_id"].astype("Int64"), batch["first"].astype("Int64")
                 for page_id, url, html, sha1, first in zip(
-                    ids, batch["url"], batch["text"], batch["sha1"], firsts, strict=True
+                    *(batch[c] for c in ("page_id", "url", "text", "sha1", "first")), strict=True
                 ):
                     page_id, first = _whole(page_id), _whole(first)
                     digest = base32(bytes.fromhex(sha1))
                     refers_to = first if first is not None and page_id is not None and first < page_id else None
                     data = _gzip(record(page_id, url, html.encode(), digest, refers_to))
                     rows.append((capture_key(url, page_id), page_id, url, *out.put(data), len(data)))
-                names = ["key", "page_id", "url", "file", "offset", "length"]
-                yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64"})
+                yield _frame(rows, ["key", "page_id", "url", "file", "offset", "length"])
         finally:
             out.close()
 
@@ -286,8 +292,7 @@ def _lookup(archives: str, index: str, files: list[tuple[str, str, int, int]], p
                         r = parse(read(file, offset, length))
                         row = (r.page_id, url, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
                         rows.append((*row, r.payload) if payloads else row)
-                out = pd.DataFrame(rows, columns=[*names, "payload"][: 6 + payloads])
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                yield _frame(rows, [*names, "payload"][: 6 + payloads])
         finally:
             read.close()
             read_index.close()
@@ -319,7 +324,8 @@ class Archive:
         firsts.filter("first < last").select("sha1", "first").write.parquet(f"{self.path}/firsts")
         # From files on both sides: a payload that very many pages share can be split.
         shared = self.spark.read.parquet(f"{self.path}/firsts")
-        marked = rows.join(shared, "sha1", "left").select("page_id", "url", "text", "sha1", "first")
+        numbers = (F.col(c).cast("string").alias(c) for c in ("page_id", "first"))
+        marked = rows.join(shared, "sha1", "left").select("url", "text", "sha1", *numbers)
         captures = marked.mapInPandas(_write_records(f"{self.path}/archives"), CAPTURE)
         captures.write.parquet(f"{self.path}/captures")
         sorted_ = self.captures().repartitionByRange("key").sortWithinPartitions("key", "file", "offset")
@@ -344,8 +350,12 @@ class Archive:
         dealt out and sorted by key, so a task walks through neighbouring blocks.
         """
         key = F.pandas_udf(_key_series, "string")
-        keys = wanted.select("page_id", "url").distinct().withColumn("key", key("page_id", "url"))
-        dealt = keys.repartitionByRange("key").sortWithinPartitions("key").select("key", "url")
+        keys = wanted.select(F.col("page_id").cast("string").alias("page_id"), "url").distinct()
+        keys = keys.withColumn("key", key("page_id", "url"))
+        # As many tasks as the archives ask for: what they read is not in the keys' size.
+        stored = self.captures().agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+        tasks = max(self.spark.sparkContext.defaultParallelism, math.ceil(stored / READ_BYTES))
+        dealt = keys.repartitionByRange(tasks, "key").sortWithinPartitions("key").select("key", "url")
         schema = "page_id bigint, url string, payload_bytes long, payload_digest string, record_type string, refers_to bigint"
         paths = f"{self.path}/archives", f"{self.path}/index"
         read = _lookup(*paths, self.files(), payloads)
@@ -357,5 +367,5 @@ class Archive:
 
 
 def _key_series(page_id: pd.Series, url: pd.Series) -> pd.Series:
-    ids = page_id.astype("Int64")
-    return pd.Series([capture_key(u, _whole(i)) for i, u in zip(ids, url, strict=True)], dtype="object")
+    keys = [capture_key(u, _whole(i)) for i, u in zip(page_id, url, strict=True)]
+    return pd.Series(keys, dtype="object")
