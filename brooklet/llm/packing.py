@@ -33,7 +33,7 @@ from brooklet.llm.common import columns, named_text, slices, written
 CAPACITY = 1024
 END_ID = 0
 GROUP = 16_384
-CACHED_WORDS, CACHED_CHARS = 300_000, 64
+CACHED_WORDS, CACHED_CHARS = 400_000, 64
 #: Characters encoded at once: their words are held besides the remembered ones.
 ENCODED_CHARS = 2_000_000
 WORDS_AT_ONCE = 1000
