@@ -6,7 +6,8 @@
 * ``counts``: the exact reference counts. A row is (shard, key, refs, first, last): how
   many postings a key has, and the smallest and largest document among them. Rows are
   absolute; the one of the latest batch holds;
-* ``filters``: a cuckoo filter per shard over the keys with at least one reference;
+* ``filters``: one cuckoo filter per shard over the keys with at least one reference; one
+  that gets full is built anew from the counts, at twice the size;
 * ``removed``: documents taken out, with the batch that did it;
 * ``log``: a row per finished batch. A batch is written under its number and counts only
   once it is in the log, so a job that died is simply run again.
@@ -131,11 +132,19 @@ class CuckooFilter:
         return False
 
 
-FILTER = "shard int, level int, slots binary"
+FILTER = "shard int, slots binary"
 
 
 def _filters_of(rows: pd.DataFrame) -> list[CuckooFilter]:
-    return [CuckooFilter.from_bytes(data) for data in rows.sort_values("level")["slots"]]
+    return [CuckooFilter.from_bytes(data) for data in rows["slots"]]
+
+
+def _filled(keys: np.ndarray, n: int) -> CuckooFilter:
+    """A filter with ``keys`` in it and room for ``n`` or more."""
+    n = max(n, 1)
+    while not (one := CuckooFilter.for_keys(n)).insert(keys):
+        n *= 2
+    return one
 
 
 def _lookup(key: tuple, keys: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
@@ -147,22 +156,30 @@ def _lookup(key: tuple, keys: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFra
 
 
 def _update(key: tuple, changes: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    """The filters of one shard after ``changes`` (hash, added). A full level gets another one above it."""
-    levels = _filters_of(filters)
-    for gone in changes.loc[~changes["added"], "hash"]:
-        for one in levels:
-            if one.contains(np.array([gone], np.int64))[0] and one.remove(int(gone)):
-                break
+    """The filter of one shard after ``changes`` (hash, added); null where it has to be built anew.
+
+    Keys of the same fingerprint and buckets share their places, so it does not matter
+    whose is taken out. That holds within one filter only: a second one beside it would
+    lose the fingerprint of another key. A shard of several, as older indexes have, is
+    built anew as well.
+    """
     new = changes.loc[changes["added"], "hash"].to_numpy(np.int64)
-    if len(new) and not (levels and levels[-1].insert(new)):
-        size = len(new)
-        fresh = CuckooFilter.for_keys(size)
-        while not fresh.insert(new):
-            size *= 2
-            fresh = CuckooFilter.for_keys(size)
-        levels.append(fresh)
-    rows = [(key[0], i, one.to_bytes()) for i, one in enumerate(levels)]
-    return pd.DataFrame(rows, columns=["shard", "level", "slots"])
+    slots = None
+    if not len(filters):
+        slots = _filled(new, len(new)).to_bytes()
+    elif len(filters) == 1:
+        (one,) = _filters_of(filters)
+        for gone in changes.loc[~changes["added"], "hash"]:
+            one.remove(int(gone))
+        if one.insert(new):
+            slots = one.to_bytes()
+    return pd.DataFrame({"shard": [key[0]], "slots": [slots]})
+
+
+def _rebuilt(key: tuple, live: pd.DataFrame) -> pd.DataFrame:
+    """A filter over the keys of one shard (hash), with room for as many again."""
+    hashes = live["hash"].to_numpy(np.int64)
+    return pd.DataFrame({"shard": [key[0]], "slots": [_filled(hashes, 2 * len(hashes)).to_bytes()]})
 
 
 # ---------------------------------------------------------------- lines
@@ -237,10 +254,10 @@ class LineIndex:
     def _write(self, rows: DataFrame, table: str, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/{table}/batch={batch}")
 
-    def _read(self, table: str) -> DataFrame:
-        """Rows of the finished batches, with ``batch``."""
+    def _read(self, table: str, *more: int) -> DataFrame:
+        """Rows of the finished batches and of ``more``, with ``batch``."""
         rows = self.spark.read.option("basePath", f"{self.path}/{table}")
-        rows = rows.parquet(*(f"{self.path}/{table}/batch={b}" for b in self._batches(table)))
+        rows = rows.parquet(*(f"{self.path}/{table}/batch={b}" for b in [*self._batches(table), *more]))
         return rows
 
     def _batches(self, table: str) -> list[int]:
@@ -262,10 +279,10 @@ class LineIndex:
         self.batch, self.shards = log.agg(F.max("batch"), F.max("shards")).first()
         return self
 
-    def counts(self) -> DataFrame:
-        """shard, key, refs, first, last, one row per key."""
-        rows = self._read("counts")
-        if len(self._batches("counts")) == 1:
+    def counts(self, *more: int) -> DataFrame:
+        """shard, key, refs, first, last, one row per key; batches ``more`` need not be finished."""
+        rows = self._read("counts", *more)
+        if len(self._batches("counts")) + len(more) == 1:
             return rows.select("shard", "key", "refs", "first", "last")
         latest = F.max_by(F.struct("refs", "first", "last"), "batch").alias("c")
         return rows.groupBy("shard", "key").agg(latest).select("shard", "key", "c.*")
@@ -349,17 +366,28 @@ class LineIndex:
         rows = self._hashed(rows)
         schema = "shard int, key binary, refs long, first long, last long, hash long, known boolean"
         rows = rows.select("shard", "key", "refs", "first", "last", "hash").groupBy("shard")
-        filters = self._read("filters").select("shard", "level", "slots").groupBy("shard")
-        return rows.cogroup(filters).applyInPandas(_lookup, schema)
+        return rows.cogroup(self._filters().groupBy("shard")).applyInPandas(_lookup, schema)
+
+    def _filters(self) -> DataFrame:
+        return self._read("filters").filter("slots IS NOT NULL").select("shard", "slots")
 
     def _write_filters(self, changes: DataFrame, batch: int) -> None:
         changes = self._hashed(changes).select("shard", "hash", "added").groupBy("shard")
         if batch == 0:
             before = self.spark.createDataFrame([], FILTER)
         else:
-            before = self._read("filters").select("shard", "level", "slots")
+            before = self._filters()
         after = changes.cogroup(before.groupBy("shard")).applyInPandas(_update, FILTER)
         self._write(after, "filters", batch)
+        if batch == 0:
+            return  # made for their keys
+        full = self.spark.read.schema(FILTER).parquet(f"{self.path}/filters/batch={batch}")
+        full = full.filter("slots IS NULL").select("shard")
+        if not full.isEmpty():
+            live = self._hashed(self.counts(batch).filter("refs > 0"))
+            live = live.join(F.broadcast(full), "shard", "left_semi").select("shard", "hash").groupBy("shard")
+            rebuilt = live.applyInPandas(_rebuilt, FILTER)
+            rebuilt.write.mode("append").parquet(f"{self.path}/filters/batch={batch}")
 
     # -- decisions
 

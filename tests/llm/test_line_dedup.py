@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from edge_cases import SF_DIR, lower, tally, texts
 
-from brooklet.llm.line_dedup import CuckooFilter, LineIndex
+from brooklet.llm.line_dedup import CuckooFilter, LineIndex, _hashes, digest
 from brooklet.llm.queries import op1_line_dedup
 from brooklet.plans.inputs import scratch
 from pyspark.sql import functions as F
@@ -84,6 +84,30 @@ def test_filters_hold_just_the_keys_with_references(spark, documents):
     assert dead.filter("known").count() <= 0.01 * dead.count() + 2
 
 
+def test_a_deletion_takes_out_no_other_key_of_the_same_fingerprint(spark):
+    lines = index(spark)
+    said = [f"line number {i} of many" for i in range(6000)]
+    rows = spark.createDataFrame([(x, digest(x.encode())) for x in said], "line string, key binary")
+    rows = lines._hashed(rows).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(8)))
+    held = {}
+    for row in rows.orderBy("line").collect():
+        mark = int(_hashes(np.array([row.hash], np.int64))[1][0])
+        held.setdefault((row.shard, mark), []).append(row.line)
+    one, twin = next(x for x in held.values() if len(x) > 1)[:2]
+    docs = [(1, one), (2, "\n".join(x for x in said if x not in (one, twin))), (3, twin), (4, one), (5, one)]
+    frame = lambda *ids: spark.createDataFrame([docs[i - 1] for i in ids], "doc_id long, text string")
+    lines.insert(frame(1))  # a filter of eight places, which the second batch outgrows
+    lines.insert(frame(2, 3))
+    lines.delete(frame(3))
+    lines.insert(frame(4))
+    assert lines._lookup(lines.counts().filter("refs > 0")).filter("NOT known").count() == 0
+    assert lines._filters().groupBy("shard").count().filter("count > 1").count() == 0
+    lines.delete(frame(1))
+    lines.insert(frame(5))
+    left = frame(2, 4, 5)
+    assert digests(lines.kept(left)) == brute_force(texts(left))
+
+
 def test_an_unfinished_batch_counts_for_nothing(spark, documents):
     lines = index(spark)
     lines.insert(documents.filter("doc_id < 100"))
