@@ -1,12 +1,14 @@
 """Licences of files: notices by TF-IDF cosine to templates, then the nearest licensed directory.
 
 Every line of a file is a candidate notice, and the whole text a candidate licence file.
-Each is a sparse vector over its words, tf * idf, with document frequencies counted over
+So is every run of as many words as a template has, for that template: a notice may be
+wrapped over several lines or stand inside a longer one. Each is a sparse vector over its words, tf * idf, with document frequencies counted over
 all files; a word of no template weighs as one that no file has. The cosine to the
 templates (about thirty short texts) is computed only where it can reach the threshold:
 of each template the heaviest words are taken until the rest has less than that share
 of its length, and a text without any of these words cannot be similar enough. Almost
-all prose is ruled out by that, without loss.
+all prose is ruled out by that, without loss. Runs are looked at only in stretches of a text
+whose words hold enough of the template's length, which is without loss as well.
 
 A file that names no licence itself inherits that of the nearest directory above it which
 holds a licence file: one whose whole text is similar to a template, or one named like
@@ -54,6 +56,24 @@ TEMPLATES = [
         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
         "or (at your option) any later version.",
     ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+        "or (at your option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+        "License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+    ),
     ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
@@ -122,7 +142,10 @@ class Templates:
         for template, _, word, tf in words:
             weights.setdefault(template, {})[word] = tf * idf[word]
         names = {template: name for template, name, _, _ in words}
-        rows, telling = [], set()
+        rows, telling, anchors, spans = [], set(), [], []
+        size = dict.fromkeys(names, 0)
+        for template, _, _, tf in words:
+            size[template] += tf
         for template, vector in weights.items():
             length = sum(v * v for v in vector.values()) ** 0.5
             rows += [(template, names[template], w, v / length) for w, v in vector.items()]
@@ -132,9 +155,23 @@ class Templates:
                     break
                 telling.add(word)
                 left -= (v / length) ** 2
+            # Words with all but a quarter of what the threshold asks for; common words are in the rest.
+            left, held = 1.0, []
+            for word, v in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+                if left < threshold * threshold / 4:
+                    break
+                held.append((template, word, (v / length) ** 2))
+                left -= held[-1][2]
+            least = threshold * threshold - max(left, 0.0) - 1e-9
+            anchors += [(*row, size[template], least) for row in held]
+            spans.append((template, names[template], size[template], {w: v / length for w, v in vector.items()}, idf))
         # Both tables hold a row per word of a template: some hundred.
         self.weights = spark.createDataFrame(rows, "template int, license string, word string, weight double")
         self.idf = spark.createDataFrame(list(idf.items()), "word string, idf double")
+        self.anchors = spark.createDataFrame(anchors, "template int, word string, square double, size int, least double")
+        self.spans = spark.createDataFrame(
+            spans, "template int, license string, size int, weights map<string,double>, idf map<string,double>"
+        )
         self.telling = sorted(telling)
 
     def matches(self, texts: DataFrame) -> DataFrame:
@@ -157,6 +194,40 @@ class Templates:
         best = near.agg(F.min(F.struct(-F.col("similarity"), "license")).alias("best"))
         return best.select("unit", F.col("best.license").alias("license"), (-F.col("best.col1")).alias("similarity"))
 
+    def runs(self, texts: DataFrame) -> DataFrame:
+        """unit, license, similarity: the best template among all runs of its number of words in each text.
+
+        ``texts``: unit (any type, a row each) and text. A text is cut into blocks of a
+        template's size; a run lies in two of them at most, so both together must hold
+        words of ``least`` of the template's squared length, or more.
+        """
+        words = texts.select("unit", F.expr(WORDS.format(text="text")).alias("words"))
+        words = words.filter(F.expr(f"arrays_overlap(words, {_quoted(self.telling)})"))
+        held = words.select("unit", F.posexplode("words").alias("at", "word")).join(F.broadcast(self.anchors), "word")
+        block = F.explode(F.expr("array(int(at div size), int(at div size) - 1)")).alias("block")
+        held = held.select("unit", "template", "word", "square", "size", "least", block).filter("block >= 0").distinct()
+        held = held.groupBy("unit", "template", "block").agg(F.sum("square").alias("sum"), F.first("least").alias("least"))
+        blocks = held.filter("sum >= least").groupBy("unit")
+        blocks = blocks.agg(F.collect_list(F.struct("template", "block")).alias("blocks"))
+        near = words.join(blocks, "unit").select("unit", "words", F.explode("blocks").alias("b"))
+        near = near.select("unit", "words", F.col("b.template").alias("template"), F.col("b.block").alias("block"))
+        near = near.join(F.broadcast(self.spans), "template")
+        last = F.expr("least(size - 1, size(words) - size - block * size)").alias("last")
+        stretch = F.expr(f"""transform(slice(words, block * size + 1, 2 * size - 1), x ->
+            struct(x AS w, coalesce(idf[x], {self.unknown!r}D) AS idf, coalesce(weights[x], 0D) AS t))""")
+        near = near.select("unit", "license", "size", last, stretch.alias("stretch")).filter("last >= 0")
+        # Of each run the dot product and the squared length.
+        cosines = F.expr("""transform(transform(sequence(0, greatest(last, 0)), s -> slice(stretch, s + 1, size)), run ->
+            aggregate(
+                transform(array_distinct(run), d -> struct(size(filter(run, y -> y.w = d.w)) * d.idf AS v, d.t AS t)),
+                struct(0D AS dot, 0D AS sq),
+                (sum, d) -> struct(sum.dot + d.v * d.t AS dot, sum.sq + d.v * d.v AS sq),
+                sum -> sum.dot / sqrt(sum.sq)))""")
+        near = near.select("unit", "license", F.round(F.array_max(cosines), 6).alias("similarity"))
+        best = near.filter(F.col("similarity") >= self.threshold).groupBy("unit")
+        best = best.agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("best"))
+        return best.select("unit", F.col("best.license").alias("license"), (-F.col("best.s")).alias("similarity"))
+
 
 def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """path, license, similarity, found, directory: one row per distinct path of ``files`` (path, text).
@@ -164,7 +235,9 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ``found`` is ``file`` for a licence file, ``header`` for a file with a notice,
     ``inherited`` for one that takes over the licence of ``directory``, and null, as the
     licence, where none applies. Of several notices the most similar counts, then the
-    first by name; so of several licence files of a directory.
+    first by name; so of several licence files of a directory. A run of words counts where
+    no line and not the whole text is a notice, or where it is more similar to another
+    licence than they are to theirs.
 
     A null text is an empty one. Rows of the same path are one file of all their lines.
     Rows without a path are left out. Other columns are not looked at. Path parts are
@@ -186,7 +259,20 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     own = found.select(
         "path", F.col("best.license").alias("license"), (-F.col("best.s")).alias("similarity"), "whole"
     )
-    own = written(own, "own")
+    runs = templates.runs(few.select(F.struct("path", F.xxhash64("text")).alias("unit"), "text").distinct())
+    runs = runs.groupBy("unit.path").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("run"))
+    own = own.join(runs, "path", "full")
+    by_run = F.col("license").isNull() | ((F.col("run.license") != F.col("license")) & (-F.col("run.s") > F.col("similarity")))
+    by_run = F.coalesce(by_run & F.col("run").isNotNull(), F.lit(False))
+    own = written(
+        own.select(
+            "path",
+            F.when(by_run, F.col("run.license")).otherwise(F.col("license")).alias("license"),
+            F.when(by_run, -F.col("run.s")).otherwise(F.col("similarity")).alias("similarity"),
+            F.coalesce("whole", F.lit(False)).alias("whole"),
+        ),
+        "own",
+    )
 
     directory = F.expr("regexp_replace(path, '/?[^/]*$', '')")
     named = F.expr("regexp_extract(path, '[^/]*$', 0)").rlike(NAMES)

@@ -88,6 +88,57 @@ def test_edge_rows(spark):
 
 
 
+def wrapped(text, width, mark="# "):
+    words, lines = text.split(), [[]]
+    for word in words:
+        if len(" ".join([*lines[-1], word])) > width:
+            lines.append([])
+        lines[-1].append(word)
+    return "\n".join(mark + " ".join(line) for line in lines)
+
+
+CODE = "\n".join(f"value_{i} = compute(other_{i}, {i})" for i in range(80))
+RUNS = [
+    *((f"w{i}/x.py", wrapped(text, 36) + "\n" + CODE) for i, (_, text) in enumerate(TEMPLATES)),
+    *((f"s{i}/x.md", f"Some words of what it does come first here. {text} Then others follow it on and on, to the end.")
+      for i, (_, text) in enumerate(TEMPLATES)),
+    ("n/x.py", CODE), ("n/y", "a licence is the permission to use software, version for version, under terms of the owner"),
+]
+
+
+def best_run(text, files):
+    """Of all runs of a template's number of words, one by one."""
+    idf = lambda w: 1 + math.log((len(files) + 1) / (sum(w in s for s in files) + 1))
+    vocabulary = {w: idf(w) for _, t in TEMPLATES for w in words(t)}
+    weigh = lambda ws: {w: k * vocabulary.get(w, 1 + math.log(len(files) + 1)) for w, k in Counter(ws).items()}
+    length = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    found, all_words = [], words(text)
+    for name, template in TEMPLATES:
+        t = weigh(words(template))
+        n = len(words(template))
+        for at in range(len(all_words) - n + 1):
+            v = weigh(all_words[at : at + n])
+            cosine = round(sum(x * t.get(w, 0) for w, x in v.items()) / length(v) / length(t), 6)
+            if cosine >= THRESHOLD:
+                found.append((-cosine, name))
+    return min(found, default=None)
+
+
+def test_wrapped_notices_and_notices_inside_a_line(spark):
+    rows = {r[0]: r for r in found(license_scan.scan(spark.createDataFrame(RUNS, "path string, text string")))}
+    assert [rows[f"w{i}/x.py"][1] for i in range(len(TEMPLATES))] == [name for name, _ in TEMPLATES]
+    assert [rows[f"s{i}/x.md"][1] for i in range(len(TEMPLATES))] == [name for name, _ in TEMPLATES]
+    assert rows["n/x.py"][1:] == rows["n/y"][1:] == (None, None, None, None)
+    by_unit = {r[0]: r for r in brute_force(RUNS)}
+    seen = [set(words(text)) for _, text in RUNS]
+    for path, text in RUNS[::5]:
+        old, run = by_unit[path], best_run(text, seen)
+        if run and (old[1] is None or (run[1] != old[1] and -run[0] > old[2])):
+            assert rows[path][1:4] == (run[1], round(-run[0], 5), "header")
+        else:
+            assert rows[path] == old
+
+
 def test_without_licences(spark):
     rows = [("a/x", "the cat"), ("b", "sat down")]
     assert found(license_scan.scan(spark.createDataFrame(rows, "path string, text string"))) == brute_force(rows)
