@@ -52,3 +52,28 @@ DECONTAMINATION = f"""WITH items AS {_sets("benchmark", "item_id")}, docs AS {_s
   shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (gram) GROUP BY 1, 2)
   SELECT doc_id, item_id, n_grams, n_shared, n_shared / n_grams AS containment
   FROM shared JOIN sizes USING (item_id) WHERE 100 * n_shared >= 75 * n_grams"""
+
+COLLOCATIONS = f"""WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+      unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+  words AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+  totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+  grams AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS g
+    FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i
+      FROM (SELECT lang, w, unnest(range(1, 5)) AS k FROM words))),
+  f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+  spans AS (SELECT lang, f, k, i, m, string_split(g, ' ') AS w
+    FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(1, k)) AS m FROM f))),
+  parts AS (SELECT lang, f, k, i, m, array_to_string(w, ' ') AS g, array_to_string(w[i : i + m - 1], ' ') AS part,
+      array_to_string(w[m + 1 :], ' ') AS rest FROM spans),
+  cuts AS (SELECT p.lang, p.g AS phrase, p.m AS cut, p.f AS a, x.f AS l, y.f AS r,
+      CAST((CAST(p.f AS HUGEINT) * 2000000) // (x.f + y.f) AS BIGINT) AS score
+    FROM parts p JOIN f x ON x.lang = p.lang AND x.g = p.part JOIN f y ON y.lang = p.lang AND y.g = p.rest
+    WHERE p.i = 1),
+  lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+  covers AS (SELECT lang, part AS phrase, max(f) AS f FROM parts WHERE m > 1 GROUP BY ALL),
+  kept AS (SELECT lowest.* FROM lowest LEFT JOIN covers USING (lang, phrase)
+    WHERE NOT coalesce(CAST(covers.f AS HUGEINT) * 100 >= CAST(a AS HUGEINT) * 80, false)),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+  SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""

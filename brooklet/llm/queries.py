@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.llm import (
+    bin_completion,
+    collocations,
     decontamination,
     license_scan,
     line_dedup,
@@ -20,6 +22,7 @@ from brooklet.llm import (
     token_count,
     toxicity,
     warc,
+    whitening,
 )
 from brooklet.llm.common import read_table, remainder
 from brooklet.plans.inputs import scratch
@@ -105,6 +108,23 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer, with_ids=False)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    model = whitening.fit(rows)
+    found = whitening.components(whitening.transform(rows, model), model)
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return bin_completion.pack_documents(docs, tokenizer, with_ids=False)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -116,6 +136,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_decontamination": op9_decontamination,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_whitening": op11_whitening,
+    "op12_bin_completion": op12_bin_completion,
+    "op13_collocations": op13_collocations,
 }
 
 #: The others' results are beyond SQL: tests compare them with brute force.
@@ -123,4 +146,5 @@ SQL: dict[str, str] = {
     "op1_line_dedup": oracle.LINE_DEDUP,
     "op5_ngram_join": oracle.NGRAM_JOIN,
     "op9_decontamination": oracle.DECONTAMINATION,
+    "op13_collocations": oracle.COLLOCATIONS,
 }
