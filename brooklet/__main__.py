@@ -28,12 +28,16 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--table", help="folder of the event table")
     ingest.add_argument("--quarantine", help="folder for rejected rows")
     ingest.add_argument("--discard", action="store_true", help="drop rejected rows instead")
+    ingest.add_argument("--raw", action="store_true", help="keep unreadable lines whole in the quarantine")
+    ingest.add_argument("--commits", help="folder for one record per batch that all sinks hold")
+    ingest.add_argument("--partials", action="store_true", help="leave partial aggregates beside each batch")
     ingest.add_argument("--metrics", help="folder for one report row per batch")
     ingest.add_argument("--archive", help="folder consumed files are moved to")
     ingest.add_argument("--max-files", type=int, default=5)
     ingest.add_argument("--max-bytes", type=int, help="bound a batch by bytes, not files")
     ingest.add_argument("--interval", default="10 seconds")
     ingest.add_argument("--once", action="store_true", help="take what is there and stop")
+    ingest.add_argument("--stop-file", help="stop between batches once this file or folder exists")
     ingest.add_argument("--strict", action="store_true", help="stop on a row the table forbids")
     ingest.add_argument("--time-zone", help="zone of the event times, if not the session's")
     ingest.add_argument(
@@ -46,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--jdbc-url", help="also append to this database; user and password "
                         "come from JDBC_USER and JDBC_PASSWORD")
     ingest.add_argument("--jdbc-table", default="user_events")
+    ingest.add_argument("--jdbc-merge", action="store_true", help="stage each batch, then insert what is new at once")
     ingest.add_argument("--jdbc-writers", type=int, default=2, help="connections that insert")
     ingest.add_argument("--jdbc-readers", type=int, default=4, help="connections that look keys up")
 
@@ -64,13 +69,18 @@ def _sinks(args: argparse.Namespace) -> list:
     sinks: list = []
     if args.table:
         unique = "none" if args.unique == "state" else args.unique
-        sinks.append(TableSink(args.table, unique, args.roll_up_every))
+        sinks.append(TableSink(args.table, unique, args.roll_up_every, partials=args.partials))
     if args.jdbc_url:
         login = {"user": os.environ.get("JDBC_USER"), "password": os.environ.get("JDBC_PASSWORD")}
         options = {name: value for name, value in login.items() if value}
         sinks.append(
             JdbcSink(
-                args.jdbc_url, args.jdbc_table, writers=args.jdbc_writers, readers=args.jdbc_readers, options=options
+                args.jdbc_url,
+                args.jdbc_table,
+                writers=args.jdbc_writers,
+                readers=args.jdbc_readers,
+                options=options,
+                merge=args.jdbc_merge,
             )
         )
     return sinks
@@ -79,7 +89,7 @@ def _sinks(args: argparse.Namespace) -> list:
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.unique == "state":
         spark = stream_session(spark)
-    source = read_events_stream(spark, args.landing, args.max_files, args.max_bytes, args.archive)
+    source = read_events_stream(spark, args.landing, args.max_files, args.max_bytes, args.archive, raw=args.raw)
     job = Ingest(
         _sinks(args),
         args.quarantine,
@@ -88,8 +98,9 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         args.time_zone,
         args.metrics,
         args.discard,
+        commits=args.commits,
     )
-    run(job.start(source, args.checkpoint, None if args.once else args.interval))
+    run(job.start(source, args.checkpoint, None if args.once else args.interval), job, args.stop_file)
 
 
 def print_all(rows: DataFrame) -> None:

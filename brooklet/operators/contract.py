@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from brooklet.operators.clean import KNOWN_TYPES, REQUIRED, conform, rounded
 from brooklet.schema import MONEY_COLUMNS, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS
+from brooklet.sources.landing import RAW_COLUMNS
 
 REASONS = "reasons"
 # From here on an amount rounds to more than decimal(10,2) holds.
@@ -70,9 +71,10 @@ def accepted(checked: DataFrame) -> DataFrame:
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    """Rejected rows as they came, with their reasons as a list."""
+    """Rejected rows as they came, with their reasons as a list, and their lines if those were read."""
+    lines = [name for name in RAW_COLUMNS if name in checked.columns]
     return checked.filter(F.col(REASONS) != "").select(
-        *SOURCE_COLUMNS, "ingested_at", F.split(REASONS, ",").alias(REASONS)
+        *SOURCE_COLUMNS, "ingested_at", F.split(REASONS, ",").alias(REASONS), *lines
     )
 
 

@@ -89,7 +89,11 @@ def kpi_report(events: DataFrame, kpis: tuple[Kpi, ...] = KPIS) -> DataFrame:
         F.min("event_timestamp").alias("first"),
         F.max("ingested_at").alias("last"),
     )
-    totals = totals.withColumn("duplicates", duplicate_rows(events).scalar())
+    return kpis_of(totals.withColumn("duplicates", duplicate_rows(events).scalar()), kpis)
+
+
+def kpis_of(totals: DataFrame, kpis: tuple[Kpi, ...] = KPIS) -> DataFrame:
+    """The report from one row of totals: n, bad, us, max_us, first, last, duplicates."""
     n = F.col("n").cast("double")
     span = _seconds(latency_micros(F.col("first"), F.col("last")))
     actuals = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from brooklet.operators.quality import KPIS
 from brooklet.plans.inputs import FAULTS, SESSION_ROWS
-from brooklet.schema import EVENT_TYPES, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS
+from brooklet.schema import EVENT_TYPES, SOURCE_COLUMNS, TARGET, TARGET_COLUMNS, TargetColumn
 
 UE = f"""ue AS (
   SELECT CAST(e.event_id AS VARCHAR) AS event_id, CAST(e.user_id AS INTEGER) AS user_id,
@@ -234,5 +234,66 @@ SQL |= {
         FROM {ARRIVED} GROUP BY 1)
       SELECT *, CAST(sum(accepted) OVER (ORDER BY batch_id) AS BIGINT) AS total FROM counted""",
 }
+SQL["stream_two_checkpoints"] = f"""WITH {NUMBERED}, sound AS (SELECT * FROM damaged WHERE {ACCEPTED}), {cleaning("sound")}
+  SELECT {ELEVEN}, CASE number % 3 WHEN 2 THEN 1 ELSE 0 END::BIGINT AS batch_id,
+    CASE number % 3 WHEN 1 THEN 'B' ELSE 'A' END AS checkpoint FROM cleaned"""
+SQL |= {
+    "stream_committed": f"""WITH {NUMBERED}, sound AS (SELECT * FROM damaged WHERE {ACCEPTED}), {cleaning("sound")}
+      SELECT event_id, number % 3 AS batch_id, sink FROM cleaned, (VALUES ('table'), ('second')) AS sinks(sink)
+      WHERE number % 3 < 2""",
+    "stream_late_rows": f"""{CLEANED} SELECT event_id, event_timestamp,
+        {MOMENT} < {MIDDLE} AND CAST(event_id AS BIGINT) % 50 = 0
+          AND event_timestamp < (SELECT max(event_timestamp) FROM cleaned WHERE NOT ({MOMENT} < {MIDDLE}
+            AND CAST(event_id AS BIGINT) % 50 = 0)) - INTERVAL 10 MINUTE AS late
+      FROM cleaned""",
+    "small_batches": f"""{CLEANED}, days AS (SELECT event_id, date_diff('day', DATE '2024-01-01',
+        CAST(event_timestamp AS DATE)) % 9 AS day FROM cleaned)
+      SELECT event_id, CAST(least(day, (day + 5) % 9) AS BIGINT) AS batch_id FROM days WHERE day >= 0""",
+    "user_events_lookup": f"""{CLEANED}, ranked AS (SELECT user_id FROM cleaned GROUP BY user_id
+        ORDER BY count(*) DESC, user_id LIMIT 1)
+      SELECT {", ".join(TARGET_COLUMNS)}, CAST(event_timestamp AS DATE) AS event_date
+      FROM cleaned SEMI JOIN ranked USING (user_id)""",
+    "category_events_lookup": f"""{CLEANED}, ranked AS (SELECT category FROM cleaned WHERE event_type = 'purchase'
+        GROUP BY category ORDER BY count(*) DESC, category LIMIT 1)
+      SELECT {", ".join(TARGET_COLUMNS)}, CAST(event_timestamp AS DATE) AS event_date
+      FROM cleaned SEMI JOIN ranked USING (category) WHERE event_type = 'purchase'""",
+    "partials_running_total": f"""{CLEANED} SELECT day, n, CAST(sum(n) OVER (ORDER BY day) AS BIGINT) AS total
+      FROM (SELECT CAST(date_trunc('day', event_timestamp) AS TIMESTAMP) AS day, count(*) AS n FROM cleaned GROUP BY 1)""",
+}
+SQL |= {
+    f"partials_{name}": SQL[name]
+    for name in (
+        "event_type_share",
+        "category_revenue_purchases",
+        "events_per_minute",
+        "latency_stats",
+        "kpi_report",
+    )
+}
+PART_COUNTS = f"""WITH {NUMBERED}, parts AS (SELECT number % 4 AS batch_id, {ACCEPTED} AS good FROM damaged)"""
+SQL |= {
+    "stream_admission": f"""{PART_COUNTS} SELECT count(*) FILTER (WHERE good) AS accepted,
+      count(*) FILTER (WHERE NOT good) AS rejected, true AS as_many_batches FROM parts""",
+    "stream_archive": f"WITH {UE} SELECT count(*) AS n, true AS some_moved FROM ue",
+    "stream_instants": f"""{PART_COUNTS} SELECT batch_id, count(*) AS n, CAST(1 AS BIGINT) AS instants, true AS rising
+      FROM parts WHERE good GROUP BY batch_id""",
+    "stream_empty_batches": f"""WITH {UE}, parts AS (SELECT CAST(event_id AS BIGINT) % 4 AS batch_id,
+        {KNOWN} AND CAST(event_id AS BIGINT) % 2 = 0 AS good FROM ue)
+      SELECT batch_id, count(*) FILTER (WHERE good) AS accepted, count(*) FILTER (WHERE NOT good) AS rejected,
+        count(*) FILTER (WHERE good) AS stored, count(*) FILTER (WHERE NOT good) AS aside FROM parts GROUP BY batch_id""",
+    "stream_throughput": f"""{PART_COUNTS} SELECT batch_id, count(*) FILTER (WHERE good) AS accepted, true AS agrees
+      FROM parts GROUP BY batch_id""",
+    "stream_triggers": SQL["stream_ingest"],
+    "stream_stopped": f"{SOUND} SELECT event_id, true AS once FROM cleaned",
+    "catalog_columns": f"{CLEANED} "
+    + " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS ordinal_position, '{c.name}' AS column_name, "
+        f"'{c.kind}' AS data_type, count(*) AS n FROM cleaned"
+        for i, c in enumerate((*TARGET, TargetColumn("event_date", "date")), start=1)
+    ),
+}
+SQL["stream_repaired"] = f"""WITH {UE}, kinds AS (SELECT *, CAST(event_id AS BIGINT) % 7 AS kind FROM ue)
+  SELECT event_id, CASE WHEN kind <> 1 OR ({KNOWN}) THEN price END AS price, CASE WHEN kind = 2 OR NOT ({KNOWN}) THEN 'open' ELSE 'stored' END AS place FROM kinds"""
+SQL["stream_minutes_gated"] = SQL["stream_minutes_append"]
 SQL["latest_stored"] = SQL["latest_events"]
 SQL["newest_minutes"] = SQL["events_per_minute"]

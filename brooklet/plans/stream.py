@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from brooklet.operators.clean import clean
 from brooklet.plans.batch import LANDING_ROWS, Query
 from brooklet.plans.inputs import damaged_events, scratch, user_events
-from brooklet.schema import KEY, MONEY_COLUMNS
+from brooklet.schema import KEY, MONEY_COLUMNS, SOURCE_COLUMNS
 from brooklet.sources import read_events_stream, read_events_table, read_stored, write_landing
+from brooklet.sources.landing import RAW
 from brooklet.streaming import (
     Ingest,
     TableSink,
@@ -23,6 +24,10 @@ from brooklet.streaming import (
     read_metrics,
     stream_session,
 )
+from brooklet.streaming.commits import read_committed
+from brooklet.streaming.late import MARK_DDL, LateGate, closed_windows
+from brooklet.streaming.repair import cells, open_rows, release
+from brooklet.streaming.seeds import checkpoint_id
 
 BATCH_BYTES = 64 << 30
 
@@ -192,6 +197,135 @@ def stream_runs_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("batch_id", "accepted", "rejected", "total")
 
 
+# (checkpoint, remainders of the event number that land before its run)
+TWO_CHECKPOINTS = (("A", (0,)), ("B", (0, 1)), ("A", (1, 2)))
+
+
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with keys in their state take turns on one table; some events reach both."""
+    session = stream_session(spark)
+    folders = {name: {part: scratch(spark, part) for part in ("landing", "checkpoint")} for name in "AB"}
+    table, quarantine = scratch(spark, "table"), scratch(spark, "quarantine")
+    for name, wanted in TWO_CHECKPOINTS:
+        rows = damaged_events(spark, sf_dir, f"CAST(event_id AS bigint) % 3 IN ({', '.join(map(str, wanted))})")
+        write_landing(rows, folders[name]["landing"], LANDING_ROWS)
+        job = Ingest([TableSink(table, "none")], quarantine=quarantine, dedupe="state")
+        source = read_events_stream(session, folders[name]["landing"], max_files=None)
+        job.start(source, folders[name]["checkpoint"], None).awaitTermination()
+    stored = read_stored(spark, table)
+    first = F.col("stream") == checkpoint_id(spark, folders["A"]["checkpoint"])
+    amounts = {name: F.col(name).cast("double") for name in MONEY_COLUMNS}
+    rows = stored.withColumn("checkpoint", F.when(first, "A").otherwise("B")).withColumns(amounts)
+    return rows.drop("ingested_at", "stream", "event_date")
+
+
+class _LostBefore:
+    """A sink that is lost before it writes batch 2."""
+
+    def __init__(self, sink: TableSink) -> None:
+        self.sink = sink
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        if batch_id == 2:
+            raise RuntimeError("lost before the write")
+        self.sink(rows, batch_id)
+
+
+def stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs into two tables, the last of which dies between them; both as their readers see them."""
+    session = stream_session(spark)
+    landing, checkpoint = scratch(spark, "landing"), scratch(spark, "checkpoint")
+    tables = {name: scratch(spark, name) for name in ("table", "second")}
+    commits = scratch(spark, "commits")
+    sinks = [TableSink(tables["table"]), _LostBefore(TableSink(tables["second"]))]
+    job = Ingest(sinks, quarantine=scratch(spark, "quarantine"), commits=commits)
+    for run in range(3):
+        rows = damaged_events(spark, sf_dir, f"CAST(event_id AS bigint) % 3 = {run}")
+        write_landing(rows, landing, LANDING_ROWS)
+        query = job.start(read_events_stream(session, landing, max_files=None), checkpoint, None)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if run < 2:
+                raise
+    seen = read_committed(spark, tables, commits)
+    rows = [seen[name].withColumn("sink", F.lit(name)) for name in ("table", "second")]
+    return rows[0].unionByName(rows[1]).select(KEY, "batch_id", "sink")
+
+
+def _late_runs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The slices of ``stream_minutes_append`` through a gate for late rows."""
+    events, early = _halves(spark, sf_dir)
+    late = f"({early}) AND CAST(event_id AS bigint) % 50 = 0"
+    slices = [events.filter(f"({early}) AND NOT ({late})"), events.filter(f"NOT ({early})"), events.filter(late)]
+    session, landing, checkpoint = stream_session(spark), scratch(spark, "landing"), scratch(spark, "checkpoint")
+    folders = {name: scratch(spark, name) for name in ("table", "late", "marks")}
+    gate = LateGate(TableSink(folders["table"]), folders["late"], folders["marks"], LATENESS)
+    job = Ingest([gate], quarantine=scratch(spark, "quarantine"))
+    for rows in slices:
+        write_landing(rows, landing, LANDING_ROWS)
+        source = read_events_stream(session, landing, max_files=None)
+        job.start(source, checkpoint, None).awaitTermination()
+    return folders
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event that arrived, in the table or set aside."""
+    folders = _late_runs(spark, sf_dir)
+    kept = read_events_table(spark, folders["table"]).select(KEY, "event_timestamp", F.lit(False).alias("late"))
+    aside = spark.read.parquet(folders["late"]).select(KEY, "event_timestamp", F.lit(True).alias("late"))
+    return kept.unionByName(aside)
+
+
+def stream_minutes_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed minutes of the rows on time."""
+    folders = _late_runs(spark, sf_dir)
+    kept = read_events_table(spark, folders["table"])
+    return closed_windows(kept, spark.read.schema(MARK_DDL).parquet(folders["marks"]), LATENESS)
+
+
+def _write_lines(rows: DataFrame, landing: str, *columns: str) -> None:
+    """Landing files of these columns, whatever the landing schema says."""
+    rows.select(*columns).write.mode("append").option("header", True).csv(landing)
+
+
+def stream_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable prices and short lines: into the quarantine, the former repaired and in again.
+
+    Events whose number leaves 1 have no number for a price, those that leave 2 lack the
+    last cell, those that leave 3 have a cell too many (modulo 7). The repair works the
+    price out, and is run twice.
+    """
+    session = stream_session(spark)
+    landing, checkpoint = scratch(spark, "landing"), scratch(spark, "checkpoint")
+    table, quarantine, ledger = (scratch(spark, name) for name in ("table", "quarantine", "ledger"))
+    rows = user_events(spark, sf_dir).withColumns(
+        {"kind": F.col(KEY).cast("bigint") % 7, "surplus": F.lit("x")}
+    )
+    price = F.when(F.col("kind") == 1, "n/a").otherwise(F.col("price").cast("string"))
+    whole = rows.withColumn("price", price)
+    _write_lines(whole.filter("kind NOT IN (2, 3)"), landing, *SOURCE_COLUMNS)
+    _write_lines(whole.filter("kind = 2"), landing, *SOURCE_COLUMNS[:-1])
+    _write_lines(whole.filter("kind = 3"), landing, *SOURCE_COLUMNS, "surplus")
+    job = Ingest([TableSink(table)], quarantine=quarantine)
+
+    def go() -> None:
+        source = read_events_stream(session, landing, max_files=None, raw=True)
+        job.start(source, checkpoint, None).awaitTermination()
+
+    def fix(rows: DataFrame) -> DataFrame:
+        unread = rows.filter(F.col(RAW).isNotNull() & (cells()["price"] == "n/a"))
+        return unread.withColumn("price", F.round(F.col("total_amount") / F.col("quantity"), 2))
+
+    go()
+    for _ in range(2):
+        release(spark, quarantine, ledger, landing, fix)
+        go()
+    stored = read_events_table(spark, table).select(KEY, F.col("price").cast("double").alias("price"), F.lit("stored").alias("place"))
+    left = open_rows(spark, quarantine, ledger).select(KEY, "price", F.lit("open").alias("place"))
+    return stored.unionByName(left)
+
+
 QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
@@ -203,4 +337,9 @@ QUERIES: dict[str, Query] = {
     "stream_runs_state": _stored_by_runs("state"),
     "stream_runs_quarantine": stream_runs_quarantine,
     "stream_runs_metrics": stream_runs_metrics,
+    "stream_two_checkpoints": stream_two_checkpoints,
+    "stream_committed": stream_committed,
+    "stream_late_rows": stream_late_rows,
+    "stream_minutes_gated": stream_minutes_gated,
+    "stream_repaired": stream_repaired,
 }

@@ -13,17 +13,36 @@ FILES_PER_BATCH = 5
 ROWS_PER_FILE = 20
 
 
+#: What ``raw`` adds: the line as it came where it does not fit the schema, its file, and the
+#: place in the file of the block it was read in.
+RAW, FILE, BLOCK = "raw_line", "landing_file", "landing_block"
+RAW_COLUMNS = (RAW, FILE, BLOCK)
+
+
 def _csv_options(strict_header: bool) -> dict[str, str]:
-    return {"header": "true", "enforceSchema": str(not strict_header).lower()}
+    # The name is that of a column only where the schema has it.
+    return {"header": "true", "enforceSchema": str(not strict_header).lower(), "columnNameOfCorruptRecord": RAW}
+
+
+def _schema(raw: bool) -> str:
+    return f"{SOURCE_DDL}, `{RAW}` string" if raw else SOURCE_DDL
+
+
+def _placed(rows: DataFrame, raw: bool) -> DataFrame:
+    if not raw:
+        return rows
+    places = {FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start")}
+    return rows.withColumns(places)
 
 
-def read_events_csv(spark: SparkSession, path: str, strict_header: bool = False) -> DataFrame:
+def read_events_csv(spark: SparkSession, path: str, strict_header: bool = False, raw: bool = False) -> DataFrame:
     """All landing files at once. Unreadable cells become NULL.
 
     Columns bind by position; ``strict_header`` fails the read when the header
-    names differ from the schema.
+    names differ from the schema. With ``raw`` the ``RAW_COLUMNS`` come too: the whole
+    line where a cell is unreadable, or cells are missing or left over.
     """
-    return spark.read.schema(SOURCE_DDL).options(**_csv_options(strict_header)).csv(path)
+    return _placed(spark.read.schema(_schema(raw)).options(**_csv_options(strict_header)).csv(path), raw)
 
 
 def read_events_stream(
@@ -33,12 +52,13 @@ def read_events_stream(
     max_bytes: int | None = None,
     archive_dir: str | None = None,
     strict_header: bool = False,
+    raw: bool = False,
 ) -> DataFrame:
     """Each new landing file once.
 
     A micro-batch takes at most ``max_files`` files, or ``max_bytes`` bytes of
     files: give the byte bound on a large cluster. With ``archive_dir`` consumed
-    files are moved there after a later batch commits.
+    files are moved there after a later batch commits. ``raw`` as in ``read_events_csv``.
     """
     options = _csv_options(strict_header)
     if max_bytes is not None:
@@ -47,7 +67,7 @@ def read_events_stream(
         options["maxFilesPerTrigger"] = str(max_files)
     if archive_dir is not None:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive_dir}
-    return spark.readStream.schema(SOURCE_DDL).options(**options).csv(path)
+    return _placed(spark.readStream.schema(_schema(raw)).options(**options).csv(path), raw)
 
 
 def landing_files(events: DataFrame, name: str = "file_id", folder: bool = False) -> DataFrame:

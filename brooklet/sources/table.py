@@ -41,10 +41,10 @@ def write_settings(spark: SparkSession) -> Iterator[None]:
 MANIFEST_DDL = "kind string, name string, number bigint, version bigint"
 
 
-def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
-    """A Parquet folder; None where there is none."""
+def read_folder(spark: SparkSession, path: str, ddl: str, kind: str = "parquet") -> DataFrame | None:
+    """A folder of files; None where there is none."""
     try:
-        return spark.read.schema(ddl).parquet(path)
+        return spark.read.schema(ddl).format(kind).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -65,7 +65,7 @@ class Manifest:
 
     @staticmethod
     def of(spark: SparkSession, path: str) -> Manifest:
-        rows = _read(spark, f"{path}/_rolled/manifest", MANIFEST_DDL)
+        rows = read_folder(spark, f"{path}/_rolled/manifest", MANIFEST_DDL)
         if rows is None or (latest := rows.agg(F.max("version")).first()[0]) is None:
             return Manifest()
         # A line per segment and stream: some dozen.
@@ -88,18 +88,23 @@ class Manifest:
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """Ingest table rows with ``batch_id`` and ``event_date``; None before the first batch.
+    """Ingest table rows with ``batch_id`` and ``event_date``; None before the first batch."""
+    return read_layered(spark, path, STORED_DDL)
+
+
+def read_layered(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
+    """A folder of batches, some of them rolled up; None before the first one.
 
     Batches not rolled up come from their own folders, the others from the segments.
     """
-    batches = _read(spark, path, STORED_DDL)
+    batches = read_folder(spark, path, ddl)
     if batches is None:
         return None
     rolled = Manifest.of(spark, path)
     if not rolled.segments:
         return batches
     columns = batches.columns
-    parts = [spark.read.schema(STORED_DDL).parquet(f"{path}/_rolled/{name}") for name, _ in rolled.segments]
+    parts = [spark.read.schema(ddl).parquet(f"{path}/_rolled/{name}") for name, _ in rolled.segments]
     return reduce(DataFrame.unionByName, [p.select(*columns) for p in parts], batches.filter(rolled.open()))
 
 

@@ -7,9 +7,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry
-from brooklet.plans import batch, oracle, stream
+from brooklet.plans import batch, lifecycle, oracle, stream, tables
 
-QUERIES = {**batch.QUERIES, **stream.QUERIES}
+QUERIES = {**batch.QUERIES, **stream.QUERIES, **tables.QUERIES, **lifecycle.QUERIES}
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
 

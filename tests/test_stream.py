@@ -1,3 +1,5 @@
+import os
+import signal
 import time
 from pathlib import Path
 
@@ -569,3 +571,93 @@ def test_arrival_order_does_not_matter(spark, tmp_path):
         job.go(max_files=2)
         tables.append(job.ids())
     assert tables[0] == tables[1] == sorted(f"k{i}{j}" for i in range(6) for j in range(3))
+
+
+class Slow:
+    """A sink that takes its time, and calls ``at`` when it writes a batch of that number."""
+
+    def __init__(self, sink, at):
+        self.sink, self.at, self.calls = sink, at, []
+
+    def __call__(self, rows, batch_id):
+        self.calls.append(batch_id)
+        self.at.get(batch_id, lambda: None)()
+        time.sleep(0.3)
+        self.sink(rows, batch_id)
+
+
+@pytest.mark.parametrize("way", ["request", "signal", "file"])
+def test_a_stop_under_load_replays_nothing(job, way):
+    for i in range(6):
+        job.land(f"f{i}", valid_lines([f"k{i}"]))
+    stop_file = job.folder / "stop"
+    ways = {
+        "request": lambda: ingest.request_stop(),
+        "signal": lambda: os.kill(os.getpid(), signal.SIGTERM),
+        "file": lambda: stop_file.write_text("stop"),
+    }
+    sink = Slow(TableSink(job.table), {1: ways[way]})
+
+    def go():
+        source = read_events_stream(job.spark, str(job.folder / "in"), max_files=1)
+        made = Ingest([sink], discard=True)
+        return made, made.start(source, str(job.folder / "ck"), "0 seconds")
+
+    ingest, query = go()
+    run(query, ingest, str(stop_file), poll_s=0.1)
+    assert not query.isActive
+    ended = list(sink.calls)
+    assert 2 <= len(ended) < 6
+    assert len(job.ids()) == len(ended)  # the batch that ran was finished
+    assert [r.batch_id for r in ingest.reports] == ended
+    sink.at = {}
+    stop_file.unlink(missing_ok=True)
+    ingest, query = go()
+    query.processAllAvailable()
+    query.stop()
+    assert sink.calls == list(range(6))  # none of them twice
+    assert job.ids() == [f"k{i}" for i in range(6)]
+    assert signal.getsignal(signal.SIGTERM) is signal.SIG_DFL
+
+
+def test_an_idle_stream_stops(job):
+    job.land("a", valid_lines(["a"]))
+    source = read_events_stream(job.spark, str(job.folder / "in"))
+    ingest = Ingest([TableSink(job.table)], discard=True)
+    query = ingest.start(source, str(job.folder / "ck"), "100 milliseconds")
+    query.processAllAvailable()
+    (job.folder / "stop").mkdir()
+    (job.folder / "stop" / "now").write_text("")
+    run(query, ingest, str(job.folder / "stop"), poll_s=0.1)
+    assert not query.isActive and job.ids() == ["a"]
+
+
+def test_other_errors_are_not_taken_for_a_stop(job):
+    job.land("a", valid_lines(["a"]))
+    source = read_events_stream(job.spark, str(job.folder / "in"))
+    ingest = Ingest([FailOnce(TableSink(job.table))], discard=True)
+    ingest.sinks[0].calls.append("one more makes two")
+    query = ingest.start(source, str(job.folder / "ck"), "100 milliseconds")
+    with pytest.raises(StreamingQueryException, match="lost after the write"):
+        run(query, ingest)
+
+
+def test_bookkeeping_is_bounded_and_written(job, spark):
+    for i in range(5):
+        job.land(f"f{i}", [*valid_lines([f"k{i}"]), line("bad", {"price": "0"})])
+    path = str(job.folder / "progress")
+    recorder = ProgressRecorder(path, kept=2, flush_every=2)
+    spark.streams.addListener(recorder)
+    try:
+        job.go()
+        recorder.of(job.query)
+    finally:
+        spark.streams.removeListener(recorder)
+    assert len(recorder.rows) == 2 and not recorder.waiting
+    rows = spark.read.parquet(path).filter("rows > 0").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.rows, r.quality["rejected"]) for r in rows] == [(i, 2, 1) for i in range(5)]
+
+
+def test_reports_of_a_long_run_are_bounded(monkeypatch):
+    made = Ingest([TableSink("t")], discard=True)
+    assert made.reports.maxlen == 10_000

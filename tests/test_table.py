@@ -249,9 +249,74 @@ def test_jdbc_lookup_is_bounded_and_split(spark):
     assert options["numPartitions"] == "6"
 
 
+class MergingSink(JdbcSink):
+    """Stages and merges in an engine inside this process."""
+
+    def stage(self, rows, stream):
+        import duckdb
+
+        frame = rows.toPandas()  # noqa: F841  read by name
+        with duckdb.connect(self.url) as database:
+            database.execute(f"CREATE OR REPLACE TABLE {self.staging(stream)} AS SELECT * FROM frame")
+
+    def execute(self, spark, statements):
+        import duckdb
+
+        with duckdb.connect(self.url) as database:
+            database.execute("BEGIN")
+            for text in statements:
+                database.execute(text)
+            if self.options.get("lost"):
+                self.options.clear()
+                raise RuntimeError("lost before the commit")
+            database.execute("COMMIT")
+
+
+def test_jdbc_merge_takes_copies_with_other_times_and_replays(spark, tmp_path):
+    import duckdb
+
+    sink = MergingSink(str(tmp_path / "db"), merge=True, writer="s'1")
+    rows = cleaned(spark, SF).limit(4).persist()
+    ids = sorted(r.event_id for r in rows.collect())
+    with duckdb.connect(sink.url) as database:
+        columns = ", ".join(c.ddl for c in TARGET).replace("`", "").replace("string", "varchar")
+        database.execute(f"CREATE TABLE user_events ({columns.replace('current_timestamp()', 'now()')}, PRIMARY KEY (event_id))")
+
+    def stored():
+        with duckdb.connect(sink.url) as database:
+            found = database.execute("SELECT event_id, category FROM user_events ORDER BY event_id").fetchall()
+            return found, database.execute("SELECT * FROM user_events_batches ORDER BY ALL").fetchall()
+
+    sink(rows.filter(F.col("event_id") != ids[3]).unionByName(rows.filter(F.col("event_id") == ids[0])), 0)
+    first = stored()
+    assert [i for i, _ in first[0]] == ids[:3] and first[1] == [("s'1", 0)]
+    # A copy with another time and category does not collide, and does not win.
+    later = rows.withColumns({"event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 40 DAYS"), "category": F.lit("x")})
+    sink.options["lost"] = "once"
+    with pytest.raises(RuntimeError):
+        sink(later, 1)
+    assert stored() == first
+    sink(later, 1)
+    found, marks = stored()
+    assert found[:3] == first[0] and found[3] == (ids[3], "x") and marks == [("s'1", 0), ("s'1", 1)]
+    sink(rows.withColumn("event_id", F.concat(F.lit("late "), "event_id")), 1)  # marked: merged before
+    assert stored() == (found, marks)
+
+
+def test_jdbc_merge_options():
+    sink = JdbcSink("jdbc:postgresql://db/shop", merge=True, writer="a-b")
+    options = sink.staging_options("a-b")
+    assert (options["dbtable"], options["truncate"]) == ("user_events_staging_a_b", "true")
+    create, insert, mark = sink.merge_statements("a-b", 7)
+    assert "ON CONFLICT (event_id) DO NOTHING" in insert and "user_events_staging_a_b" in insert
+    assert "('a-b', 7)" in insert and "('a-b', 7)" in mark and "PRIMARY KEY (stream, batch_id)" in create
+
+
 def test_jdbc_without_a_driver_fails(spark):
     with pytest.raises(Exception, match="driver"):
         JdbcSink("jdbc:nosuchdb:x", resume=False)(cleaned(spark, SF), 0)
+    with pytest.raises(Exception, match="driver"):
+        JdbcSink("jdbc:nosuchdb:x").execute(spark, ["SELECT 1"])
     with pytest.raises(Exception, match="driver"):
         read_events_jdbc(spark, "jdbc:nosuchdb:x", "t", datetime(2024, 1, 1), datetime(2024, 2, 1))
 

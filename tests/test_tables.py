@@ -1,0 +1,212 @@
+"""Partial aggregates, the clustered layout, commits for several sinks, late rows."""
+
+import time
+
+import pyarrow.dataset as ds
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from brooklet.operators import analytics, cluster, partials, quality
+from brooklet.operators.layout import compact
+from brooklet.plans.inputs import cleaned
+from brooklet.sources import read_events_stream, read_events_table, read_stored
+from brooklet.streaming import Ingest, TableSink
+from brooklet.streaming.commits import KEPT, commit, last_committed, read_committed
+from brooklet.streaming.late import MARK_DDL, LateGate, closed_windows
+from dirty import line, valid_lines, write_csv
+from test_key_index import bytes_read, events
+
+SF = "/root/testdata/sf0.001"
+
+
+def rows_of(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+REPORTS = [
+    (partials.total_events, analytics.total_events),
+    (partials.events_by_type, analytics.events_by_type),
+    (partials.event_type_share, analytics.event_type_share),
+    (partials.revenue_by_category, analytics.revenue_by_category),
+    (partials.category_revenue_purchases, analytics.category_revenue_purchases),
+    (partials.category_coverage, analytics.category_coverage),
+    (partials.events_per_minute, analytics.events_per_minute),
+    (partials.latency_stats, quality.latency_stats),
+    (partials.kpi_report, quality.kpi_report),
+]
+
+
+def test_reports_from_partials_after_replays_and_roll_ups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("brooklet.operators.layout.FAN_IN", 3)
+    path = str(tmp_path / "table")
+    sink = TableSink(path, roll_up_every=2, writer="w", partials=True)
+    rows = cleaned(spark, SF).persist()
+    number = F.col("event_id").cast("int") % 9
+    for batch in range(9):
+        for tried in ((number == batch) & (F.col("event_type") == "view"), number == batch):
+            sink(rows.filter(tried), batch)
+        parts = read_partials_of(spark, path)
+        assert parts.agg(F.sum("n")).first()[0] == read_stored(spark, path).count()
+    stored = read_events_table(spark, path)
+    assert stored.count() == rows.count()
+    for merged, full in REPORTS:
+        assert rows_of(merged(parts)) == rows_of(full(stored)), merged.__name__
+    assert len(list((tmp_path / "table" / "_partials" / "_rolled").glob("segment-*"))) < 5
+    rows.unpersist()
+
+
+def read_partials_of(spark, path):
+    return partials.read_partials(spark, path)
+
+
+def test_reports_without_batches(spark, tmp_path):
+    parts = partials.read_partials(spark, str(tmp_path))
+    assert partials.total_events(parts).first().n == 0
+    assert partials.kpi_report(parts).count() == 5
+    assert partials.events_per_minute(parts).count() == 0
+
+
+def test_running_total_by_day(spark, tmp_path):
+    path = str(tmp_path / "table")
+    TableSink(path, "none", writer="w", partials=True)(cleaned(spark, SF), 0)
+    found = partials.running_total(partials.read_partials(spark, path)).orderBy("day").collect()
+    so_far = 0
+    for r in found:
+        so_far += r.n
+        assert r.total == so_far
+    assert so_far == cleaned(spark, SF).count()
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, tmp_path_factory):
+    """A table of 400,000 rows by day, and along the curve."""
+    folder = tmp_path_factory.mktemp("clustered")
+    rows = spark.range(400_000).selectExpr(
+        "CAST(id AS string) AS event_id", "CAST(hash(id, 1) % 5000 AS int) AS user_id", "'s' AS session_id",
+        "'view' AS event_type", "1 AS product_id", "'thing' AS product_name",
+        "concat('category ', CAST(abs(hash(id, 2)) % 60 AS string)) AS category", "1e0 AS price", "1 AS quantity",
+        "1e0 AS total_amount", "timestamp_seconds(1704067200 + CAST(id AS bigint) * 6) AS event_timestamp",
+        "current_timestamp() AS ingested_at",
+    )
+    TableSink(str(folder / "table"), "none", writer="w")(rows, 0)
+    stored = read_stored(spark, str(folder / "table"))
+    compact(stored, str(folder / "days"))
+    cluster.cluster(stored, str(folder / "curve"), group_bytes=64 << 10, files=16)
+    return folder
+
+
+def groups_admitting(path, column, value):
+    """Row groups whose bounds admit the value, and all row groups."""
+    hit = total = 0
+    for fragment in ds.dataset(str(path), format="parquet", partitioning="hive").get_fragments():
+        for group in fragment.row_groups:
+            total += 1
+            bounds = (group.statistics or {}).get(column)
+            hit += bounds is None or bounds["min"] <= value <= bounds["max"]
+    return hit, total
+
+
+def test_bounds_rule_out_most_row_groups(clustered):
+    for column, value in (("user_id", 1234), ("category", "category 33")):
+        hit, total = groups_admitting(clustered / "curve", column, value)
+        assert total >= 64 and hit < 0.35 * total
+        hit, total = groups_admitting(clustered / "days", column, value)
+        assert hit == total
+
+
+def test_lookups_read_little(spark, clustered):
+    table = cluster.read_clustered(spark, str(clustered / "curve"))
+    days = read_events_table(spark, str(clustered / "days"))
+    wanted = spark.createDataFrame([(1234,)], "u int")
+    before = bytes_read(spark)
+    found = cluster.events_of(table, "user_id", wanted).collect()
+    looked_up = bytes_read(spark) - before
+    before = bytes_read(spark)
+    plain = days.filter("user_id = 1234").collect()
+    assert looked_up < 0.5 * (bytes_read(spark) - before)
+    assert sorted(r.event_id for r in found) == sorted(r.event_id for r in plain) != []
+    assert cluster.events_of(table, "user_id", wanted.filter("u < 0")).count() == 0
+    assert table.count() == days.count()
+
+
+def test_z_values_and_places(spark):
+    rows = spark.createDataFrame([(a, b) for a in range(4) for b in range(4)], "a int, b int")
+    z = {(r.a, r.b): r.z for r in rows.withColumn("z", cluster.z_value([F.col("a"), F.col("b")], 2)).collect()}
+    assert z == {(a, b): ((a & 2) << 2) | ((b & 2) << 1) | ((a & 1) << 1) | (b & 1) for a, b in z}
+    names = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "s string")
+    assert cluster.bounds(names, "s", 2)[-1] == "c"
+    placed = names.select("s", cluster.place("s", ["a", "b"]).alias("p")).collect()
+    assert {r.s: r.p for r in placed} == {None: 0, "a": 0, "b": 1, "c": 2}
+
+
+def test_no_half_batch_is_seen(spark, tmp_path):
+    tables = {name: str(tmp_path / name) for name in ("one", "two")}
+    commits, broken = str(tmp_path / "commits"), [True]
+    second = TableSink(tables["two"])
+
+    def flaky(rows, batch_id):
+        if batch_id == 1 and broken:
+            raise RuntimeError("lost between the sinks")
+        second(rows, batch_id)
+
+    def go():
+        source = read_events_stream(spark, str(tmp_path / "in"), max_files=1)
+        job = Ingest([TableSink(tables["one"]), flaky], quarantine=str(tmp_path / "bad"), commits=commits)
+        job.start(source, str(tmp_path / "ck"), None).awaitTermination()
+
+    def seen():
+        found = read_committed(spark, tables, commits)
+        return {name: sorted(r.event_id for r in rows.collect()) for name, rows in found.items()}
+
+    for name in "ab":
+        write_csv(tmp_path / "in" / f"{name}.csv", valid_lines([f"{name}1", f"{name}2"]))
+        time.sleep(0.02)
+    with pytest.raises(StreamingQueryException):
+        go()
+    assert len(read_stored(spark, tables["one"]).collect()) == 4  # the sink itself holds the half batch
+    assert seen() == {"one": ["a1", "a2"], "two": ["a1", "a2"]}
+    broken.clear()
+    go()
+    assert seen() == dict.fromkeys(("one", "two"), ["a1", "a2", "b1", "b2"])
+
+
+def test_records_of_commits_stay_few(spark, tmp_path):
+    path = str(tmp_path / "commits")
+    assert last_committed(spark, path) == {}
+    for batch in (0, 1, KEPT, KEPT + 1, 2 * KEPT):
+        commit(spark, path, batch, "w")
+    assert last_committed(spark, path) == {"w": 2 * KEPT}
+    kept = sorted(int(p.name[9:]) for p in (tmp_path / "commits" / "stream=w").glob("batch_id=*"))
+    assert kept == [KEPT + 1, 2 * KEPT]
+
+
+def test_late_rows_are_kept_aside(spark, tmp_path):
+    table, late, marks = (str(tmp_path / name) for name in ("table", "late", "marks"))
+    gate = LateGate(TableSink(table, writer="w"), late, marks, "10 minutes", writer="w")
+    batches = [["10:00:00", "09:00:00"], ["10:05:00", "09:49:59", "09:50:00"], [], ["09:54:59", "09:55:00"]]
+    for batch, moments in enumerate(batches):
+        rows = events(spark, [f"{batch}-{i}" for i in range(len(moments))])
+        times = F.create_map(*(F.lit(x) for i, m in enumerate(moments) for x in (f"{batch}-{i}", f"2024-01-01 {m}")))
+        if moments:
+            rows = rows.withColumn("event_timestamp", F.to_timestamp(times[F.col("event_id")]))
+        for _ in range(2):  # a replay decides the same
+            gate(rows, batch)
+    kept = sorted(r.event_id for r in read_events_table(spark, table).collect())
+    aside = spark.read.parquet(late)
+    assert kept == ["0-0", "0-1", "1-0", "1-2", "3-1"]
+    assert sorted((r.event_id, r.reasons) for r in aside.collect()) == [("1-1", ["late"]), ("3-0", ["late"])]
+    closed = closed_windows(read_events_table(spark, table), spark.read.schema(MARK_DDL).parquet(marks))
+    assert [str(r.event_minute)[11:16] for r in closed.orderBy("event_minute").collect()] == ["09:00", "09:50"]
+
+
+def test_late_rows_through_a_stream(spark, tmp_path):
+    folders = {name: str(tmp_path / name) for name in ("table", "late", "marks")}
+    gate = LateGate(TableSink(folders["table"]), folders["late"], folders["marks"])
+    for name, moment in (("a", "12:00:00"), ("b", "11:00:00"), ("c", "12:30:00"), ("d", "12:19:00")):
+        write_csv(tmp_path / "in" / f"{name}.csv", [line(name, {"timestamp": f"2024-01-01 {moment}"})])
+        time.sleep(0.02)
+        source = read_events_stream(spark, str(tmp_path / "in"), max_files=1)
+        Ingest([gate], discard=True).start(source, str(tmp_path / "ck"), None).awaitTermination()
+    assert sorted(r.event_id for r in read_events_table(spark, folders["table"]).collect()) == ["a", "c"]
+    assert sorted(r.event_id for r in spark.read.parquet(folders["late"]).collect()) == ["b", "d"]
