@@ -13,11 +13,8 @@ one badly filled sequence in thousands. Memory of a task is bounded by ``GROUP``
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator, Sequence
-from functools import cache
-from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -26,119 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-from tokenizers import Tokenizer
 
+from brooklet.llm.byte_bpe import encoder
 from brooklet.llm.common import columns, named_text, slices, written
 
 CAPACITY = 1024
 END_ID = 0
 GROUP = 16_384
-CACHED_WORDS, CACHED_CHARS = 400_000, 64
-#: Characters encoded at once: their words are held besides the remembered ones.
-ENCODED_CHARS = 2_000_000
-WORDS_AT_ONCE = 1000
-
-#: A space between two non-spaces, where any text may be cut.
-FIRM_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: A word with the line end in front of it, if it has one.
-PLAIN = re.compile(r"\n?\S+")
-
-
-class Known(dict):
-    """Ids by word; words not in it are looked up in ``more``."""
-
-    more: dict[str, bytes]
-
-    def __missing__(self, word: str) -> bytes:
-        return self.more[word]
-
-
-class WordEncoder:
-    """Ids of whole texts by the tokenizer library, remembered word by word.
-
-    For byte-level BPE whose pre-tokenizer lets no token go on over white space, but for
-    one space in front of a word. A text may then be cut before any space that stands
-    between two non-spaces, and before any such line end: the ids of the parts, each
-    with the space or line end in front, are the ids of the text. Texts with other white
-    space are cut at those spaces only.
-
-    New words are encoded many to a call, one after another; each begins with the one
-    token that has the space, or is the line end.
-    """
-
-    def __init__(self, path: str) -> None:
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known = Known()
-        vocabulary = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.spaced[i] = token.startswith("Ġ")
-        self.lined = np.zeros(len(self.spaced), bool)
-        self.lined[vocabulary["Ċ"]] = True
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in made]
-
-    def _together(self, words: list[str], begins: np.ndarray) -> list[bytes]:
-        """Ids of words, each with its space or line end in front; ``begins``: of which ids one begins."""
-        chunks = [words[i : i + WORDS_AT_ONCE] for i in range(0, len(words), WORDS_AT_ONCE)]
-        out = []
-        for chunk, data in zip(chunks, self._ids(["".join(chunk) for chunk in chunks]), strict=True):
-            starts = (4 * np.flatnonzero(begins[np.frombuffer(data, "<u4")])).tolist()
-            if len(starts) == len(chunk):
-                out += [data[i:j] for i, j in zip(starts, [*starts[1:], len(data)], strict=True)]
-            else:
-                out += self._ids(chunk)
-        return out
-
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of parts of texts: with a line end in front, or without the space that was there."""
-        plain = [w for w in words if PLAIN.fullmatch(w) and not any(t in w for t in self.special)]
-        lined, spaced = [w for w in plain if w[0] == "\n"], [w for w in plain if w[0] != "\n"]
-        found = dict(zip(lined, self._together(lined, self.lined), strict=True))
-        found.update(zip(spaced, self._together([" " + w for w in spaced], self.spaced), strict=True))
-        rest = [w for w in words if w not in found]
-        found.update(zip(rest, self._ids([w if w[:1] == "\n" else " " + w for w in rest]), strict=True))
-        return found
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        cut = [t.replace("\n", " \n").split(" ") for t in texts]
-        new = set(filterfalse(known.__contains__, chain.from_iterable(cut)))
-        loose = set(filter(_is_loose, new))
-        if loose:
-            cut = [
-                parts if loose.isdisjoint(parts) else FIRM_SPACE.split(text)
-                for parts, text in zip(cut, texts, strict=True)
-            ]
-            new = set(filterfalse(known.__contains__, chain.from_iterable(cut)))
-            loose = set(filter(_is_loose, new))
-        found = self._learn(list(new))
-        heads = self._ids([parts[0] for parts in cut])
-        # The first words met are mostly the frequent ones; they stay.
-        for word, data in found.items():
-            if len(known) >= CACHED_WORDS:
-                break
-            if len(word) <= CACHED_CHARS and word not in loose:
-                known[word] = data
-        known.more, get = found, known.__getitem__
-        return [
-            np.frombuffer(head + b"".join(map(get, parts[1:])), dtype="<u4")
-            for head, parts in zip(heads, cut, strict=True)
-        ]
-
-
-def _is_loose(part: str) -> bool:
-    """Whether a part shows that white space stands beside white space, or at an end of the text."""
-    body = part[1:] if part[:1] == "\n" else part
-    return not body or body[0].isspace() or body[-1].isspace()
-
-
-@cache
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
 
 
 class OpenSequences:
@@ -193,10 +84,10 @@ def best_fit_decreasing(lengths: Sequence[int], capacity: int) -> tuple[np.ndarr
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool):
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end = np.array([end_id], dtype="<u4")
-        for batch in slices(batches, ENCODED_CHARS):
+        for batch in slices(batches):
             rows = []
-            for doc_id, ids in zip(batch["doc_id"], encoder(path).ids(batch["text"].tolist()), strict=True):
-                ids = np.concatenate([ids, end])
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                ids = np.concatenate([encoder(path).ids(text), end])
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity]
                     row = (doc_id, start, len(part), zlib.crc32(part.tobytes()), len(ids))

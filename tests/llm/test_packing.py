@@ -9,7 +9,7 @@ import pytest
 from edge_cases import SF_DIR, prose, texts
 from tokenizers import Tokenizer
 
-from brooklet.llm import packing
+from brooklet.llm import byte_bpe, packing
 from brooklet.llm.queries import op8_packing
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -98,14 +98,14 @@ def test_best_fit_decreasing():
         assert len(set(sequence)) == len(room)
 
 
-def test_words_are_encoded_as_the_library_encodes_texts(library):
+def test_texts_are_encoded_as_the_library_encodes_them(library):
     rng = random.Random(9)
     pieces = ["a", "The", "don't", "é", "漢字", "12", "3a", "...", "<|endoftext|>", "$", "we'll"]
     gaps = [" ", " ", " ", " ", "\n", "  ", " \n", "\n ", "\n\n", "\t", " ", "\u0085", " 　", "\x1c", ""]
     made = ["".join(rng.choice(pieces) + rng.choice(gaps) for _ in range(rng.randrange(12))) for _ in range(3000)]
     made += [" " + m for m in made[:200]] + ["\n" + m for m in made[:200]]
-    encoder = packing.WordEncoder(TOKENIZER)
+    encoder = byte_bpe.Encoder(TOKENIZER)
     for at in range(0, len(made), 500):
         part = made[at : at + 500]
         wanted = [x.ids for x in library.encode_batch(part, add_special_tokens=False)]
-        assert [list(x) for x in encoder.ids(part)] == wanted
+        assert [list(encoder.ids(text)) for text in part] == wanted
