@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from brooklet.llm.common import written
 
 THRESHOLD = 0.6
+#: Words of a text that go together when a stretch of it is looked at.
+CELL = 64
 NAMES = "(?i)^(un)?licen[cs]e|^copying|^notice"
 
 # Notices and licence beginnings in common use, by SPDX identifier.
@@ -87,6 +89,11 @@ TEMPLATES = [
         "contributors may be used to endorse or promote products derived from this software without specific "
         "prior written permission.",
     ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
     (
         "BSD-2-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
@@ -203,21 +210,26 @@ class Templates:
         """
         words = texts.select("unit", F.expr(WORDS.format(text="text")).alias("words"))
         words = words.filter(F.expr(f"arrays_overlap(words, {_quoted(self.telling)})"))
-        held = words.select("unit", F.posexplode("words").alias("at", "word")).join(F.broadcast(self.anchors), "word")
+        held = words.select("unit", F.size("words").alias("n"), F.posexplode("words").alias("at", "word"))
+        held = held.join(F.broadcast(self.anchors), "word")
         block = F.explode(F.expr("array(int(at div size), int(at div size) - 1)")).alias("block")
-        held = held.select("unit", "template", "word", "square", "size", "least", block).filter("block >= 0").distinct()
-        held = held.groupBy("unit", "template", "block").agg(F.sum("square").alias("sum"), F.first("least").alias("least"))
-        blocks = held.filter("sum >= least").groupBy("unit")
-        blocks = blocks.agg(F.collect_list(F.struct("template", "block")).alias("blocks"))
-        near = words.join(blocks, "unit").select("unit", "words", F.explode("blocks").alias("b"))
-        near = near.select("unit", "words", F.col("b.template").alias("template"), F.col("b.block").alias("block"))
+        held = held.select("unit", "n", "template", "word", "square", "size", "least", block)
+        held = held.filter("block >= 0 AND block * size + size <= n").distinct().groupBy("unit", "n", "template", "size", "block")
+        held = held.agg(F.sum("square").alias("sum"), F.first("least").alias("least")).filter("sum >= least")
+        spans = held.selectExpr("unit", "template", "size", "block * size AS low", "least(block * size + 2 * size - 1, n) AS high")
+        # The words of a text come in cells; a stretch takes the few that it lies in, never the whole text.
+        wanted = spans.withColumn("cell", F.explode(F.expr(f"sequence(low div {CELL}, (high - 1) div {CELL})")))
+        cells = F.expr(f"transform(sequence(0, (size(words) - 1) div {CELL}), c -> slice(words, c * {CELL} + 1, {CELL}))")
+        cells = words.select("unit", F.posexplode(cells).alias("cell", "part"))
+        near = wanted.join(cells.withColumn("cell", F.col("cell").cast("long")), ["unit", "cell"])
+        near = near.groupBy("unit", "template", "low", "high").agg(F.array_sort(F.collect_list(F.struct("cell", "part"))).alias("parts"))
         near = near.join(F.broadcast(self.spans), "template")
-        last = F.expr("least(size - 1, size(words) - size - block * size)").alias("last")
-        stretch = F.expr(f"""transform(slice(words, block * size + 1, 2 * size - 1), x ->
+        last = F.expr("high - low - size").alias("last")
+        stretch = F.expr(f"""transform(slice(flatten(parts.part), int(low % {CELL}) + 1, int(high - low)), x ->
             struct(x AS w, coalesce(idf[x], {self.unknown!r}D) AS idf, coalesce(weights[x], 0D) AS t))""")
-        near = near.select("unit", "license", "size", last, stretch.alias("stretch")).filter("last >= 0")
+        near = near.select("unit", "license", "size", last, stretch.alias("stretch"))
         # Of each run the dot product and the squared length.
-        cosines = F.expr("""transform(transform(sequence(0, greatest(last, 0)), s -> slice(stretch, s + 1, size)), run ->
+        cosines = F.expr("""transform(transform(sequence(0, int(last)), s -> slice(stretch, s + 1, size)), run ->
             aggregate(
                 transform(array_distinct(run), d -> struct(size(filter(run, y -> y.w = d.w)) * d.idf AS v, d.t AS t)),
                 struct(0D AS dot, 0D AS sq),

@@ -154,3 +154,45 @@ def test_documents(spark, documents):
 
 def test_empty_table(spark):
     assert tally(license_scan.scan(spark.createDataFrame([], "path string, text string"))) == []
+
+
+# Whole licence texts.
+BSD_HEAD = (
+    "Copyright (c) 2020, Some Holder\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or "
+    "without modification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+BSD_CLAUSE = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.\n\n"
+)
+BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.\n"
+)
+
+
+def test_whole_texts_that_begin_alike(spark):
+    files = [
+        ("a/LICENSE", BSD_HEAD + BSD_TAIL), ("a/src/x.py", "x = 1"),
+        ("b/LICENSE", BSD_HEAD + BSD_CLAUSE + BSD_TAIL), ("b/src/x.py", "x = 1"),
+        ("c/LICENSE", wrapped(BSD_HEAD + BSD_CLAUSE + BSD_TAIL, 72, "")), *((f"p/{i}", CODE) for i in range(20)),
+    ]
+    rows = {r[0]: r for r in found(license_scan.scan(spark.createDataFrame(files, "path string, text string")))}
+    assert [rows[f"{d}/LICENSE"][1] for d in "abc"] == ["BSD-2-Clause", "BSD-3-Clause", "BSD-3-Clause"]
+    assert [rows[f"{d}/src/x.py"][1] for d in "ab"] == ["BSD-2-Clause", "BSD-3-Clause"]
+
+
+def test_many_notices_in_one_text(spark):
+    """A file that lists the notices of thousands of packages, all on one line."""
+    text = " ".join(f"Package number {i} is by its authors. Released under the MIT License." for i in range(6000))
+    files = [("NOTICE", text), ("x.py", CODE), *((f"p/{i}", CODE) for i in range(20))]
+    rows = {r[0]: r for r in found(license_scan.scan(spark.createDataFrame(files, "path string, text string")))}
+    assert rows["NOTICE"][1:4:2] == ("MIT", "file") and rows["x.py"][1:] == ("MIT", None, "inherited", "")
