@@ -40,14 +40,16 @@ NGRAM_JOIN = f"""WITH RECURSIVE {SHINGLES},
   LEFT JOIN (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id) USING (doc_id)"""
 
 
-def _sets(table: str, key: str) -> str:
+def _sets(table: str, key: str, short: bool = False) -> str:
+    """Five-word shingles, or of fewer words the whole sequence; ``short``: besides, all shorter sequences."""
     words = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
-    return f"""(SELECT DISTINCT {key}, array_to_string(w[i : i + 4], ' ') AS gram
-    FROM (SELECT {key}, w, unnest(range(1, greatest(2, len(w) - 3))) AS i
-      FROM (SELECT {key}, {words} AS w FROM {table}) WHERE len(w) > 0))"""
+    lengths = "unnest(range(1, least(5, len(w)) + 1))" if short else "least(5, len(w))"
+    return f"""(SELECT DISTINCT {key}, array_to_string(w[i : i + k - 1], ' ') AS gram
+    FROM (SELECT {key}, w, k, unnest(range(1, len(w) - k + 2)) AS i
+      FROM (SELECT {key}, w, {lengths} AS k FROM (SELECT {key}, {words} AS w FROM {table}) WHERE len(w) > 0)))"""
 
 
-DECONTAMINATION = f"""WITH items AS {_sets("benchmark", "item_id")}, docs AS {_sets("documents", "doc_id")},
+DECONTAMINATION = f"""WITH items AS {_sets("benchmark", "item_id")}, docs AS {_sets("documents", "doc_id", True)},
   sizes AS (SELECT item_id, count(*) AS n_grams FROM items GROUP BY item_id),
   shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (gram) GROUP BY 1, 2)
   SELECT doc_id, item_id, n_grams, n_shared, n_shared / n_grams AS containment

@@ -15,11 +15,17 @@ def grams(text):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def sequences(text):
+    """All sequences of up to five words."""
+    words = [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
+    return {tuple(words[i : i + n]) for n in range(1, 6) for i in range(len(words) - n + 1)}
+
+
 def brute_force(docs, items):
     of_doc = {}
     for doc_id, text in docs:
         if doc_id is not None:
-            of_doc.setdefault(doc_id, set()).update(grams(text))
+            of_doc.setdefault(doc_id, set()).update(sequences(text))
     out = set()
     for item_id, text in items:
         g = grams(text)
@@ -88,6 +94,23 @@ def test_partly_copied_items(spark):
     assert found(leaks) == brute_force(docs, items)
 
 
+def test_short_items_inside_long_documents(spark):
+    rng = random.Random(3)
+    items = [(1, "forty two"), (2, "Paris"), (3, "yes; of course"), (4, "one two three four"), (5, "two one"), (6, "never there")]
+    filler = lambda n: " ".join(f"f{rng.randrange(10**5)}" for _ in range(n))
+    docs = [
+        (1, f"{filler(3000)} forty-two {filler(500)}"), (2, f"PARIS {filler(2)}"), (3, "yes of"), (4, "yes, of course!"),
+        (5, f"{filler(9)} one two three four five"), (6, "one two three"), (7, f"{filler(7)} forty {filler(1)} two"), (8, "two"),
+        (9, "paris"), (9, "of yes of"), (9, "course"), (None, "paris"), (10, None),
+    ]
+    leaks = decontamination.leaks(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    wanted = brute_force(docs, items)
+    assert {(d, i) for d, i, *_ in wanted} == {(1, 1), (2, 2), (4, 3), (5, 4), (9, 2)}
+    assert found(leaks) == wanted
+
+
 def test_empty_tables(spark, edge, empty):
     none = spark.createDataFrame([], "item_id bigint, text string")
     some = spark.createDataFrame([(1, "the river and the stone of light")], "item_id bigint, text string")
