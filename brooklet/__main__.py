@@ -12,7 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklet.operators import analytics, quality
+from brooklet.operators import analytics, partials, quality
+from brooklet.operators.cluster import cluster
 from brooklet.operators.layout import compact
 from brooklet.sources import read_events_stream, read_events_table, read_stored
 from brooklet.streaming import Ingest, JdbcSink, TableSink, run, stream_session
@@ -60,8 +61,13 @@ def _parser() -> argparse.ArgumentParser:
     pack.add_argument("--since-batch", type=int)
     pack.add_argument("--stream", help="the stream whose batches --since-batch counts")
 
+    ordered = jobs.add_parser("cluster", help="copy the table for lookups by user, category and day")
+    ordered.add_argument("--table", required=True)
+    ordered.add_argument("--out", required=True)
+
     report = jobs.add_parser("report", help="print the reports of a table")
     report.add_argument("--table", required=True)
+    report.add_argument("--partials", action="store_true", help="from its partial aggregates, without reading events")
     return parser
 
 
@@ -110,10 +116,29 @@ def print_all(rows: DataFrame) -> None:
         print("\t".join(map(str, row)))
 
 
+def print_reports(reports: dict[str, DataFrame]) -> None:
+    for title, rows in reports.items():
+        print(f"== {title}")
+        print_all(rows)
+
+
+def report_partials(spark: SparkSession, args: argparse.Namespace) -> None:
+    parts = partials.read_partials(spark, args.table)
+    print_reports({
+        "events": partials.total_events(parts),
+        "by type": partials.event_type_share(parts),
+        "revenue": partials.category_revenue_purchases(parts),
+        "per minute": partials.events_per_minute(parts),
+        "per day": partials.running_total(parts),
+        "latency": partials.latency_stats(parts),
+        "kpi": partials.kpi_report(parts),
+    })
+
+
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     events = read_events_table(spark, args.table)
     days = read_events_table(spark, args.table, with_day=True)
-    for title, rows in {
+    print_reports({
         "events": analytics.total_events(events),
         "by type": analytics.event_type_share(events),
         "revenue": analytics.category_revenue_purchases(events),
@@ -121,9 +146,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
         "latest": analytics.latest_stored(events),
         "latency": quality.latency_stats(events),
         "kpi": quality.kpi_report(events),
-    }.items():
-        print(f"== {title}")
-        print_all(rows)
+    })
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -140,6 +163,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         ingest(spark, args)
     elif args.job == "compact":
         compact(read_stored(spark, args.table), args.out, args.since_batch, args.stream)
+    elif args.job == "cluster":
+        cluster(read_stored(spark, args.table), args.out)
+    elif args.partials:
+        report_partials(spark, args)
     else:
         report(spark, args)
 

@@ -14,20 +14,20 @@ from brooklet.schema import KEY, MONEY_COLUMNS
 from brooklet.sources import read_stored
 from brooklet.streaming.sinks import TableSink
 
-# Batches of the tables written here; each brings a part of the events, and the part before it again.
-BATCHES = 6
+# Batches of the tables written here, each with a part of the events.
+BATCHES = 4
 
 
 def _in_batches(spark: SparkSession, sf_dir: str, sink: TableSink) -> None:
-    """The clean events in batches with repeats, the fourth batch twice, the second time with more rows."""
+    """The clean events in batches; the third is written twice, first without its purchases."""
     once = scratch(spark, "cleaned")
     cleaned(spark, sf_dir).write.parquet(once)
     rows = spark.read.parquet(once)
     number = F.col(KEY).cast("bigint") % BATCHES
     for batch in range(BATCHES):
-        if batch == 3:
+        if batch == 2:
             sink(rows.filter((number == batch) & (F.col("event_type") == "view")), batch)
-        sink(rows.filter((number == batch) | (number == batch - 1)), batch)
+        sink(rows.filter(number == batch), batch)
 
 
 def on_partials(report: Callable[[DataFrame], DataFrame]) -> Query:
@@ -35,14 +35,14 @@ def on_partials(report: Callable[[DataFrame], DataFrame]) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch(spark, "table")
-        _in_batches(spark, sf_dir, TableSink(path, roll_up_every=2, writer="batches", partials=True))
+        _in_batches(spark, sf_dir, TableSink(path, "batch", roll_up_every=2, writer="batches", partials=True))
         return report(partials.read_partials(spark, path))
 
     return query
 
 
 def small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of each user's day as often as the user has events that day: most keys are stored already."""
+    """Nine batches by the day of the event, each of which brings the events of another day as well."""
     path = scratch(spark, "table")
     sink = TableSink(path, roll_up_every=3, writer="batches")
     rows = cleaned(spark, sf_dir)

@@ -90,16 +90,21 @@ class KeyIndex:
         stored = read_stored(spark, self.table)
         if stored is None:
             return
-        stored = self._before(stored, batch_id, writer)
-        parts = [part.select("stream", "batch_id") for part in self._parts(spark)]
-        if parts:
-            stored = stored.join(reduce(DataFrame.unionByName, parts).distinct(), ["stream", "batch_id"], "left_anti")
-        missing = stored.select(F.xxhash64(KEY).alias("hash"), KEY, F.lit(0).alias("bucket"), "stream", "batch_id")
-        # Folders of batches, as ``add`` writes them.
-        dealt = missing.hint("rebalance", F.col("stream"), F.col("batch_id"))
-        dealt.sortWithinPartitions("stream", "batch_id", "hash").write.mode("append").options(**FILES).partitionBy(
-            "stream", "batch_id"
-        ).parquet(self.path)
+        # Runs are written in the order of their batches, so those rolled up lack none.
+        rolled, batch = Manifest.of(spark, self.path), ["stream", "batch_id"]
+        stored = self._before(stored, batch_id, writer).filter(rolled.open())
+        runs = read_folder(spark, self.path, RUN_DDL)
+        if runs is None:
+            rows = stored.select(F.xxhash64(KEY).alias("hash"), KEY, F.lit(0).alias("bucket"), *batch)
+            dealt = rows.hint("rebalance", *map(F.col, batch)).sortWithinPartitions(*batch, "hash")
+            dealt.write.mode("append").options(**FILES).partitionBy(*batch).parquet(self.path)
+            return
+        # A run of fewer keys was left by a job that died.
+        held = stored.groupBy(*batch).agg(F.count("*").alias("n"))
+        known = runs.filter(rolled.open()).groupBy(*batch).agg(F.count("*").alias("n"))
+        for stream, number, _ in held.join(known, [*batch, "n"], "left_anti").collect():  # open batches, so few
+            rows = stored.filter((F.col("stream") == stream) & (F.col("batch_id") == number))
+            self.add(rows, number, stream)
 
     def add(self, rows: DataFrame, batch_id: int, writer: str | None = None) -> None:
         """The run of a batch: the keys of the rows stored."""

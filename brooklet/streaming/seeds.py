@@ -20,8 +20,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.schema import KEY
-from brooklet.sources.table import read_folder, read_stored
+from brooklet.schema import KEY, STORED_DDL
+from brooklet.sources.table import Manifest, read_folder, read_stored
 
 MARKS_DDL = "table_path string, stream string, last_batch bigint, start bigint"
 KEY_DDL = f"{KEY} string"
@@ -43,13 +43,17 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
 
 
 def foreign_batches(spark: SparkSession, tables: Sequence[str], own: str | None) -> dict[tuple[str, str], int]:
-    """The last batch of every other stream in each table, from the folders' names."""
-    last = {}
+    """The last batch of every other stream in each table.
+
+    Of what is rolled up the manifest knows it; only the folders of open batches are looked at.
+    """
+    last: dict[tuple[str, str], int] = {}
     for table in tables:
-        stored = read_stored(spark, table)
-        if stored is not None:
-            newest = stored.filter(F.col("stream") != (own or "")).groupBy("stream").agg(F.max("batch_id"))
-            last |= {(table, stream): batch for stream, batch in newest.collect()}
+        rolled, batches = Manifest.of(spark, table), read_folder(spark, table, STORED_DDL)
+        if batches is None:
+            continue
+        newest = batches.filter(rolled.open()).groupBy("stream").agg(F.max("batch_id")).collect()
+        last |= {(table, stream): batch for stream, batch in (*rolled.upto, *newest) if stream != own}
     return last
 
 

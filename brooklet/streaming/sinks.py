@@ -123,7 +123,8 @@ class JdbcSink:
     then runs one transaction in the database: the staged rows whose key the table does not
     hold are inserted, whatever their event time, and the batch is marked. A batch whose
     mark is there was merged before, and is left alone. For databases that know
-    ``INSERT ... ON CONFLICT DO NOTHING``; the marks are in a table beside the target.
+    ``INSERT ... ON CONFLICT DO NOTHING``; the marks are in a table beside the target. The
+    database's driver has to be on the class path of Spark's driver, not only in its jars.
 
     Otherwise the keys that the table holds already are looked up first (``resume``):
     those of earlier batches, and those that a failed attempt at this one stored (the

@@ -70,6 +70,14 @@ def test_a_stream_that_ended_before_its_last_run_was_written(spark, tmp_path, mo
     assert sorted(stored(spark, path)) == [("1", 0), ("2", 1), ("3", 0)]
 
 
+def test_a_run_that_was_not_written_whole(spark, tmp_path):
+    path = str(tmp_path / "table")
+    TableSink(path, writer="one")(events(spark, [1, 2]), 0)
+    KeyIndex(path).add(events(spark, [1]), 0, "one")  # as if a task's file were missing
+    TableSink(path, writer="two")(events(spark, [1, 2, 3]), 0)
+    assert stored(spark, path) == [("1", 0), ("2", 0), ("3", 0)]
+
+
 def bytes_read(spark):
     """Of files, by this JVM. Ranges read side by side are not counted, so they are off."""
     spark._jsc.hadoopConfiguration().setBoolean("parquet.hadoop.vectored.io.enabled", False)
