@@ -8,10 +8,13 @@ mention of a group can weigh more than the sum of both.
     score = sigmoid(w0 + sum_i w_i + 1/2 sum_f ((sum_i v_if)^2 - sum_i v_if^2))
 
 Fitting: which buckets tell the classes apart is counted over all labelled rows (a G-test
-per bucket, ``BUCKETS`` counts at most); the machine itself is fitted by mini-batch
-gradient steps in numpy on about ``SAMPLE_ROWS`` labelled rows, picked by a hash of
-their id (their number varies by a hundredth or so). The model is ``SELECTED`` buckets at most, about 150 kB, and goes along with
-the tasks.
+per bucket, ``BUCKETS`` counts at most). Terms may tell nothing alone and much together, so
+pairs are tested as well, on about ``SAMPLE_ROWS`` labelled rows picked by a hash of their
+id (their number varies by a hundredth or so): those of the ``PAIRED`` most frequent
+buckets of these rows, by products of the rows' presence matrix. Both terms of a pair that
+tells more than each of them are admitted. The machine itself is fitted by mini-batch
+gradient steps in numpy on the same rows. The model is ``SELECTED`` and ``ADMITTED`` buckets
+at most, about 170 kB, and goes along with the tasks.
 """
 
 from __future__ import annotations
@@ -26,15 +29,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded, named_text, slices, written
+from brooklet.llm.common import bounded, id_text, named_text, slices, written
 
 BUCKETS = 1 << 18
 SELECTED = 4096
+#: Buckets whose pairs are tested, and buckets that pairs admit at most.
+PAIRED, ADMITTED = 1024, 256
 FACTORS = 8
 #: Labelled rows the machine is fitted on, as expected number; with fewer, all of them.
 SAMPLE_ROWS = 20_000
 #: Least G statistic of a bucket: one in a hundred thousand unrelated buckets exceeds it.
 LEAST_G = 19.5
+#: That of a pair, beyond twice the larger of its buckets': one in 10^10 unrelated pairs.
+LEAST_PAIR_G = 42.0
 EPOCHS, ROWS_A_STEP, RATE, DECAY = 60, 256, 0.1, 1e-5
 THRESHOLD = 0.7
 CACHED_TERMS = 300_000
@@ -59,7 +66,7 @@ def _hash_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[str, int] = {}
     for batch in slices(batches):
         terms = [sorted(buckets(text, known)) for text in batch["text"]]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "terms": terms})
+        yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"], "terms": terms})
 
 
 @dataclass(frozen=True)
@@ -125,20 +132,55 @@ def _g_statistic(with_1: np.ndarray, with_all: np.ndarray, n_1: int, n: int) ->
     return 2 * g
 
 
+def partners(terms: np.ndarray, starts: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Buckets of pairs that tell the label more than each of their buckets does, the best pairs first.
+
+    ``terms``: the distinct buckets of all rows, one row after another from ``starts`` on, and
+    the end. Held at once: two square tables of ``PAIRED`` buckets, and some more of half
+    their size, and the presence of these buckets in a thousand rows.
+    """
+    n, n_1 = len(label), label.sum()
+    often = np.bincount(terms, minlength=BUCKETS)
+    tested = np.argsort(-often, kind="stable")[:PAIRED]
+    tested = tested[(often[tested] >= 5) & (often[tested] < n)]
+    if not len(tested):
+        return tested
+    place = np.full(BUCKETS, -1, np.int32)
+    place[tested] = np.arange(len(tested))
+    both, both_1 = (np.zeros((len(tested), len(tested)), np.float32) for _ in range(2))
+    for at in range(0, n, 1024):
+        bounds = starts[at : at + 1025]
+        column = place[terms[bounds[0] : bounds[-1]]]
+        row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        x = np.zeros((len(bounds) - 1, len(tested)), np.float32)
+        x[row[column >= 0], column[column >= 0]] = 1
+        both += x.T @ x
+        toxic = x[label[at : at + 1024] > 0]
+        both_1 += toxic.T @ toxic
+    alone = _g_statistic(both_1.diagonal().astype(float), both.diagonal().astype(float), n_1, n)
+    i, j = np.nonzero(np.triu(both, 1) >= 5)
+    seen, seen_1 = both[i, j].astype(float), both_1[i, j].astype(float)
+    g = _g_statistic(seen_1, seen, n_1, n) - 2 * np.maximum(alone[i], alone[j])
+    best = np.argsort(-g, kind="stable")[:ADMITTED]
+    best = best[g[best] >= LEAST_PAIR_G]
+    found = dict.fromkeys(np.stack([tested[i[best]], tested[j[best]]], 1).ravel().tolist())
+    return np.array(list(found)[:ADMITTED], np.int64)
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> Machine:
     """A machine fitted on the rows of ``docs`` that have a label in ``labels`` (doc_id, toxic).
 
     ``usable``, a condition on ``docs``, keeps rows out. Null labels and null ids count for
     nothing; of several labels of a document the largest holds. Without any labelled row
-    the machine gives every text one half, without a telling bucket the share of label 1.
+    the machine gives every text one half, without a telling bucket the share of label 1;
+    so do empty tables. Buckets and pairs of fewer than five labelled rows are not
+    considered. Equal G: the lower bucket first.
     """
     marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL")
     marks = marks.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     rows = docs if usable is None else docs.filter(usable)
-    hashed = named_text(rows).mapInPandas(_hash_terms, "doc_id string, terms array<int>")
-    hashed = hashed.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    marks = bounded(written(marks, "labels"))
-    marked = written(hashed.join(marks, "doc_id").select("doc_id", "toxic", "terms"), "labelled")
+    labelled = id_text(rows).join(bounded(written(marks, "labels")), "doc_id").select("doc_id", "text", "toxic")
+    marked = written(labelled.mapInPandas(_hash_terms, "doc_id bigint, toxic int, terms array<int>"), "labelled")
     n, n_1 = marked.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counts = marked.select("toxic", F.explode("terms").alias("bucket")).groupBy("bucket")
     counts = counts.agg(F.count("*").alias("n"), F.sum("toxic").alias("n_1")).filter("n >= 5")
@@ -149,11 +191,17 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> M
 
     share = min(1.0, SAMPLE_ROWS / max(n, 1))
     keep = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    wanted = F.array(*(F.lit(int(b)) for b in selected)) if len(selected) else F.array().cast("array<int>")
-    few = marked.filter(keep).select("doc_id", "toxic", F.array_intersect("terms", wanted).alias("terms"))
-    sample = few.toPandas().sort_values("doc_id", kind="stable")
-    terms = [np.searchsorted(selected, sorted(t)).tolist() for t in sample["terms"]]
-    return fit(selected, terms, sample["toxic"].to_numpy(float))
+    sample = marked.filter(keep).toArrow().sort_by("doc_id").combine_chunks()
+    if not sample.num_rows:
+        return fit(selected, [], np.zeros(0))
+    label, lists = sample["toxic"].to_numpy().astype(float), sample["terms"].chunk(0)
+    terms, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    selected = np.union1d(selected, partners(terms, starts, label))
+    place = np.full(BUCKETS, -1, np.int32)
+    place[selected] = np.arange(len(selected))
+    chosen = place[terms]
+    rows = [chosen[a:b] for a, b in zip(starts, starts[1:], strict=False)]
+    return fit(selected, [np.sort(row[row >= 0]).tolist() for row in rows], label)
 
 
 class Scorer:
@@ -191,7 +239,8 @@ def _score_rows(machine: Machine):
 def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
     """Every row of ``docs``: doc_id, score, predicted (1 from ``threshold`` on).
 
-    Whole texts; a null text scores as an empty one. Repeated rows, also of a null
+    Whole texts of any length; a null text scores as an empty one. An empty table gives
+    none. Repeated rows, also of a null
     doc_id, are each returned. Only doc_id and text are looked at.
     """
     scored = named_text(docs).mapInPandas(_score_rows(machine), "doc_id string, score double")
