@@ -252,7 +252,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     licence than they are to theirs.
 
     A null text is an empty one. Rows of the same path are one file of all their lines.
-    Rows without a path are left out. Other columns are not looked at. Path parts are
+    Rows without a path are left out. Very long texts, and any number of notices in one, are
+    looked at whole. An empty table gives no row. Other columns are not looked at. Path parts are
     split at ``/``; files without one are in the top directory, the empty path.
     """
     rows = files.filter("path IS NOT NULL").select("path", F.coalesce("text", F.lit("")).alias("text"))

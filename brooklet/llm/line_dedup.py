@@ -18,6 +18,10 @@ deletion takes the references back, finds the next smallest document of the keys
 first one went, and removes keys without references from the filters. Inserting and
 deleting the same documents leads back to the same decisions.
 
+Null and empty texts are one empty line, which is never dropped; a very long text is split
+whole in its task. Repeated rows of a document hold its lines once. An empty table, first or
+later, leaves an index that drops nothing more.
+
 A line is dropped where its key has postings of two documents or more, in all of them but
 the smallest. A third of all rows may share one line: its count is summed before the
 shuffle, and the join that marks its postings is one whose large partitions Spark splits.
