@@ -1,4 +1,10 @@
-"""A corpus from documents to packed sequences; each stage is one operator of ``brooklet.llm``."""
+"""A corpus from documents to packed sequences; each stage is one operator of ``brooklet.llm``.
+
+A null text is an empty one throughout; an empty table leads to no piece. Repeated rows and
+very long texts are what the operators of the stages make of them. A document that loses
+all its lines to line dedup stays, as an empty text, and is packed as a lone end id: the
+stages' order is given, and each keeps the documents it does not reject.
+"""
 
 from __future__ import annotations
 
