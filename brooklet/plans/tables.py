@@ -12,17 +12,21 @@ from brooklet.plans.batch import Query
 from brooklet.plans.inputs import cleaned, scratch
 from brooklet.schema import KEY, MONEY_COLUMNS
 from brooklet.sources import read_stored
+from brooklet.sources.scratch import rewritten
 from brooklet.streaming.sinks import TableSink
 
 # Batches of the tables written here, each with a part of the events.
 BATCHES = 4
 
 
+def _cleaned_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean events, written: every batch reads them, and would send the products to all tasks again."""
+    return rewritten(cleaned(spark, sf_dir), "cleaned")
+
+
 def _in_batches(spark: SparkSession, sf_dir: str, sink: TableSink) -> None:
     """The clean events in batches; the third is written twice, first without its purchases."""
-    once = scratch(spark, "cleaned")
-    cleaned(spark, sf_dir).write.parquet(once)
-    rows = spark.read.parquet(once)
+    rows = _cleaned_once(spark, sf_dir)
     number = F.col(KEY).cast("bigint") % BATCHES
     for batch in range(BATCHES):
         if batch == 2:
@@ -45,7 +49,7 @@ def small_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine batches by the day of the event, each of which brings the events of another day as well."""
     path = scratch(spark, "table")
     sink = TableSink(path, roll_up_every=3, writer="batches")
-    rows = cleaned(spark, sf_dir)
+    rows = _cleaned_once(spark, sf_dir)
     day = F.datediff("event_timestamp", F.lit("2024-01-01")) % 9
     for batch in range(9):
         sink(rows.filter((day == batch) | (day == (batch + 4) % 9)), batch)

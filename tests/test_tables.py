@@ -8,9 +8,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from brooklet.operators import analytics, cluster, partials, quality
+from brooklet.operators.clean import clean
 from brooklet.operators.layout import compact
+from brooklet.plans import tables as plans
 from brooklet.plans.inputs import cleaned
-from brooklet.sources import read_events_stream, read_events_table, read_stored
+from brooklet.schema import SOURCE_DDL
+from brooklet.sources import read_events_stream, read_events_table, read_stored, table
+from brooklet.sources.table import write_settings
 from brooklet.streaming import Ingest, TableSink
 from brooklet.streaming.commits import KEPT, commit, last_committed, read_committed
 from brooklet.streaming.late import MARK_DDL, LateGate, closed_windows
@@ -210,3 +214,23 @@ def test_late_rows_through_a_stream(spark, tmp_path):
         Ingest([gate], discard=True).start(source, str(tmp_path / "ck"), None).awaitTermination()
     assert sorted(r.event_id for r in read_events_table(spark, folders["table"]).collect()) == ["a", "c"]
     assert sorted(r.event_id for r in spark.read.parquet(folders["late"]).collect()) == ["b", "d"]
+
+
+def test_batches_read_clean_events_made_once(spark, monkeypatch):
+    """Each batch would join all events with the products again."""
+    rows = [(str(i), 1, "s", "view", 1, "thing", "stuff", 9.99, 1, 9.99, f"2024-01-0{1 + i % 9} 00:00:00") for i in range(90)]
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    def few(spark, sf_dir):
+        events = clean(spark.createDataFrame(rows, SOURCE_DDL), F.lit("2024-02-01 00:00:00").cast("timestamp"))
+        return events.mapInPandas(counted, events.schema)
+
+    monkeypatch.setattr(plans, "cleaned", few)
+    stored = plans.small_batches(spark, "").collect()
+    assert len({r.event_id for r in stored}) == len(stored) == 90
+    assert made.value == 90
