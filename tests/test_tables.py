@@ -234,3 +234,14 @@ def test_batches_read_clean_events_made_once(spark, monkeypatch):
     stored = plans.small_batches(spark, "").collect()
     assert len({r.event_id for r in stored}) == len(stored) == 90
     assert made.value == 90
+
+
+def test_large_writes_use_all_cores_and_small_ones_few_files(spark, tmp_path):
+    def files(rows):
+        path = str(tmp_path / f"rows{rows}")
+        with write_settings(spark):
+            spark.range(rows).select(F.xxhash64("id").alias("hash")).repartition("hash").write.parquet(path)
+        return spark.read.parquet(path).select(F.input_file_name()).distinct().count()
+
+    assert files(100) == 1
+    assert files(4_000_000) > 3
