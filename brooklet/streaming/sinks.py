@@ -70,7 +70,7 @@ class TableSink:
             index.add(self._written(spark, batch_id), batch_id, self.writer)
         if self.partials:
             found = partials(self._written(spark, batch_id))
-            write_batch(found.coalesce(1), aggregates, batch_id, writer=self.writer)
+            write_batch(found, aggregates, batch_id, writer=self.writer)
         if self.roll_up_every and batch_id % self.roll_up_every == self.roll_up_every - 1:
             roll_up(spark, self.path)
             if self.unique == "table":

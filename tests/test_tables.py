@@ -245,3 +245,18 @@ def test_large_writes_use_all_cores_and_small_ones_few_files(spark, tmp_path):
 
     assert files(100) == 1
     assert files(4_000_000) > 3
+
+
+def test_partials_of_a_large_batch_are_merged_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(table.WRITE_SETTINGS, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    times = spark.range(20_000).selectExpr("id", "timestamp_seconds(1704067200 + 60 * id) AS at")
+    rows = times.selectExpr(
+        "CAST(id AS string) AS event_id", "1 AS user_id", "'s' AS session_id", "'view' AS event_type", "1 AS product_id",
+        "'thing' AS product_name", "'stuff' AS category", "9.99 AS price", "1 AS quantity", "9.99 AS total_amount",
+        "at AS event_timestamp", "at AS ingested_at",
+    )
+    path = str(tmp_path / "table")
+    TableSink(path, "batch", writer="w", partials=True)(rows, 0)
+    found = partials.read_partials(spark, path)
+    assert found.select(F.input_file_name()).distinct().count() > 1
+    assert found.agg(F.sum("n"), F.count("*")).first() == (20_000, 20_000)
