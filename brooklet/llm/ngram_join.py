@@ -12,12 +12,15 @@ counts the shingles that recur among the documents it reads together, and the su
 the ``FREQUENT`` most frequent go along with the tasks (3 MB at most). An estimate that
 is off costs time only; any order gives the same result.
 
-Pairs of a shingle that few classes share are all listed. For a shingle that many share
-(copies with small edits) each class is first compared with one hub; members that are
+The join lists all pairs of the classes that share a shingle of their prefixes, and finds
+every link. A pair is not listed where the parities of its sets' shingles differ in more
+bits than linked sets can differ in shingles.
+
+``deduplicated`` asks for components only, and needs no links between classes that others
+connect: pairs of a shingle that few classes share are all listed. For a shingle that many
+share (copies with small edits) each class is first compared with one hub; members that are
 linked by then need no comparison. Pairs of such groups that are still in different
-components go through further hubs, and in the end are listed one and all. A pair is not
-listed where the parities of its sets' shingles differ in more bits than linked sets can
-differ in shingles.
+components go through further hubs, and in the end are listed one and all.
 """
 
 from __future__ import annotations
@@ -255,9 +258,8 @@ class NgramJoin(SetJoin):
         # A doc_id may stand for several texts, and repeated rows may give a set twice.
         return sets.join(ends, "key", "left_semi")
 
-    def components(self) -> DataFrame:
-        """doc_id, n_shingles, component_id, links (of its class, at least) of every row."""
-        links = written(self.links(), "links")
+    def components(self, links: DataFrame) -> DataFrame:
+        """doc_id, n_shingles, component_id, links (of its class, in ``links``) of every row."""
         roots = components(links).selectExpr("node AS key", "root")
         rooted = self.named.select("key", "first").join(roots, "key", "left")
         rooted = written(rooted.withColumn("root", F.coalesce("root", "key")), "rooted")
@@ -280,12 +282,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     """Every row of ``docs``: doc_id, n_shingles, component_id, links.
 
     ``component_id`` is the smallest doc_id that links of the given similarity reach, the
-    row's own included. A null or empty text, or one of white space, has no shingles and is linked with nothing.
+    row's own included. ``links`` is the number of other sets that the row's set is linked
+    with, without its copies. A null or empty text, or one of white space, has no shingles and is linked with nothing.
     Rows without a doc_id are linked with nothing and get a null component. Repeated rows
     are in one component as any copies are. Very long texts are shingled whole. An empty
     table gives an empty one. Only doc_id and text are looked at.
     """
-    return NgramJoin(docs, words, similarity).components()
+    join = NgramJoin(docs, words, similarity)
+    return join.components(join.links())
 
 
 def deduplicated(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
@@ -293,7 +297,8 @@ def deduplicated(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARI
 
     Of several rows with that doc_id all stay, for they are one document. Rows without a doc_id stay.
     """
-    found = near_duplicates(docs, words, similarity).groupBy("doc_id")
+    join = NgramJoin(docs, words, similarity)
+    found = join.components(join.connecting()).groupBy("doc_id")
     # A doc_id with several texts stays if one of them leads its component.
     found = found.agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("leads"))
     dropped = written(found.filter("NOT leads").select("doc_id"), "dropped")

@@ -1,4 +1,4 @@
-"""Links between sets that share tokens of their prefixes, without listing the pairs of a large group."""
+"""Links between sets that share tokens of their prefixes: all of them, or enough to connect what is linked."""
 
 from __future__ import annotations
 
@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from brooklet.llm.common import written
 from brooklet.llm.components import components
 
-#: The sets of a token are all paired up to this many, and go through hubs beyond.
+#: Where components are all that is asked for, the sets of a token are all paired up to
+#: this many, and go through hubs beyond.
 LISTED = 16
 #: Hubs go on while the pairs left are more than this many times the rows left, and
 #: while a round links a hundredth of these rows.
 PAIRS_A_ROW, HUB_ROUNDS = 8, 6
+#: Tokens before a prefix token that tell where a pair has been met already.
+BEFORE = ("before1", "before2", "before3")
 
 
 def needed(n: int, similarity: int) -> int:
@@ -114,6 +117,9 @@ class SetJoin:
         most frequent: were the rarest that a pair shares among them, there would be
         fewer than k. It needs what it asks for (of the least demanding set it meets),
         less what it may share of tokens that are not in ``rows``.
+
+        A pair is made where it meets first, for all that the tokens just before tell: if
+        one of these is shared, so is the pair made there or even earlier.
         """
         bounds = rows.groupBy("token").agg(
             F.min("n").alias("n_least"), F.min("matches").alias("matches_least"),
@@ -129,29 +135,43 @@ class SetJoin:
         keep = met.join(self.lists.select("key", "length"), "key").select(
             "key", F.expr(f"here - greatest(0, {asked} - (length - here) - 1)").alias("keep")
         )
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("of_token", "token"))
-        kept = rows.join(written(keep, "keep"), "key").withColumn("rank", rank).filter("rank <= keep")
-        kept = kept.select("token", "key", "n", "matches", "length", "root")
+        in_order = Window.partitionBy("key").orderBy("of_token", "token")
+        before = {name: F.lag("token", i).over(in_order) for i, name in enumerate(BEFORE, 1)}
+        kept = rows.join(written(keep, "keep"), "key").withColumn("rank", F.row_number().over(in_order))
+        kept = kept.withColumns(before).filter("rank <= keep")
+        kept = kept.select("token", "key", "n", "matches", "length", "root", *BEFORE)
         if self.words_of_parity:
             kept = kept.join(self.parities(), "key")
         kept = written(kept, "listed-rows")
         a, b = (_ends(kept, end).withColumnRenamed(f"token_{end}", "token") for end in "ab")
         pairs = a.join(b, "token").filter("a < b AND root_a <> root_b").filter(self._close())
-        pairs = pairs.filter(self._alike())
+        met = F.arrays_overlap(*(F.array(*(f"{name}_{end}" for name in BEFORE)) for end in "ab"))
+        pairs = pairs.filter(self._alike()).filter(~F.coalesce(met, F.lit(False)))
         return pairs.select("a", "b").distinct()
 
     def links(self) -> DataFrame:
-        """Linked pairs of sets (a, b: keys) that connect all that is linked.
+        """All linked pairs of sets (a, b: keys; shared, n_a, n_b), each once.
 
-        Between the sets of a token that at most ``LISTED`` sets share all links are
-        there; among more, those that no other link has made needless.
+        As many rows as there are links, and so with the square of a group of near copies.
         """
+        return self._verified(self._listed(self._prefix_rows()))
+
+    def _prefix_rows(self) -> DataFrame:
+        """The prefixes, with the number of sets of a token, the length of a prefix and each set its own root."""
         self.prefixes = self._promising(self._promising(self.prefixes_of_all()))
         sizes = written(self.prefixes.groupBy("token").agg(F.count("*").alias("of_token")), "sizes")
         lists = self.prefixes.groupBy("key", "n", "matches").agg(F.collect_list("token").alias("prefix"))
         self.lists, self.sets = written(lists.withColumn("length", F.size("prefix")), "lists"), None
         rows = self.prefixes.join(sizes, "token").join(self.lists.select("key", "length"), "key")
-        rows = written(rows.withColumn("root", F.col("key")), "prefix-rows")
+        return written(rows.withColumn("root", F.col("key")), "prefix-rows")
+
+    def connecting(self) -> DataFrame:
+        """Linked pairs of sets, as ``links`` has them, that connect all that is linked.
+
+        Between the sets of a token that at most ``LISTED`` sets share all links are
+        there; among more, those that no other link has made needless.
+        """
+        rows = self._prefix_rows()
         many = written(rows.filter(F.col("of_token") > LISTED), "many")
         links = self._verified(self._listed(rows.filter(F.col("of_token") <= LISTED)))
         self.used, turn, more = None, 0, True

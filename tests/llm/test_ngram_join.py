@@ -156,3 +156,31 @@ def test_parities_never_part_linked_sets():
             least = (75 * (len(a) + len(b)) + 174) // 175
             pruned += apart > len(a) + len(b) - 2 * least
     assert pruned > 0.8 * far > 20
+
+
+def test_every_link_is_found(spark):
+    """In large groups too, where few of the links connect all that is linked."""
+    rows = near_copies()
+    sets = {frozenset(gram_set(text)) for _, text in rows}
+    links = dict.fromkeys(sets, 0)
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(a & b) >= 75 * len(a | b):
+            links[a] += 1
+            links[b] += 1
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: r.links for r in ngram_join.near_duplicates(docs).collect()}
+    assert found == {doc_id: links[frozenset(gram_set(text))] for doc_id, text in rows}
+    assert max(found.values()) > set_join.LISTED
+    join = ngram_join.NgramJoin(docs)
+    pairs = join.links()
+    assert pairs.count() == pairs.select("a", "b").distinct().count() == sum(links.values()) // 2
+
+
+@pytest.mark.parametrize(("listed", "a_row", "rounds"), [(16, 8, 6), (2, 0.01, 6), (3, 0.5, 1), (2, 0.01, 0)])
+def test_links_that_connect(spark, monkeypatch, listed, a_row, rounds):
+    """Whichever way the pairs of a group are come by, they connect what all links do."""
+    monkeypatch.setattr(set_join, "LISTED", listed)
+    monkeypatch.setattr(set_join, "PAIRS_A_ROW", a_row)
+    monkeypatch.setattr(set_join, "HUB_ROUNDS", rounds)
+    join = ngram_join.NgramJoin(spark.createDataFrame(near_copies(), "doc_id bigint, text string"))
+    assert found(join.components(join.connecting())) == brute_force(near_copies())
