@@ -273,8 +273,10 @@ class LineIndex:
         return sorted(r.batch for r in log.collect() if r.kind in kinds)
 
     def _finish(self, kind: str, batch: int) -> None:
-        row = self.spark.createDataFrame([(batch, kind, self.shards)], "batch int, kind string, shards int")
-        row.coalesce(1).write.mode("append").json(f"{self.path}/log")
+        # Rows of literals need no Python worker, which an executor would keep.
+        names = {"batch": F.lit(batch), "kind": F.lit(kind), "shards": F.lit(self.shards)}
+        row = self.spark.range(1, numPartitions=1).select(*(value.alias(name) for name, value in names.items()))
+        row.write.mode("append").json(f"{self.path}/log")
         self.batch = batch
 
     def open(self) -> LineIndex:
@@ -378,7 +380,7 @@ class LineIndex:
     def _write_filters(self, changes: DataFrame, batch: int) -> None:
         changes = self._hashed(changes).select("shard", "hash", "added").groupBy("shard")
         if batch == 0:
-            before = self.spark.createDataFrame([], FILTER)
+            before = self.spark.range(0).selectExpr("CAST(id AS int) AS shard", "CAST(NULL AS binary) AS slots")
         else:
             before = self._filters()
         after = changes.cogroup(before.groupBy("shard")).applyInPandas(_update, FILTER)

@@ -4,6 +4,7 @@ import zlib
 
 import corpus_pipeline
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import test_decontamination
@@ -13,7 +14,7 @@ from edge_cases import SF_DIR, texts
 from tokenizers import Tokenizer
 
 from brooklet.llm import toxicity
-from brooklet.llm.common import read_table
+from brooklet.llm.common import BATCH_BYTES, BYTES_SETTING, read_table
 from brooklet.llm.queries import QUERIES
 from brooklet.plans.inputs import scratch
 
@@ -81,6 +82,27 @@ def test_run_is_the_stages_one_after_another(spark, documents):
     )
 
 
+@pytest.mark.parametrize(("before", "after"), [(None, BATCH_BYTES), ("1g", BATCH_BYTES), ("3m", 3 << 20)])
+def test_stages_hand_texts_to_python_a_few_megabytes_at_a_time(spark, before, after):
+    """Rows of 2 MB, one of 9 MB, all in one partition; each arrives, few of them together."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [int(batch["text"].str.len().sum())]})
+
+    docs = spark.range(0, 12, 1, 1).selectExpr("id AS doc_id", "repeat('ab', IF(id = 5, 4500000, 1000000)) AS text")
+    was = spark.conf.get(BYTES_SETTING)
+    try:
+        spark.conf.unset(BYTES_SETTING) if before is None else spark.conf.set(BYTES_SETTING, before)
+        rows = corpus_pipeline.lean(lambda spark, docs, sf_dir: docs)(spark, docs, SF_DIR)
+        got = [r.n for r in rows.mapInPandas(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(BYTES_SETTING, was)
+    assert sum(got) == 11 * 2_000_000 + 9_000_000
+    assert sorted(got)[-2] <= after + 2_000_000 and max(got) <= after + 9_000_000
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_registered(name):
     from __spark_entry__ import oracle_sql, queries
