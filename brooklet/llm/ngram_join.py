@@ -12,12 +12,11 @@ counts the shingles that recur among the documents it reads together, and the su
 the ``FREQUENT`` most frequent go along with the tasks (3 MB at most). An estimate that
 is off costs time only; any order gives the same result.
 
-The join lists all pairs of the classes that share a shingle of their prefixes, and finds
+``links`` lists all pairs of the classes that share a shingle of their prefixes, and finds
 every link. A pair is not listed where the parities of its sets' shingles differ in more
 bits than linked sets can differ in shingles.
 
-``deduplicated`` asks for components only, and needs no links between classes that others
-connect: pairs of a shingle that few classes share are all listed. For a shingle that many
+For components no links are needed between classes that others connect: pairs of a shingle that few classes share are all listed. For a shingle that many
 share (copies with small edits) each class is first compared with one hub; members that are
 linked by then need no comparison. Pairs of such groups that are still in different
 components go through further hubs, and in the end are listed one and all.
@@ -258,14 +257,20 @@ class NgramJoin(SetJoin):
         # A doc_id may stand for several texts, and repeated rows may give a set twice.
         return sets.join(ends, "key", "left_semi")
 
+    def roots(self, links: DataFrame) -> DataFrame:
+        """key, root: the component of each class that is linked."""
+        return written(components(links).selectExpr("node AS key", "root"), "class-roots")
+
     def components(self, links: DataFrame) -> DataFrame:
         """doc_id, n_shingles, component_id, links (of its class, in ``links``) of every row."""
-        roots = components(links).selectExpr("node AS key", "root")
+        degree = links.selectExpr("a AS key").union(links.selectExpr("b AS key")).groupBy("key")
+        return self.rows_in(self.roots(links), degree.agg(F.count("*").alias("links")))
+
+    def rows_in(self, roots: DataFrame, degree: DataFrame) -> DataFrame:
+        """doc_id, n_shingles, component_id, links of every row; ``degree``: key, links."""
         rooted = self.named.select("key", "first").join(roots, "key", "left")
         rooted = written(rooted.withColumn("root", F.coalesce("root", "key")), "rooted")
         least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-        degree = links.selectExpr("a AS key").union(links.selectExpr("b AS key")).groupBy("key")
-        degree = degree.agg(F.count("*").alias("links"))
         of_class = rooted.join(written(least, "least"), "root").join(degree, "key", "left")
         of_class = written(of_class.selectExpr("key", "component_id", "links"), "of-class")
         rows = self.rows.select("doc_id", F.col("n").alias("n_shingles"), "key")
@@ -289,7 +294,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     table gives an empty one. Only doc_id and text are looked at.
     """
     join = NgramJoin(docs, words, similarity)
-    return join.components(join.links())
+    roots = join.roots(join.connecting())
+    return join.rows_in(roots, join.degrees(roots))
 
 
 def deduplicated(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,48 @@ PAIRS_A_ROW, HUB_ROUNDS = 8, 6
 #: Tokens before a prefix token that tell where a pair has been met already.
 BEFORE = ("before1", "before2", "before3")
 
+#: Members and sets of a block, as expected numbers; members that a table of presence has columns for.
+BLOCK_MEMBERS, BLOCK_SETS, COLUMNS = 1 << 14, 256, 1 << 14
+
 
 def needed(n: int, similarity: int) -> int:
     """Members that a set of ``n`` shares with every set it is linked to, at least."""
     return -(-n * similarity // 100)
 
 
+def shared_members(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of ``sets`` (distinct numbers each) share, as a square table."""
+    size = np.array([len(one) for one in sets])
+    _, member, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, met = np.repeat(np.arange(len(sets)), size), often[member] > 1
+    member, owner = (np.cumsum(often > 1) - 1)[member[met]], owner[met]
+    order = np.argsort(member, kind="stable")
+    member, owner = member[order], owner[order]
+    shared = np.zeros((len(sets), len(sets)), np.int64)
+    for first in range(0, int(member[-1]) + 1 if len(member) else 0, COLUMNS):
+        part = slice(*np.searchsorted(member, [first, first + COLUMNS]))
+        present = np.zeros((len(sets), min(COLUMNS, int(member[-1]) + 1 - first)), np.float32)
+        present[owner[part], member[part] - first] = 1
+        shared += (present @ present.T).astype(np.int64)
+    np.fill_diagonal(shared, size)
+    return shared
+
+
+def _count_links(similarity: int):
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        """key and links of the sets of one or two blocks: within a block, or from one to the other."""
+        rows = rows.drop_duplicates("key")  # a set may be there twice
+        shared = shared_members(rows["grams"].tolist())
+        n, block = shared.diagonal(), rows["block"].to_numpy()
+        linked = 100 * shared >= similarity * (n[:, None] + n - shared)
+        np.fill_diagonal(linked, False)
+        if rows["across"].iloc[0]:
+            linked &= block[:, None] != block
+        return pd.DataFrame({"key": rows["key"], "links": linked.sum(1)}).query("links > 0")
+
+    return count
+
+
 def _ends(rows: DataFrame, end: str) -> DataFrame:
     """``rows`` as those of one end of a pair: its key as ``end``, other columns with that suffix."""
     others = (F.col(c).alias(f"{c}_{end}") for c in rows.columns if c != "key")
@@ -152,7 +190,8 @@ class SetJoin:
     def links(self) -> DataFrame:
         """All linked pairs of sets (a, b: keys; shared, n_a, n_b), each once.
 
-        As many rows as there are links, and so with the square of a group of near copies.
+        As many rows as there are links, and so with the square of a group of near copies;
+        ``degrees`` counts them without.
         """
         return self._verified(self._listed(self._prefix_rows()))
 
@@ -189,6 +228,32 @@ class SetJoin:
             links = written(links.unionByName(found), "all-links")
             turn, more = turn + 1, 100 * found.count() >= rows_left
 
+    def degrees(self, roots: DataFrame) -> DataFrame:
+        """key, links: the exact number of other sets that each linked set is linked with.
+
+        ``roots`` (key, root) are the components of the links that ``connecting`` found, and
+        two linked sets are in one component. The sets of a component are dealt into blocks,
+        and a task compares all sets of two blocks, or of one: it yields a count per set, and
+        no row is made for a pair. Small components share a block.
+        """
+        sized = roots.join(self.lists.select("key", "n"), "key")
+        of_root = sized.groupBy("root").agg(F.sum("n").alias("members"), F.count("*").alias("sets"))
+        blocks = f"greatest(ceil(members / {BLOCK_MEMBERS}), ceil(sets / {BLOCK_SETS}))"
+        of_root = written(of_root.withColumn("blocks", F.expr(blocks)), "of-root")
+        small = of_root.filter("blocks = 1").agg(F.sum("members").alias("members"), F.sum("sets").alias("sets"))
+        together = small.select(F.expr(f"coalesce({blocks}, 1)")).first()[0]
+        dealt = sized.select("key", "root").join(of_root.select("root", "blocks"), "root")
+        mine = f"IF(blocks = 1, pmod(xxhash64(root), {together}), pmod(xxhash64(key), blocks))"
+        dealt = written(dealt.withColumn("block", F.expr(mine)), "dealt")
+        placed = dealt.join(self.sets.select("key", "grams"), "key")
+        placed = placed.withColumn("other", F.explode(F.expr("IF(blocks = 1, array(block), sequence(0L, blocks - 1))")))
+        placed = placed.selectExpr(
+            "IF(blocks = 1, NULL, root) AS root", "least(block, other) AS one", "greatest(block, other) AS two",
+            "block", "block <> other AS across", "key", "grams",
+        )
+        counted = placed.groupBy("root", "one", "two").applyInPandas(_count_links(self.similarity), "key long, links long")
+        return counted.groupBy("key").agg(F.sum("links").alias("links"))
+
     def _promising(self, rows: DataFrame) -> DataFrame:
         """``rows`` without the sets that share too few tokens for any link, and tokens left alone.
 

@@ -184,3 +184,37 @@ def test_links_that_connect(spark, monkeypatch, listed, a_row, rounds):
     monkeypatch.setattr(set_join, "HUB_ROUNDS", rounds)
     join = ngram_join.NgramJoin(spark.createDataFrame(near_copies(), "doc_id bigint, text string"))
     assert found(join.components(join.connecting())) == brute_force(near_copies())
+
+
+@pytest.mark.parametrize(("members", "sets", "columns"), [(1 << 14, 256, 1 << 14), (700, 256, 100), (1 << 14, 7, 1 << 14)])
+def test_links_are_counted_without_a_row_for_each(spark, monkeypatch, members, sets, columns):
+    """However the components are dealt into blocks, and with a set there twice."""
+    monkeypatch.setattr(set_join, "BLOCK_MEMBERS", members)
+    monkeypatch.setattr(set_join, "BLOCK_SETS", sets)
+    monkeypatch.setattr(set_join, "COLUMNS", columns)
+    rows = near_copies()
+    docs = spark.createDataFrame(rows + rows[:50], "doc_id bigint, text string")
+    listed = ngram_join.NgramJoin(docs)
+    links = listed.links()
+    join = ngram_join.NgramJoin(docs)
+    connecting = join.connecting().persist()
+    counted = {r.key: r.links for r in join.degrees(join.roots(connecting)).collect()}
+    wanted = {}
+    for r in links.collect():
+        for key in (r.a, r.b):
+            wanted[key] = wanted.get(key, 0) + 1
+    assert counted == wanted
+    connecting.unpersist()
+
+
+def test_no_step_of_near_duplicates_lists_all_links(spark, monkeypatch):
+    """A group of 400 near copies, any two of them linked: rows grow with it, not with its square."""
+    rng = random.Random(3)
+    base, made = prose(rng, 150).split(" "), []
+    docs = spark.createDataFrame([(i, " ".join([f"w{i}", *base])) for i in range(400)], "doc_id bigint, text string")
+    verified = ngram_join.NgramJoin._verified
+    monkeypatch.setattr(
+        ngram_join.NgramJoin, "_verified", lambda self, pairs: made.append((out := verified(self, pairs)).count()) or out
+    )
+    assert {(r.component_id, r.links) for r in ngram_join.near_duplicates(docs).collect()} == {(0, 399)}
+    assert sum(made) < 400 * 20
