@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import bounded, columns, id_text, named_text, slices, written
+from brooklet.llm.common import bounded, columns, id_text, named_text, slices, small_batches, written
 from brooklet.llm.components import components
 from brooklet.llm.set_join import SetJoin, needed
 
@@ -200,6 +200,7 @@ class NgramJoin(SetJoin):
         super().__init__(similarity)
         self.docs, self.words = id_text(docs), words
         self.spark = docs.sparkSession
+        small_batches(self.spark)
         self.salt = 0
         while not self._find_classes():
             self.salt += 1
@@ -241,14 +242,17 @@ class NgramJoin(SetJoin):
         return token[order], top["n"].to_numpy(np.int64)[order]
 
     def prefixes_of_all(self) -> DataFrame:
-        """token, key, n, matches: prefixes, of the shingles that several classes have in theirs."""
+        """token, key, n, matches, least: prefixes, of the shingles that several classes have in theirs."""
         frequent = self.spark.sparkContext.broadcast(self._frequent())
         held = self.docs.filter("doc_id IS NOT NULL")
         made = _prefixes(self.words, self.similarity, self.salt, frequent)
         rows = written(held.mapInPandas(made, "token long, key long, n long, matches int"), "prefixes")
-        ends = rows.groupBy("token").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        shared = written(ends.filter("low < high").select("token"), "shared")
-        return written(rows.join(shared, "token").distinct(), "shared-prefixes")
+        ends = rows.groupBy("token").agg(
+            F.min("key").alias("low"), F.max("key").alias("high"), F.min("matches").alias("least")
+        )
+        shared = written(ends.filter("low < high").select("token", "least"), "shared")
+        rows = rows.join(shared, "token").select("token", "key", "n", "matches", "least")
+        return written(rows.distinct(), "shared-prefixes")
 
     def sets_of(self, ends: DataFrame) -> DataFrame:
         wanted = ends.join(self.named.select("key", "first"), "key").select(F.col("first").alias("doc_id"))

@@ -89,7 +89,7 @@ class SetJoin:
         raise NotImplementedError
 
     def prefixes_of_all(self) -> DataFrame:
-        """token, key, n, matches: the prefix tokens that several sets have."""
+        """token, key, n, matches, least (matches of the token's sets): the prefix tokens that several sets have."""
         raise NotImplementedError
 
     def sets_of(self, ends: DataFrame) -> DataFrame:
@@ -149,7 +149,7 @@ class SetJoin:
         return written(both.filter(linked).select("a", "b", "shared", "n_a", "n_b").distinct(), "links")
 
     def _listed(self, rows: DataFrame) -> DataFrame:
-        """Pairs from different components that may share enough of the tokens of ``rows``.
+        """Pairs from different components that may share enough of the tokens of ``rows``, all rows of each.
 
         A set that needs k of these tokens in common with any other can leave out its k - 1
         most frequent: were the rarest that a pair shares among them, there would be
@@ -159,11 +159,7 @@ class SetJoin:
         A pair is made where it meets first, for all that the tokens just before tell: if
         one of these is shared, so is the pair made there or even earlier.
         """
-        bounds = rows.groupBy("token").agg(
-            F.min("n").alias("n_least"), F.min("matches").alias("matches_least"),
-            F.max(F.expr(f"{self._needed('n')} - matches")).alias("left_most"),
-        )
-        met = rows.join(written(bounds, "bounds"), "token").groupBy("key", "n", "matches").agg(
+        met = rows.groupBy("key", "n", "matches").agg(
             F.count("*").alias("here"), F.min("n_least").alias("n_least"),
             F.min("matches_least").alias("matches_least"), F.max("left_most").alias("left_most"),
         )
@@ -175,7 +171,8 @@ class SetJoin:
         )
         in_order = Window.partitionBy("key").orderBy("of_token", "token")
         before = {name: F.lag("token", i).over(in_order) for i, name in enumerate(BEFORE, 1)}
-        kept = rows.join(written(keep, "keep"), "key").withColumn("rank", F.row_number().over(in_order))
+        kept = rows.drop("n_least", "matches_least", "left_most").join(written(keep, "keep"), "key")
+        kept = kept.withColumn("rank", F.row_number().over(in_order))
         kept = kept.withColumns(before).filter("rank <= keep")
         kept = kept.select("token", "key", "n", "matches", "length", "root", *BEFORE)
         if self.words_of_parity:
@@ -196,9 +193,13 @@ class SetJoin:
         return self._verified(self._listed(self._prefix_rows()))
 
     def _prefix_rows(self) -> DataFrame:
-        """The prefixes, with the number of sets of a token, the length of a prefix and each set its own root."""
-        self.prefixes = self._promising(self._promising(self.prefixes_of_all()))
-        sizes = written(self.prefixes.groupBy("token").agg(F.count("*").alias("of_token")), "sizes")
+        """The prefixes, with the number and bounds of a token's sets, the length of a prefix and each set its own root."""
+        self.prefixes = self._promising(self._met(self._promising(self.prefixes_of_all())))
+        sizes = self.prefixes.groupBy("token").agg(
+            F.count("*").alias("of_token"), F.min("n").alias("n_least"), F.min("matches").alias("matches_least"),
+            F.max(F.expr(f"{self._needed('n')} - matches")).alias("left_most"),
+        )
+        sizes = written(sizes, "sizes")
         lists = self.prefixes.groupBy("key", "n", "matches").agg(F.collect_list("token").alias("prefix"))
         self.lists, self.sets = written(lists.withColumn("length", F.size("prefix")), "lists"), None
         rows = self.prefixes.join(sizes, "token").join(self.lists.select("key", "length"), "key")
@@ -211,7 +212,7 @@ class SetJoin:
         there; among more, those that no other link has made needless.
         """
         rows = self._prefix_rows()
-        many = written(rows.filter(F.col("of_token") > LISTED), "many")
+        many = rows.filter(F.col("of_token") > LISTED)
         links = self._verified(self._listed(rows.filter(F.col("of_token") <= LISTED)))
         self.used, turn, more = None, 0, True
         while True:
@@ -254,15 +255,18 @@ class SetJoin:
         counted = placed.groupBy("root", "one", "two").applyInPandas(_count_links(self.similarity), "key long, links long")
         return counted.groupBy("key").agg(F.sum("links").alias("links"))
 
-    def _promising(self, rows: DataFrame) -> DataFrame:
-        """``rows`` without the sets that share too few tokens for any link, and tokens left alone.
+    def _met(self, rows: DataFrame) -> DataFrame:
+        """``rows`` without the tokens left alone, with the least matches of the sets of a token."""
+        least = rows.groupBy("token").agg(F.min("matches").alias("least"), F.count("*").alias("of_token"))
+        met = rows.join(written(least.filter("of_token > 1"), "least"), "token")
+        return written(met.select("token", "key", "n", "matches", "least"), "met")
+
+    def _promising(self, met: DataFrame) -> DataFrame:
+        """``met`` without ``least`` and the sets that share too few tokens for any link.
 
         A set meets only sets of its tokens, so it needs as many shared tokens as it asks
         for itself, or as the least of these sets does.
         """
-        least = rows.groupBy("token").agg(F.min("matches").alias("least"), F.count("*").alias("of_token"))
-        met = rows.join(written(least.filter("of_token > 1"), "least"), "token")
-        met = written(met.select("token", "key", "n", "matches", "least"), "met")
         enough = met.groupBy("key", "matches").agg(F.count("*").alias("length"), F.min("least").alias("least"))
         enough = enough.filter(F.col("length") >= F.least("matches", "least")).select("key")
         return written(met.drop("least").join(written(enough, "enough"), "key", "left_semi"), "promising")

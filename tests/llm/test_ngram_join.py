@@ -9,6 +9,7 @@ import pytest
 from edge_cases import SF_DIR, lower, prose, tally, texts
 
 from brooklet.llm import ngram_join, set_join
+from brooklet.llm.common import BATCH_BYTES, BYTES_SETTING
 from brooklet.llm.components import components
 from brooklet.llm.queries import op5_ngram_join
 
@@ -218,3 +219,35 @@ def test_no_step_of_near_duplicates_lists_all_links(spark, monkeypatch):
     )
     assert {(r.component_id, r.links) for r in ngram_join.near_duplicates(docs).collect()} == {(0, 399)}
     assert sum(made) < 400 * 20
+
+
+def test_texts_go_to_python_a_few_megabytes_at_a_time(spark):
+    was = spark.conf.get(BYTES_SETTING)
+    try:
+        spark.conf.unset(BYTES_SETTING)
+        docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id bigint, text string")
+        assert {r.component_id for r in ngram_join.near_duplicates(docs).collect()} == {1}
+        assert spark.conf.get(BYTES_SETTING) == f"{BATCH_BYTES}b"
+    finally:
+        spark.conf.set(BYTES_SETTING, was)
+
+
+def test_prefix_rows_meet_their_tokens_in_three_joins(spark, monkeypatch):
+    """The bounds of a token come with its number of sets, and the least matches with what several sets have."""
+    names = []
+    monkeypatch.setattr(set_join, "written", lambda rows, name: names.append(name) or rows.localCheckpoint())
+    monkeypatch.setattr(ngram_join, "written", lambda rows, name: names.append(name) or rows.localCheckpoint())
+    rng = random.Random(5)
+    made = [prose(rng, 40) for _ in range(6)]
+    docs = spark.createDataFrame([(i, f"{made[i % 6]} end{i}") for i in range(18)], "doc_id bigint, text string")
+    join = ngram_join.NgramJoin(docs)
+    names.clear()
+    rows = join._prefix_rows()
+    assert [name for name in names if name in ("shared", "least", "sizes", "bounds")] == ["shared", "least", "sizes"]
+    bounds = {}
+    for r in join.prefixes.collect():
+        bounds.setdefault(r.token, []).append((r.n, r.matches, set_join.needed(r.n, 75) - r.matches))
+    assert bounds
+    for r in rows.collect():
+        n, matches, left = zip(*bounds[r.token], strict=True)
+        assert (r.of_token, r.n_least, r.matches_least, r.left_most) == (len(n), min(n), min(matches), max(left))
